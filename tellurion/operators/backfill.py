@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.functions import clock, jsonx, objects, topics
+from tellurion.functions.once import with_once
 from tellurion.operators import contracts
 from tellurion.operators.ingest import dead_letter
 
@@ -69,12 +70,8 @@ def records(listing: DataFrame, ingested_at: Column, kind: Column | None = None)
     """Add ``media_kind``, ``intended_topic`` and ``event`` to a listing."""
     of_kind = media_kind(F.col("bucket")) if kind is None else kind
     with_kind = listing.withColumn("media_kind", of_kind)
-    return with_kind.withColumns(
-        {
-            "intended_topic": topic_of(F.col("media_kind")),
-            "event": record(F.col("media_kind"), ingested_at),
-        }
-    )
+    with_topic = with_kind.withColumn("intended_topic", topic_of(F.col("media_kind")))
+    return with_once(with_topic, "event", record(F.col("media_kind"), ingested_at))
 
 
 def routed(rows: DataFrame, at: Column) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.functions import jsonx
+from tellurion.functions.once import with_once
 
 DATE_TIME = (
     r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
@@ -75,11 +76,10 @@ def violations(
     ``records`` has ``topic`` and the record as text. A text that is no JSON
     object breaks the rule ``object``. Topics without a contract break nothing.
     """
-    parsed = (
-        records.select("topic", F.col(record_id).alias("record_id"), jsonx.strict_parse(F.col(value)).alias("_doc"))
-        .join(F.broadcast(topics), "topic")
-        .select("*", jsonx.fields_of(F.col("_doc")).alias("_map"))
-    )
+    known = records.select(
+        "topic", F.col(record_id).alias("record_id"), F.col(value).alias("_text")
+    ).join(F.broadcast(topics), "topic")
+    parsed = with_once(known, "_map", jsonx.fields_of(jsonx.strict_parse(F.col("_text"))))
     present = F.map_keys("_map")
     missing = F.array_except("required_fields", present)
     extra = F.when(F.col("closed"), F.array_except(present, F.col("fields")))
@@ -99,8 +99,8 @@ def violations(
     shape = parsed.select("topic", "record_id", F.inline(of_record))
     by_field = (
         parsed.select("topic", "record_id", F.explode("_map").alias("field", "_value"))
-        .withColumn("_kind", jsonx.kind(F.col("_value")))
         .join(F.broadcast(fields), ["topic", "field"])
+        .withColumn("_kind", jsonx.kind(F.col("_value")))
         .select("topic", "record_id", "field", F.explode(_broken_rules()).alias("rule"))
     )
     return shape.unionByName(by_field)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.functions import jsonx
+from tellurion.functions.once import with_once
 from tellurion.functions.topics import (
     MEDIA_TOPICS, RAW_GPS, RAW_IMAGE2D, RAW_IMAGE3D, RAW_SENSOR, RAW_VIDEO2D, RAW_VIDEO3D,
 )
@@ -162,7 +163,7 @@ def with_errors(
     events: DataFrame, topic: str = "intended_topic", event: str = "event"
 ) -> DataFrame:
     """Add the ``errors`` array to a table of events."""
-    return events.withColumn("errors", contract_errors(F.col(topic), F.col(event)))
+    return with_once(events, "errors", contract_errors(F.col(topic), F.col(event)))
 
 
 def with_null_island(events: DataFrame, event: str = "event") -> DataFrame:

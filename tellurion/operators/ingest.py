@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.functions import clock, jsonx, topics
+from tellurion.functions.once import with_once
 from tellurion.operators import contracts
 
 # Keys under which a position may arrive, first present wins.
@@ -38,14 +39,14 @@ def decoded(
     """Add the decoded body and everything the topic alone decides."""
     topic = F.col("topic")
     prefixes = tuple(prefixes)
-    return messages.withColumns(
+    named = messages.withColumns(
         {
-            "body": jsonx.decode_payload(F.col("payload")),
             "intended_topic": topics.raw_topic(topic, default_topic, prefixes),
             "device_id": topics.device_id(topic, prefixes),
             "source": topics.event_source(topic, prefixes),
         }
     )
+    return with_once(named, "body", jsonx.decode_payload(F.col("payload")))
 
 
 def _envelope() -> dict[str, Column]:
@@ -102,12 +103,8 @@ def built(
         .when(F.col("intended_topic") == topics.RAW_GPS, position_event(stamp))
         .otherwise(media_event(stamp))
     )
-    return (
-        decoded(messages, default_topic, prefixes)
-        .withColumn("event", event)
-        .withColumn("key", F.col("device_id"))
-        .drop("body")
-    )
+    with_event = with_once(decoded(messages, default_topic, prefixes), "event", event)
+    return with_event.withColumn("key", F.col("device_id")).drop("body")
 
 
 def dead_letter(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.functions import clock, jsonx, topics
+from tellurion.functions.once import with_once
 
 # Columns of a normalised event, in order.
 COLUMNS = (
@@ -42,12 +43,10 @@ def normalised(
     entity = F.when(jsonx.truthy(device), jsonx.text(device)).otherwise(
         topics.entity_id(F.col("mqtt_topic"))
     )
-    parsed = records.select(
-        *kept,
-        F.col(topic).alias("source_topic"),
-        F.col(raw).alias("raw_json"),
-        jsonx.strict_parse(F.col(raw)).alias("_document"),
+    named = records.select(
+        *kept, F.col(topic).alias("source_topic"), F.col(raw).alias("raw_json")
     )
+    parsed = with_once(named, "_document", jsonx.strict_parse(F.col("raw_json")))
     return (
         parsed.filter(jsonx.is_object(document))
         .withColumn("mqtt_topic", mqtt_topic)

@@ -17,7 +17,7 @@ SPARK = {
     "bytes": "CAST({} AS BINARY)",
     "bad_bytes": "unhex('FF0088')",
     "list": "array({})",
-    "plus_seconds": "timestamp_micros(unix_micros(CAST({} AS TIMESTAMP)) + 1000000 * ({}))",
+    "plus_seconds": "timestamp_micros(unix_micros(CAST({} AS TIMESTAMP)) + CAST(1000000 AS BIGINT) * ({}))",
     "at": "TIMESTAMP '{}'",
 }
 DUCK = {
@@ -27,7 +27,7 @@ DUCK = {
     "bytes": "encode({})",
     "bad_bytes": "unhex('FF0088')",
     "list": "[{}]",
-    "plus_seconds": "make_timestamp(epoch_us({}) + 1000000 * ({}))",
+    "plus_seconds": "make_timestamp(epoch_us({}) + CAST(1000000 AS BIGINT) * ({}))",
     "at": "TIMESTAMP '{}'",
 }
 
