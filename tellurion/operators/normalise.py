@@ -48,8 +48,7 @@ def normalised(
     )
     parsed = with_once(named, "_document", jsonx.strict_parse(F.col("raw_json")))
     return (
-        parsed.filter(jsonx.is_object(document))
-        .withColumn("mqtt_topic", mqtt_topic)
+        with_once(parsed.filter(jsonx.is_object(document)), "mqtt_topic", mqtt_topic)
         .select(
             *kept,
             entity.alias("entity_id"),

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tellurion.plans import registry
 
-GROUPS = ("ingest", "state")
+GROUPS = ("ingest", "state", "media", "health", "evidence", "streams")
 
 
 def _load() -> None:

@@ -156,8 +156,8 @@ def notifications(d: Dialect) -> str:
         "'{{\"eventTime\":\"2024-01-01T00:00:00Z\",\"eventName\":\"{name}\",\"s3\":{{\"bucket\":{{\"name\":\"' || source || '\"}},"
         "\"object\":{{\"key\":\"{key}/' || doc_id || '.png\",\"size\":' || n_chars || '}}}}}}'"
     )
-    one = item.format(name="ObjectCreated:Put", key="a").replace("{{", "{").replace("}}", "}")
-    two = item.format(name="ObjectRemoved:Delete", key="b").replace("{{", "{").replace("}}", "}")
+    one = item.format(name="ObjectCreated:Put", key="a")
+    two = item.format(name="ObjectRemoved:Delete", key="b")
     return f"""SELECT doc_id, source, n_chars,
       CASE WHEN doc_id % 3 = 0 THEN '{{"Records":[' || {one} || ',' || {two} || ']}}'
         ELSE '{{"Records":[' || {one} || ']}}' END AS value FROM documents"""
@@ -293,13 +293,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, of) -> DataFrame:
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of its files."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
+def view(spark: SparkSession, sf_dir: str, of, streaming: bool = False) -> DataFrame:
     """A view as a DataFrame."""
     source = TABLES_OF[of]
     text = of(Dialect(SPARK)).replace(f"FROM {source}", "FROM {source}")
     # Braces of JSON literals are doubled for the formatter, the table is not.
     text = text.replace("{", "{{").replace("}", "}}").replace("{{source}}", "{source}")
-    return spark.sql(text, source=table(spark, sf_dir, source))
+    read = stream if streaming else table
+    return spark.sql(text, source=read(spark, sf_dir, source))
 
 
 def duck(of) -> str:

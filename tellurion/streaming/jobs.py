@@ -98,9 +98,7 @@ def accepted_by_batch(
             F.max("known_ts").alias("known_ts")
         ).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
 
-    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
-    return writer.start()
+    return _triggered(events.writeStream.foreachBatch(write), checkpoint, once).start()
 
 
 def latest_table(events: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
@@ -118,15 +116,34 @@ def dead_letter_windows(
     return deadletters.category_counts(events.filter(F.size("errors") > 0), at, width)
 
 
+def _triggered(writer: DataStreamWriter, checkpoint: str, once: bool) -> DataStreamWriter:
+    writer = writer.option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
+
+
 def written(
-    stream: DataFrame, path: str, checkpoint: str, once: bool = False, name: str | None = None
-) -> DataStreamWriter:
+    stream: DataFrame, path: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
     """Append a stream to parquet with exactly-once files."""
-    writer = stream.writeStream.format("parquet").option("path", path)
-    writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
-    if name:
-        writer = writer.queryName(name)
-    return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
+    writer = stream.writeStream.format("parquet").option("path", path).outputMode("append")
+    return _triggered(writer, checkpoint, once).start()
+
+
+def updated(
+    stream: DataFrame, path: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Write the rows an aggregation changes, one directory per batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write).outputMode("update")
+    return _triggered(writer, checkpoint, once).start()
+
+
+def current(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest version of every key among the batches :func:`updated` wrote."""
+    return latest.compacted(rows, keys, ["batch_id"]).drop("batch_id")
 
 
 def routed_stream(
@@ -138,16 +155,14 @@ def routed_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.write_by_topic(batch, path, batch_id)
 
-    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
-    return writer.start()
+    return _triggered(records.writeStream.foreachBatch(write), checkpoint, once).start()
 
 
 def normalised_stream(
     records: DataFrame, path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
     """Normalise a stream of raw records and write every row, late ones too."""
-    return written(normalise.normalised(records), path, checkpoint, once).start()
+    return written(normalise.normalised(records), path, checkpoint, once)
 
 
 def upserted_changes(
@@ -158,6 +173,7 @@ def upserted_changes(
     A batch writes its own directory; reading all of them and folding again
     gives the current rows.
     """
+
     def write(batch: DataFrame, batch_id: int) -> None:
         keyed = batch.withColumns(
             {f"_key_{k}": F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")) for k in keys}
@@ -167,6 +183,4 @@ def upserted_changes(
             f"{path}/batch_id={batch_id}"
         )
 
-    writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
-    return writer.start()
+    return _triggered(changes.writeStream.foreachBatch(write), checkpoint, once).start()
