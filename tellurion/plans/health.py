@@ -165,7 +165,7 @@ def _rates(extrapolate: bool) -> str:
         near = f"CASE WHEN {edge} < {gap} * 1.1 THEN {edge} ELSE {gap} / 2 END"
         zero = "CASE WHEN inc > 0 AND first_value >= 0 THEN covered * first_value / inc ELSE 1e18 END"
         rate = f"(inc / covered) * (covered + least({near}, {zero})) / {SPAN / 1e6}"
-    return f"""SELECT job, instance, us, round({rate}, 9) AS rate FROM (SELECT job, instance, us,
+    return f"""SELECT job, instance, us, round({rate}, 7) AS rate FROM (SELECT job, instance, us,
       sum(g) OVER w - first(g) OVER w AS inc, (us - first(us) OVER w) / 1e6 AS covered, count(*) OVER w AS n,
       first(us) OVER w AS first_us, first(value) OVER w AS first_value
       FROM (SELECT *, CASE WHEN lag(value) OVER o IS NULL THEN 0 WHEN value < lag(value) OVER o THEN value
@@ -178,7 +178,7 @@ def _rates(extrapolate: bool) -> str:
 def _rated(spark, sf_dir, extrapolate):
     rated = metrics.rates(_series(spark, sf_dir, "requests_total", "counter"), SPAN, extrapolate)
     return rated.select(
-        _job(), metrics.label("instance").alias("instance"), "us", F.round("rate", 9).alias("rate")
+        _job(), metrics.label("instance").alias("instance"), "us", F.round("rate", 7).alias("rate")
     )
 
 
@@ -260,7 +260,7 @@ def alerts_firing(spark, sf_dir):
     return panel("alerts_by_name", panels).select("us", "alertname", "value")
 
 
-@query(f"SELECT us, job, sum(n_changes) AS value FROM {_visible('(' + CHANGED + ')', 'n_changes').replace('n_changes AS value', 'n_changes')} v WHERE n_changes > 4 GROUP BY 1, 2")
+@query(f"SELECT us, job, CAST(sum(n_changes) AS DOUBLE) AS value FROM {_visible('(' + CHANGED + ')', 'n_changes').replace('n_changes AS value', 'n_changes')} v WHERE n_changes > 4 GROUP BY 1, 2")
 def flapping_by_job(spark, sf_dir):
     """Changes of flapping targets summed per job and step."""
     panels = _panels(spark, sf_dir, _up(spark, sf_dir))

@@ -295,8 +295,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a stream of its files."""
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = table(spark, sf_dir, name).schema
+    # As a pattern the path may be one file as well as a folder of files.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}[.]parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, of, streaming: bool = False) -> DataFrame:

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.streaming.state import GroupState
 
 from tellurion.operators import deadletters, ingest, latest, normalise
 from tellurion.sources import sinks
@@ -29,33 +24,30 @@ def use_disk_state(spark) -> None:
         spark.conf.set(key, value)
 
 
-def _accept(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, order: list[str]
-) -> Iterator[pd.DataFrame]:
-    """Rows of one entity that are not older than all before them, in arrival order."""
-    # A trigger is rate limited at the source, which bounds the rows of an entity here.
-    rows = pd.concat(list(batches)).sort_values(order, kind="stable")
-    times = rows["event_ts"].to_numpy(dtype=object)
-    best = np.maximum.accumulate(times)
-    if state.exists:
-        (known,) = state.get
-        best = np.maximum(best, known)
-    keep = times >= best
-    if len(times):
-        state.update((best[-1],))
-    yield rows[keep]
-
-
 def accepted_stream(events: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
     """Streaming form of latest-state acceptance, one row out per accepted row.
 
     State is one text per entity, kept for ever. Without a watermark late rows
-    are seen and rejected by their time, never dropped unseen.
+    are seen and rejected by their time, never dropped unseen. One task orders
+    the rows of an entity in a trigger, so the source must be rate limited;
+    where one entity dominates use :func:`accepted_by_batch`.
     """
     columns = list(order)
 
+    # Nested and self-contained, so that workers need no copy of this package.
     def accept(key, batches, state):
-        return _accept(key, batches, state, columns)
+        import numpy as np
+        import pandas as pd
+
+        rows = pd.concat(list(batches)).sort_values(columns, kind="stable")
+        times = rows["event_ts"].to_numpy(dtype=object)
+        best = np.maximum.accumulate(times)
+        if state.exists:
+            (known,) = state.get
+            best = np.maximum(best, known)
+        if len(times):
+            state.update((best[-1],))
+        yield rows[times >= best]
 
     return events.groupBy("entity_id").applyInPandasWithState(
         accept,
