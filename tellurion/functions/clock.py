@@ -29,33 +29,45 @@ def iso_timestamp(instant: Column) -> Column:
     return iso_text(F.unix_micros(instant.cast("timestamp")))
 
 
-def normalised(value: Column, fallback: Column) -> Column:
-    """A JSON value as timestamp text.
+def normalised(value: str, fallback: str) -> Column:
+    """A JSON value as timestamp text; both arguments are SQL text.
 
     Numbers are epoch seconds or milliseconds; null, an empty string and a
     number outside the calendar take the fallback; anything else is kept as text.
     """
-    kind = jsonx.kind(value)
-    number = F.try_variant_get(value, "$", "decimal(38,9)")
-    scaled = F.when(number > MILLISECONDS_FROM, number * 1000).otherwise(number * 1_000_000)
-    in_calendar = scaled.between(FIRST_MICRO, LAST_MICRO)
-    micros = F.when(in_calendar, F.bround(scaled).cast("bigint"))
-    return (
-        F.when(value.isNull() | F.is_variant_null(value), fallback)
-        .when(kind == "STRING", F.coalesce(F.nullif(jsonx.as_string(value), F.lit("")), fallback))
-        .when(kind.rlike(jsonx.NUMBER_KINDS), F.coalesce(iso_text(micros), fallback))
-        .otherwise(F.to_json(value))
+    kind = f"schema_of_variant({value})"
+    whole = f"try_variant_get({value}, '$', 'bigint')"
+    exact = f"try_variant_get({value}, '$', 'decimal(38,9)')"
+    # Whole numbers, the usual case, stay in integer arithmetic.
+    whole_micros = f"""CASE WHEN {whole} > {MILLISECONDS_FROM}
+        THEN CASE WHEN {whole} <= {LAST_MICRO // 1000} THEN {whole} * 1000 END
+        WHEN {whole} >= {FIRST_MICRO // 1_000_000} THEN {whole} * 1000000 END"""
+    scaled = f"{exact} * CASE WHEN {exact} > {MILLISECONDS_FROM} THEN 1000 ELSE 1000000 END"
+    exact_micros = f"""CASE WHEN {exact} BETWEEN {FIRST_MICRO // 1_000_000} AND {LAST_MICRO // 1000}
+        THEN CASE WHEN {scaled} BETWEEN {FIRST_MICRO} AND {LAST_MICRO} THEN CAST(bround({scaled}) AS BIGINT) END END"""
+
+    def stamp(micros: str) -> str:
+        return f"""CASE WHEN ({micros}) % 1000000 = 0
+          THEN date_format(timestamp_micros({micros}), "yyyy-MM-dd'T'HH:mm:ssxxx")
+          ELSE date_format(timestamp_micros({micros}), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") END"""
+
+    return F.expr(
+        f"""CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN {fallback}
+          WHEN {kind} = 'STRING' THEN coalesce(nullif(try_variant_get({value}, '$', 'string'), ''), {fallback})
+          WHEN {kind} = 'BIGINT' THEN coalesce({stamp(whole_micros)}, {fallback})
+          WHEN {kind} RLIKE '{jsonx.NUMBER_KINDS}' THEN coalesce({stamp(exact_micros)}, {fallback})
+          ELSE to_json({value}) END"""
     )
 
 
-def picked(document: Column, fallback: Column) -> Column:
-    """Timestamp text from the first time key that a document holds."""
-    return normalised(F.coalesce(*[jsonx.field(document, k) for k in TIMESTAMP_KEYS]), fallback)
+def first_present(members: str) -> Column:
+    """The value of the first time key among the members of an object."""
+    return F.expr("coalesce(" + ", ".join(f"{members}.{k}" for k in TIMESTAMP_KEYS) + ")")
 
 
-def event_time(document: Column) -> Column:
+def event_time(members: str) -> Column:
     """Timestamp of a record, else its ingestion time, else an empty string."""
-    stamp, ingested = jsonx.field(document, "timestamp"), jsonx.field(document, "ingested_at")
+    stamp, ingested = f"{members}.timestamp", f"{members}.ingested_at"
     return (
         F.when(jsonx.truthy(stamp), jsonx.text(stamp))
         .when(jsonx.truthy(ingested), jsonx.text(ingested))

@@ -7,6 +7,8 @@ present, whatever its value.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,15 @@ def field(document: Column, name: str) -> Column:
     return F.try_variant_get(document, json_path(name), "variant")
 
 
+def members(document: str, names: Iterable[str]) -> Column:
+    """Several keys of an object as a struct of variants, read in one pass.
+
+    NULL when the document is not an object; a member is NULL when absent.
+    """
+    shape = ", ".join(f"`{name}`: variant" for name in names)
+    return F.expr(f"try_variant_get({document}, '$', 'struct<{shape}>')")
+
+
 def fields_of(document: Column) -> Column:
     """All keys with their values; NULL when the document is not an object."""
     return F.try_variant_get(document, "$", "map<string,variant>")
@@ -61,38 +72,29 @@ def as_double(document: Column) -> Column:
     return F.try_variant_get(document, "$", "double")
 
 
-def truthy(document: Column) -> Column:
-    """Whether a value counts as true: not null, zero, false or empty."""
-    type_name = kind(document)
-    return (
-        F.when(document.isNull() | F.is_variant_null(document), F.lit(False))
-        .when(type_name == "STRING", as_string(document) != "")
-        .when(type_name == "BOOLEAN", F.try_variant_get(document, "$", "boolean"))
-        .when(type_name.startswith("OBJECT"), type_name != "OBJECT<>")
-        .when(
-            type_name.startswith("ARRAY"),
-            F.try_variant_get(document, "$[0]", "variant").isNotNull(),
-        )
-        .otherwise(as_double(document) != 0)
+def truthy(value: str) -> Column:
+    """Whether a value, given as SQL text, counts as true: not null, zero, false or empty."""
+    return F.expr(
+        f"""CASE coalesce(regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0), 'VOID')
+          WHEN 'VOID' THEN false
+          WHEN 'STRING' THEN try_variant_get({value}, '$', 'string') <> ''
+          WHEN 'BOOLEAN' THEN try_variant_get({value}, '$', 'boolean')
+          WHEN 'OBJECT' THEN schema_of_variant({value}) <> 'OBJECT<>'
+          WHEN 'ARRAY' THEN try_variant_get({value}, '$[0]', 'variant') IS NOT NULL
+          ELSE try_variant_get({value}, '$', 'double') <> 0 END"""
     )
 
 
-def text(document: Column) -> Column:
-    """A value as text: strings bare, booleans capitalised, the rest as JSON."""
-    type_name = kind(document)
-    return (
-        F.when(document.isNull() | F.is_variant_null(document), F.lit(None).cast("string"))
-        .when(type_name == "STRING", as_string(document))
-        .when(type_name == "BOOLEAN", F.initcap(as_string(document)))
-        .otherwise(F.to_json(document))
+def text(value: str) -> Column:
+    """A value, given as SQL text, as a string: strings bare, booleans capitalised, else JSON."""
+    return F.expr(
+        f"""CASE coalesce(schema_of_variant({value}), 'VOID') WHEN 'VOID' THEN NULL
+          WHEN 'STRING' THEN try_variant_get({value}, '$', 'string')
+          WHEN 'BOOLEAN' THEN initcap(try_variant_get({value}, '$', 'string'))
+          ELSE to_json({value}) END"""
     )
 
 
-def null_value() -> Column:
-    """JSON null as a variant."""
-    return F.parse_json(F.lit("null"))
-
-
 def document(**columns: Column) -> Column:
     """A JSON object built from named columns; NULL columns become JSON null."""
     return F.to_variant_object(F.struct(*[c.alias(n) for n, c in columns.items()]))

@@ -11,6 +11,9 @@ def with_once(rows: DataFrame, name: str, column: Column) -> DataFrame:
 
     Filters and projections are otherwise rewritten in terms of their inputs, so
     a parsed document used in a hundred checks would be parsed for each of them.
-    Rows are neither added nor dropped and nothing is shuffled.
+    The column itself is computed in a projection, which is compiled; the
+    explode only passes it on. Rows are neither added nor dropped and nothing is
+    shuffled.
     """
-    return rows.select("*", F.explode(F.array(column)).alias(name))
+    computed = rows.withColumn("_once", column)
+    return computed.select(*rows.columns, F.explode(F.array("_once")).alias(name))

@@ -78,18 +78,19 @@ def routed(rows: DataFrame, at: Column) -> DataFrame:
     """Validate backfill records and send the invalid ones to the dead letters."""
     checked = contracts.with_errors(rows)
     bad = F.size("errors") > 0
-    origin = F.create_map(
-        F.lit("source_topic"), F.concat(F.lit("s3://"), F.col("bucket"), F.lit("/"), F.col("object_key")).cast("variant")
-    )
+    address = F.concat(F.lit("s3://"), F.col("bucket"), F.lit("/"), F.col("object_key"))
+    origin = F.create_map(F.lit("source_topic"), address.cast("variant"))
     raw = F.to_variant_object(F.map_concat(jsonx.fields_of(F.col("event")), origin))
-    letter = dead_letter(F.lit(BACKFILL_SOURCE), F.col("intended_topic"), F.col("errors"), raw, at)
-    return checked.withColumns(
+    with_raw = with_once(checked, "_raw", F.when(bad, raw))
+    letter = dead_letter(F.lit(BACKFILL_SOURCE), F.col("intended_topic"), F.col("errors"), "_raw", at)
+    routes = with_raw.withColumns(
         {
             "key": F.col("object_key"),
             "topic_out": F.when(bad, F.lit(topics.DEAD_LETTER)).otherwise(F.col("intended_topic")),
             "dead_letter": F.when(bad, letter),
         }
     )
+    return routes.drop("_raw")
 
 
 def backfilled(listing: DataFrame, at: Column, kind: Column | None = None) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.functions import jsonx
@@ -47,127 +49,121 @@ NON_NEGATIVE = ("duration_ms", "frame_count", "point_count", "size_bytes", "spee
 POSITIVE = ("frame_rate", "height", "views", "width")
 
 
-def _message(failed: Column, text: str) -> Column:
-    return F.when(failed, F.lit(text)).otherwise(F.lit(""))
+FIELDS = tuple(dict.fromkeys((*STRINGS, *INTEGERS, *NUMBERS, *OBJECTS, *BOOLEANS)))
+
+# The checks below are SQL text over two structs that are computed once per
+# event: ``_f`` holds its known fields, ``_k`` the type name of each of them. The
+# text of all checks is parsed in one call instead of one call per operation.
+
+
+def _texts(names: Iterable[str]) -> str:
+    return ", ".join(f"'{name}'" for name in names)
 
 
-def _missing(event: Column, name: str) -> Column:
-    value = jsonx.field(event, name)
-    empty = (jsonx.kind(value) == "STRING") & (jsonx.as_string(value) == "")
-    return value.isNull() | F.is_variant_null(value) | empty
+def _message(failed: str, text: str) -> str:
+    return f"CASE WHEN {failed} THEN '{text}' ELSE '' END"
 
 
-def _has_kind_other_than(event: Column, name: str, wanted: Column) -> Column:
-    """The field is present, is not null and is not of the wanted kind."""
-    kind = jsonx.kind(jsonx.field(event, name))
-    return kind.isNotNull() & (kind != "VOID") & ~wanted
+def _is_number(name: str) -> str:
+    return f"(_k.{name} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith(_k.{name}, 'DECIMAL'))"
 
 
-def _number(event: Column, name: str) -> Column:
-    """The field as a double when it is a JSON number."""
-    value = jsonx.field(event, name)
-    return F.when(jsonx.kind(value).rlike(jsonx.NUMBER_KINDS), jsonx.as_double(value))
+def _number(name: str) -> str:
+    return f"(CASE WHEN {_is_number(name)} THEN try_variant_get(_f.{name}, '$', 'double') END)"
 
 
-def _required_messages(topic: Column, event: Column) -> list[Column]:
+def _required_messages() -> list[str]:
+    def missing(name: str) -> str:
+        empty = f"_k.{name} = 'STRING' AND try_variant_get(_f.{name}, '$', 'string') = ''"
+        return f"(_k.{name} IS NULL OR _k.{name} = 'VOID' OR {empty})"
+
     names = sorted({name for fields in REQUIRED.values() for name in fields})
     return [
         _message(
-            topic.isin(*[t for t, fields in REQUIRED.items() if name in fields])
-            & _missing(event, name),
+            f"_topic IN ({_texts(t for t, fields in REQUIRED.items() if name in fields)}) AND {missing(name)}",
             f"missing required field: {name}",
         )
         for name in names
     ]
 
 
-def _closed_messages(topic: Column, event: Column) -> Column:
-    present = F.map_keys(jsonx.fields_of(event))
-    nothing = F.array().cast("array<string>")
-    extra = F.lit(None).cast("array<string>")
-    for name, fields in ALLOWED.items():
-        allowed = F.array(*[F.lit(f) for f in fields])
-        extra = F.coalesce(extra, F.when(topic == name, F.array_except(present, allowed)))
-    messages = F.transform(
-        F.array_sort(extra), lambda f: F.concat(F.lit("field not allowed by "), topic, F.lit(": "), f)
-    )
-    return F.when(topic.isin(*MEDIA_TOPICS), F.coalesce(messages, nothing)).otherwise(nothing)
+def _closed_messages() -> str:
+    cases = " ".join(f"WHEN '{t}' THEN array({_texts(fields)})" for t, fields in ALLOWED.items())
+    extra = f"array_sort(array_except(_keys, CASE _topic {cases} END))"
+    named = f"transform({extra}, f -> 'field not allowed by ' || _topic || ': ' || f)"
+    return f"CASE WHEN _topic IN ({_texts(ALLOWED)}) THEN {named} ELSE CAST(array() AS ARRAY<STRING>) END"
 
 
-def _typed_messages(event: Column) -> list[Column]:
-    def kind_of(name: str) -> Column:
-        return jsonx.kind(jsonx.field(event, name))
+def _typed_messages() -> list[str]:
+    def wrong(name: str, wanted: str) -> str:
+        return f"_k.{name} <> 'VOID' AND NOT {wanted}"
 
     strings = [
-        _message(
-            _has_kind_other_than(event, n, kind_of(n) == "STRING"), f"field must be a string: {n}"
-        )
-        for n in STRINGS
+        _message(wrong(n, f"_k.{n} = 'STRING'"), f"field must be a string: {n}") for n in STRINGS
     ]
     integers = [
-        _message(
-            _has_kind_other_than(event, n, kind_of(n) == "BIGINT"), f"field must be an integer: {n}"
-        )
+        _message(wrong(n, f"_k.{n} = 'BIGINT'"), f"field must be an integer: {n}")
         for n in INTEGERS
     ]
     numbers = [
-        _message(
-            _has_kind_other_than(event, n, kind_of(n).rlike(jsonx.NUMBER_KINDS)),
-            f"field must be numeric: {n}",
-        )
-        for n in NUMBERS
+        _message(wrong(n, _is_number(n)), f"field must be numeric: {n}") for n in NUMBERS
     ]
     # For these two groups an explicit null is an error as well.
-    objects = [
-        _message(
-            jsonx.field(event, n).isNotNull() & ~jsonx.is_object(jsonx.field(event, n)),
-            f"field must be an object: {n}",
-        )
-        for n in OBJECTS
-    ]
-    booleans = [
-        _message(
-            jsonx.field(event, n).isNotNull() & (kind_of(n) != "BOOLEAN"),
-            f"field must be a boolean: {n}",
-        )
-        for n in BOOLEANS
-    ]
+    objects = [_message(f"_k.{n} <> 'OBJECT'", f"field must be an object: {n}") for n in OBJECTS]
+    booleans = [_message(f"_k.{n} <> 'BOOLEAN'", f"field must be a boolean: {n}") for n in BOOLEANS]
     return strings + integers + numbers + objects + booleans
 
 
-def _ranged_messages(event: Column) -> list[Column]:
+def _ranged_messages() -> list[str]:
     ranges = [
-        _message(~_number(event, n).between(low, high), f"{n} out of range: {low}..{high}")
+        _message(f"{_number(n)} NOT BETWEEN {low} AND {high}", f"{n} out of range: {low}..{high}")
         for n, (low, high) in RANGES.items()
     ]
-    floors = [_message(_number(event, n) < 0, f"{n} must be non-negative") for n in NON_NEGATIVE]
-    above = [_message(_number(event, n) <= 0, f"{n} must be positive") for n in POSITIVE]
+    floors = [_message(f"{_number(n)} < 0", f"{n} must be non-negative") for n in NON_NEGATIVE]
+    above = [_message(f"{_number(n)} <= 0", f"{n} must be positive") for n in POSITIVE]
     return ranges + floors + above
 
 
-def contract_errors(topic: Column, event: Column) -> Column:
-    """Messages for every rule an event breaks, in a fixed order.
-
-    Topics without a contract give an empty array.
-    """
-    checks = F.concat(
-        F.array_remove(F.array(*_required_messages(topic, event)), ""),
-        _closed_messages(topic, event),
-        F.array_remove(F.array(*_typed_messages(event), *_ranged_messages(event)), ""),
-    )
-    nothing = F.array().cast("array<string>")
-    return F.when(topic.isin(*REQUIRED), checks).otherwise(nothing)
+def _kind(name: str) -> str:
+    if name in OBJECTS:
+        # The type name of an object spells out all of it; its header is enough here.
+        return (
+            f"CASE WHEN try_variant_get(_f.{name}, '$', 'struct<a:variant>') IS NOT NULL "
+            f"THEN 'OBJECT' WHEN is_variant_null(_f.{name}) THEN 'VOID' "
+            f"WHEN _f.{name} IS NOT NULL THEN 'OTHER' END AS {name}"
+        )
+    return f"schema_of_variant(_f.{name}) AS {name}"
 
 
 def with_errors(
     events: DataFrame, topic: str = "intended_topic", event: str = "event"
 ) -> DataFrame:
-    """Add the ``errors`` array to a table of events."""
-    return with_once(events, "errors", contract_errors(F.col(topic), F.col(event)))
+    """Add the ``errors`` array: a message for every rule an event breaks, in a fixed order.
+
+    Topics without a contract give an empty array.
+    """
+    members = ", ".join(f"{name}: variant" for name in FIELDS)
+    kinds = ", ".join(_kind(name) for name in FIELDS)
+    checks = f"""CASE WHEN _topic IN ({_texts(REQUIRED)}) THEN concat(
+      array_remove(array({", ".join(_required_messages())}), ''),
+      {_closed_messages()},
+      array_remove(array({", ".join(_typed_messages() + _ranged_messages())}), ''))
+      ELSE CAST(array() AS ARRAY<STRING>) END"""
+    closed = f"CASE WHEN _topic IN ({_texts(ALLOWED)}) THEN map_keys(try_variant_get({event}, '$', 'map<string,variant>')) END"
+    opened = events.withColumn("_topic", F.col(topic))
+    fields = with_once(opened, "_f", F.expr(f"try_variant_get({event}, '$', 'struct<{members}>')"))
+    typed = with_once(fields, "_k", F.expr(f"struct({kinds})"))
+    checked = typed.withColumn("_keys", F.expr(closed))
+    return with_once(checked, "errors", F.expr(checks)).drop("_topic", "_f", "_k", "_keys")
 
 
 def with_null_island(events: DataFrame, event: str = "event") -> DataFrame:
     """Flag positions that were filled with the default of zero for both axes."""
-    document = F.col(event)
-    at_zero = (_number(document, "latitude") == 0) & (_number(document, "longitude") == 0)
-    return events.withColumn("null_island", F.coalesce(at_zero, F.lit(False)))
+    def zero(name: str) -> str:
+        kind = f"schema_of_variant(try_variant_get({event}, '$.{name}', 'variant'))"
+        number = f"{kind} RLIKE '{jsonx.NUMBER_KINDS}'"
+        return f"({number} AND try_variant_get({event}, '$.{name}', 'double') = 0)"
+
+    return events.withColumn(
+        "null_island", F.expr(f"coalesce({zero('latitude')} AND {zero('longitude')}, false)")
+    )

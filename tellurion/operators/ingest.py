@@ -24,13 +24,17 @@ POSITION_KEYS = {
     "speed_m_s": ("speed_m_s", "speed"),
     "heading_deg": ("heading_deg", "heading"),
 }
-MESSAGE_COLUMNS = ("topic", "payload", "qos", "retain", "ingested_at")
+BODY_KEYS = tuple(
+    dict.fromkeys(
+        (*clock.TIMESTAMP_KEYS, *(k for keys in POSITION_KEYS.values() for k in keys), "device_id")
+    )
+)
 
 
-def aliased(document: Column, names: Iterable[str], default: str) -> Column:
-    """Value of the first key present, else a JSON default."""
-    found = [jsonx.field(document, name) for name in names]
-    return F.coalesce(*found, F.parse_json(F.lit(default)))
+def aliased(names: Iterable[str], default: str) -> Column:
+    """Value of the first key present in the body, else a JSON default."""
+    found = ", ".join(f"_b.{name}" for name in names)
+    return F.expr(f"coalesce({found}, parse_json('{default}'))")
 
 
 def decoded(
@@ -59,33 +63,33 @@ def _envelope() -> dict[str, Column]:
     }
 
 
-def sensor_event(stamp: Column) -> Column:
+def sensor_event() -> Column:
     body = F.col("body")
-    payload = F.when(jsonx.is_object(body), body).otherwise(jsonx.document(value=body))
+    payload = F.when(F.col("_b").isNotNull(), body).otherwise(jsonx.document(value=body))
     return jsonx.document(
-        device_id=F.col("device_id"), timestamp=stamp, payload=payload, **_envelope()
+        device_id=F.col("device_id"), timestamp=F.col("stamp"), payload=payload, **_envelope()
     )
 
 
-def position_event(stamp: Column) -> Column:
-    body = F.col("body")
-    payload = F.when(jsonx.is_object(body), body).otherwise(F.parse_json(F.lit("{}")))
+def position_event() -> Column:
+    payload = F.when(F.col("_b").isNotNull(), F.col("body")).otherwise(F.parse_json(F.lit("{}")))
     position = {
-        name: aliased(body, keys, "0.0" if name in ("latitude", "longitude") else "null")
+        name: aliased(keys, "0.0" if name in ("latitude", "longitude") else "null")
         for name, keys in POSITION_KEYS.items()
     }
     return jsonx.document(
-        device_id=F.col("device_id"), timestamp=stamp, payload=payload, **position, **_envelope()
+        device_id=F.col("device_id"), timestamp=F.col("stamp"), payload=payload, **position,
+        **_envelope(),
     )
 
 
-def media_event(stamp: Column) -> Column:
+def media_event() -> Column:
     """The payload's own keys under the envelope, which wins except for two keys."""
     body = F.col("body")
     given = F.coalesce(jsonx.fields_of(body), F.create_map().cast("map<string,variant>"))
     envelope = {
-        "device_id": F.coalesce(jsonx.field(body, "device_id"), F.col("device_id").cast("variant")),
-        "timestamp": F.coalesce(jsonx.field(body, "timestamp"), stamp.cast("variant")),
+        "device_id": F.coalesce(F.col("_b.device_id"), F.col("device_id").cast("variant")),
+        "timestamp": F.coalesce(F.col("_b.timestamp"), F.col("stamp").cast("variant")),
         **{name: value.cast("variant") for name, value in _envelope().items()},
     }
     own = F.map_filter(given, lambda key, _: ~key.isin(*envelope))
@@ -93,29 +97,41 @@ def media_event(stamp: Column) -> Column:
     return F.to_variant_object(F.map_concat(own, added))
 
 
+def stamped(decoded_messages: DataFrame) -> DataFrame:
+    """Add the members of the body as ``_b`` and the event timestamp as ``stamp``."""
+    opened = with_once(decoded_messages, "_b", jsonx.members("body", BODY_KEYS))
+    picked = with_once(opened, "_picked", clock.first_present("_b"))
+    return with_once(picked, "stamp", clock.normalised("_picked", "ingested_at")).drop("_picked")
+
+
 def built(
     messages: DataFrame, default_topic: str = topics.RAW_SENSOR, prefixes: Iterable[str] = ()
 ) -> DataFrame:
     """One event per message: ``intended_topic``, ``key`` and ``event`` are added."""
-    stamp = clock.picked(F.col("body"), F.col("ingested_at"))
     event = (
-        F.when(F.col("intended_topic") == topics.RAW_SENSOR, sensor_event(stamp))
-        .when(F.col("intended_topic") == topics.RAW_GPS, position_event(stamp))
-        .otherwise(media_event(stamp))
+        F.when(F.col("intended_topic") == topics.RAW_SENSOR, sensor_event())
+        .when(F.col("intended_topic") == topics.RAW_GPS, position_event())
+        .otherwise(media_event())
     )
-    with_event = with_once(decoded(messages, default_topic, prefixes), "event", event)
-    return with_event.withColumn("key", F.col("device_id")).drop("body")
+    with_event = with_once(stamped(decoded(messages, default_topic, prefixes)), "event", event)
+    return with_event.withColumn("key", F.col("device_id")).drop("body", "_b", "stamp")
 
 
 def dead_letter(
-    source: Column, intended_topic: Column, errors: Column, event: Column, at: Column
+    source: Column, intended_topic: Column, errors: Column, event: str, at: Column
 ) -> Column:
-    """Dead-letter record of an event; the first non-empty origin names its source topic."""
-    origins = [jsonx.field(event, n) for n in ("source_topic", "mqtt_topic", "object_uri")]
+    """Dead-letter record of the event in a named column.
+
+    The first origin that is not empty becomes its source topic.
+    """
+    def member(name: str) -> str:
+        return f"try_variant_get({event}, '$.{name}', 'variant')"
+
+    origins = [member(n) for n in ("source_topic", "mqtt_topic", "object_uri")]
     origin = F.coalesce(
         *[F.when(jsonx.truthy(o), jsonx.text(o)) for o in origins], F.lit("")
     )
-    device = F.coalesce(jsonx.text(jsonx.field(event, "device_id")), F.lit(topics.UNKNOWN))
+    device = F.coalesce(jsonx.text(member("device_id")), F.lit(topics.UNKNOWN))
     return F.struct(
         at.alias("timestamp"),
         source.alias("source"),
@@ -123,7 +139,7 @@ def dead_letter(
         origin.alias("source_topic"),
         device.alias("device_id"),
         errors.alias("errors"),
-        event.alias("raw_event"),
+        F.col(event).alias("raw_event"),
     )
 
 
@@ -135,7 +151,7 @@ def routed(events: DataFrame, source: str = topics.BRIDGE_SOURCE) -> DataFrame:
         F.lit(source),
         F.col("intended_topic"),
         F.col("errors"),
-        F.col("event"),
+        "event",
         F.col("ingested_at"),
     )
     return checked.withColumns(

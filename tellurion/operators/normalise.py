@@ -15,13 +15,17 @@ COLUMNS = (
 )
 
 
-def _integer(value: Column) -> Column:
+# Keys of a raw event that a normalised event draws on.
+KEYS = ("device_id", "timestamp", "ingested_at", "mqtt_topic", "payload_b64", "qos", "retain")
+
+
+def _integer(value: str) -> Column:
     """A value as an integer: numbers are cut, texts are read, the rest is zero."""
-    of_text = F.btrim(jsonx.as_string(value)).try_cast("int")
-    number = F.when(jsonx.kind(value) == "STRING", of_text).otherwise(
-        jsonx.as_double(value).try_cast("int")
+    return F.expr(
+        f"""coalesce(CASE WHEN schema_of_variant({value}) = 'STRING'
+          THEN try_cast(trim(try_variant_get({value}, '$', 'string')) AS INT)
+          ELSE try_cast(try_variant_get({value}, '$', 'double') AS INT) END, 0)"""
     )
-    return F.coalesce(number, F.lit(0))
 
 
 def normalised(
@@ -33,34 +37,29 @@ def normalised(
     are not objects, give no row.
     """
     kept = [c for c in records.columns if c not in (topic, raw)]
-    document = F.col("_document")
-
-    def value(name: str) -> Column:
-        return jsonx.field(document, name)
-
-    mqtt_topic = F.coalesce(jsonx.text(value("mqtt_topic")), F.lit(""))
-    device = value("device_id")
-    entity = F.when(jsonx.truthy(device), jsonx.text(device)).otherwise(
-        topics.entity_id(F.col("mqtt_topic"))
-    )
     named = records.select(
         *kept, F.col(topic).alias("source_topic"), F.col(raw).alias("raw_json")
     )
     parsed = with_once(named, "_document", jsonx.strict_parse(F.col("raw_json")))
-    return (
-        with_once(parsed.filter(jsonx.is_object(document)), "mqtt_topic", mqtt_topic)
-        .select(
-            *kept,
-            entity.alias("entity_id"),
-            clock.event_time(document).alias("event_ts"),
-            "source_topic",
-            "mqtt_topic",
-            topics.event_kind(F.col("source_topic"), F.col("mqtt_topic")).alias("event_kind"),
-            F.coalesce(jsonx.text(value("payload_b64")), F.lit("")).alias("payload_b64"),
-            _integer(value("qos")).alias("qos"),
-            jsonx.truthy(value("retain")).alias("retain"),
-            "raw_json",
-        )
+    opened = with_once(parsed, "_m", jsonx.members("_document", KEYS)).drop("_document")
+    objects = opened.filter(F.col("_m").isNotNull())
+    sent = with_once(
+        objects, "mqtt_topic", F.coalesce(jsonx.text("_m.mqtt_topic"), F.lit(""))
+    )
+    entity = F.when(jsonx.truthy("_m.device_id"), jsonx.text("_m.device_id")).otherwise(
+        topics.entity_id(F.col("mqtt_topic"))
+    )
+    return sent.select(
+        *kept,
+        entity.alias("entity_id"),
+        clock.event_time("_m").alias("event_ts"),
+        "source_topic",
+        "mqtt_topic",
+        topics.event_kind(F.col("source_topic"), F.col("mqtt_topic")).alias("event_kind"),
+        F.coalesce(jsonx.text("_m.payload_b64"), F.lit("")).alias("payload_b64"),
+        _integer("_m.qos").alias("qos"),
+        jsonx.truthy("_m.retain").alias("retain"),
+        "raw_json",
     )
 
 

@@ -165,7 +165,7 @@ def _rates(extrapolate: bool) -> str:
         near = f"CASE WHEN {edge} < {gap} * 1.1 THEN {edge} ELSE {gap} / 2 END"
         zero = "CASE WHEN inc > 0 AND first_value >= 0 THEN covered * first_value / inc ELSE 1e18 END"
         rate = f"(inc / covered) * (covered + least({near}, {zero})) / {SPAN / 1e6}"
-    return f"""SELECT job, instance, us, round({rate}, 7) AS rate FROM (SELECT job, instance, us,
+    return f"""SELECT job, instance, us, round({rate} * {SPAN / 1e6}, 8) AS increase FROM (SELECT job, instance, us,
       sum(g) OVER w - first(g) OVER w AS inc, (us - first(us) OVER w) / 1e6 AS covered, count(*) OVER w AS n,
       first(us) OVER w AS first_us, first(value) OVER w AS first_value
       FROM (SELECT *, CASE WHEN lag(value) OVER o IS NULL THEN 0 WHEN value < lag(value) OVER o THEN value
@@ -178,19 +178,19 @@ def _rates(extrapolate: bool) -> str:
 def _rated(spark, sf_dir, extrapolate):
     rated = metrics.rates(_series(spark, sf_dir, "requests_total", "counter"), SPAN, extrapolate)
     return rated.select(
-        _job(), metrics.label("instance").alias("instance"), "us", F.round("rate", 7).alias("rate")
+        _job(), metrics.label("instance").alias("instance"), "us", F.round(F.col("rate") * (SPAN / metrics.SECOND), 8).alias("increase")
     )
 
 
 @query(_rates(False))
 def counter_rate(spark, sf_dir):
-    """Counter increase per second over the covered time."""
+    """Counter rate over the covered time, shown per look-back."""
     return _rated(spark, sf_dir, False)
 
 
 @query(_rates(True))
 def counter_rate_extrapolated(spark, sf_dir):
-    """Counter increase per second, extended to the edges of the look-back."""
+    """Counter rate extended to the edges of the look-back, shown per look-back."""
     return _rated(spark, sf_dir, True)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tellurion.functions import clock, jsonx, topics
+from tellurion.functions import jsonx, topics
 from tellurion.operators import contracts, deadletters, ingest
 from tellurion.plans import views
 from tellurion.plans.registry import query
@@ -121,10 +121,7 @@ def payload_decode(spark, sf_dir):
 @query(f"SELECT event_id, {STAMP} AS stamp FROM {MESSAGES} m")
 def timestamps_normalised(spark, sf_dir):
     """Timestamp text picked from every payload."""
-    messages = ingest.decoded(_messages(spark, sf_dir))
-    return messages.select(
-        "event_id", clock.picked(F.col("body"), F.col("ingested_at")).alias("stamp")
-    )
+    return ingest.stamped(ingest.decoded(_messages(spark, sf_dir))).select("event_id", "stamp")
 
 
 @query(f"""SELECT event_id, {DEVICE} AS device_id, {STAMP} AS stamp, ingested_at, topic AS mqtt_topic,
@@ -197,7 +194,7 @@ def media_events(spark, sf_dir):
     return rows.select(
         "event_id",
         jsonx.as_string(jsonx.field(event, "device_id")).alias("device_id"),
-        jsonx.text(jsonx.field(event, "timestamp")).alias("stamp"),
+        jsonx.text("try_variant_get(event, '$.timestamp', 'variant')").alias("stamp"),
         F.try_variant_get(event, "$.frame", "bigint").alias("frame"),
         F.try_variant_get(event, "$.object_key", "string").alias("object_key"),
         F.try_variant_get(event, "$.size_bytes", "bigint").alias("size_bytes"),
