@@ -29,33 +29,37 @@ def iso_timestamp(instant: Column) -> Column:
     return iso_text(F.unix_micros(instant.cast("timestamp")))
 
 
-def normalised(value: str, fallback: str) -> Column:
-    """A JSON value as timestamp text; both arguments are SQL text.
+def epoch_micros(value: str, kind: str) -> Column:
+    """Microseconds of a JSON number that counts epoch seconds or milliseconds.
 
-    Numbers are epoch seconds or milliseconds; null, an empty string and a
-    number outside the calendar take the fallback; anything else is kept as text.
+    Arguments are SQL text: the value and its type name. NULL outside the calendar.
     """
-    kind = f"schema_of_variant({value})"
     whole = f"try_variant_get({value}, '$', 'bigint')"
     exact = f"try_variant_get({value}, '$', 'decimal(38,9)')"
+    first, last = FIRST_MICRO // 1_000_000, LAST_MICRO // 1000
     # Whole numbers, the usual case, stay in integer arithmetic.
-    whole_micros = f"""CASE WHEN {whole} > {MILLISECONDS_FROM}
-        THEN CASE WHEN {whole} <= {LAST_MICRO // 1000} THEN {whole} * 1000 END
-        WHEN {whole} >= {FIRST_MICRO // 1_000_000} THEN {whole} * 1000000 END"""
-    scaled = f"{exact} * CASE WHEN {exact} > {MILLISECONDS_FROM} THEN 1000 ELSE 1000000 END"
-    exact_micros = f"""CASE WHEN {exact} BETWEEN {FIRST_MICRO // 1_000_000} AND {LAST_MICRO // 1000}
-        THEN CASE WHEN {scaled} BETWEEN {FIRST_MICRO} AND {LAST_MICRO} THEN CAST(bround({scaled}) AS BIGINT) END END"""
-
-    def stamp(micros: str) -> str:
-        return f"""CASE WHEN ({micros}) % 1000000 = 0
-          THEN date_format(timestamp_micros({micros}), "yyyy-MM-dd'T'HH:mm:ssxxx")
-          ELSE date_format(timestamp_micros({micros}), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") END"""
+    return F.expr(
+        f"""CASE WHEN {kind} = 'BIGINT' THEN
+            CASE WHEN {whole} BETWEEN {first} AND {MILLISECONDS_FROM} THEN {whole} * 1000000
+              WHEN {whole} BETWEEN {first} AND {last} THEN {whole} * 1000 END
+          WHEN {kind} RLIKE '{jsonx.NUMBER_KINDS}' THEN
+            CASE WHEN {exact} BETWEEN {first} AND {MILLISECONDS_FROM} THEN CAST(bround({exact} * 1000000) AS BIGINT)
+              WHEN {exact} BETWEEN {first} AND {last} THEN CAST(bround({exact} * 1000) AS BIGINT) END END"""
+    )
+
 
+def normalised(value: str, kind: str, micros: str, fallback: str) -> Column:
+    """A JSON value as timestamp text; arguments are SQL text.
+
+    Numbers show the instant they count; null, an empty string and a number
+    outside the calendar take the fallback; anything else is kept as text.
+    """
     return F.expr(
         f"""CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN {fallback}
           WHEN {kind} = 'STRING' THEN coalesce(nullif(try_variant_get({value}, '$', 'string'), ''), {fallback})
-          WHEN {kind} = 'BIGINT' THEN coalesce({stamp(whole_micros)}, {fallback})
-          WHEN {kind} RLIKE '{jsonx.NUMBER_KINDS}' THEN coalesce({stamp(exact_micros)}, {fallback})
+          WHEN {micros} % 1000000 = 0 THEN date_format(timestamp_micros({micros}), "yyyy-MM-dd'T'HH:mm:ssxxx")
+          WHEN {micros} IS NOT NULL THEN date_format(timestamp_micros({micros}), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+          WHEN {kind} RLIKE '{jsonx.NUMBER_KINDS}' THEN {fallback}
           ELSE to_json({value}) END"""
     )
 

@@ -51,8 +51,8 @@ POSITIVE = ("frame_rate", "height", "views", "width")
 
 FIELDS = tuple(dict.fromkeys((*STRINGS, *INTEGERS, *NUMBERS, *OBJECTS, *BOOLEANS)))
 
-# The checks below are SQL text over two structs that are computed once per
-# event: ``_f`` holds its known fields, ``_k`` the type name of each of them. The
+# The checks below are SQL text over columns that are computed once per
+# event: ``_f`` holds its known fields, ``_k_<field>`` the type name of each. The
 # text of all checks is parsed in one call instead of one call per operation.
 
 
@@ -65,7 +65,7 @@ def _message(failed: str, text: str) -> str:
 
 
 def _is_number(name: str) -> str:
-    return f"(_k.{name} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith(_k.{name}, 'DECIMAL'))"
+    return f"(_k_{name} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith(_k_{name}, 'DECIMAL'))"
 
 
 def _number(name: str) -> str:
@@ -74,8 +74,8 @@ def _number(name: str) -> str:
 
 def _required_messages() -> list[str]:
     def missing(name: str) -> str:
-        empty = f"_k.{name} = 'STRING' AND try_variant_get(_f.{name}, '$', 'string') = ''"
-        return f"(_k.{name} IS NULL OR _k.{name} = 'VOID' OR {empty})"
+        empty = f"_k_{name} = 'STRING' AND try_variant_get(_f.{name}, '$', 'string') = ''"
+        return f"(_k_{name} IS NULL OR _k_{name} = 'VOID' OR {empty})"
 
     names = sorted({name for fields in REQUIRED.values() for name in fields})
     return [
@@ -96,21 +96,21 @@ def _closed_messages() -> str:
 
 def _typed_messages() -> list[str]:
     def wrong(name: str, wanted: str) -> str:
-        return f"_k.{name} <> 'VOID' AND NOT {wanted}"
+        return f"_k_{name} <> 'VOID' AND NOT {wanted}"
 
     strings = [
-        _message(wrong(n, f"_k.{n} = 'STRING'"), f"field must be a string: {n}") for n in STRINGS
+        _message(wrong(n, f"_k_{n} = 'STRING'"), f"field must be a string: {n}") for n in STRINGS
     ]
     integers = [
-        _message(wrong(n, f"_k.{n} = 'BIGINT'"), f"field must be an integer: {n}")
+        _message(wrong(n, f"_k_{n} = 'BIGINT'"), f"field must be an integer: {n}")
         for n in INTEGERS
     ]
     numbers = [
         _message(wrong(n, _is_number(n)), f"field must be numeric: {n}") for n in NUMBERS
     ]
     # For these two groups an explicit null is an error as well.
-    objects = [_message(f"_k.{n} <> 'OBJECT'", f"field must be an object: {n}") for n in OBJECTS]
-    booleans = [_message(f"_k.{n} <> 'BOOLEAN'", f"field must be a boolean: {n}") for n in BOOLEANS]
+    objects = [_message(f"_k_{n} <> 'OBJECT'", f"field must be an object: {n}") for n in OBJECTS]
+    booleans = [_message(f"_k_{n} <> 'BOOLEAN'", f"field must be a boolean: {n}") for n in BOOLEANS]
     return strings + integers + numbers + objects + booleans
 
 
@@ -130,9 +130,9 @@ def _kind(name: str) -> str:
         return (
             f"CASE WHEN try_variant_get(_f.{name}, '$', 'struct<a:variant>') IS NOT NULL "
             f"THEN 'OBJECT' WHEN is_variant_null(_f.{name}) THEN 'VOID' "
-            f"WHEN _f.{name} IS NOT NULL THEN 'OTHER' END AS {name}"
+            f"WHEN _f.{name} IS NOT NULL THEN 'OTHER' END"
         )
-    return f"schema_of_variant(_f.{name}) AS {name}"
+    return f"schema_of_variant(_f.{name})"
 
 
 def with_errors(
@@ -143,18 +143,18 @@ def with_errors(
     Topics without a contract give an empty array.
     """
     members = ", ".join(f"{name}: variant" for name in FIELDS)
-    kinds = ", ".join(_kind(name) for name in FIELDS)
+    kinds = {f"_k_{name}": F.expr(_kind(name)) for name in FIELDS}
     checks = f"""CASE WHEN _topic IN ({_texts(REQUIRED)}) THEN concat(
       array_remove(array({", ".join(_required_messages())}), ''),
       {_closed_messages()},
       array_remove(array({", ".join(_typed_messages() + _ranged_messages())}), ''))
       ELSE CAST(array() AS ARRAY<STRING>) END"""
     closed = f"CASE WHEN _topic IN ({_texts(ALLOWED)}) THEN map_keys(try_variant_get({event}, '$', 'map<string,variant>')) END"
-    opened = events.withColumn("_topic", F.col(topic))
-    fields = with_once(opened, "_f", F.expr(f"try_variant_get({event}, '$', 'struct<{members}>')"))
-    typed = with_once(fields, "_k", F.expr(f"struct({kinds})"))
-    checked = typed.withColumn("_keys", F.expr(closed))
-    return with_once(checked, "errors", F.expr(checks)).drop("_topic", "_f", "_k", "_keys")
+    opened = events.withColumns(
+        {"_topic": F.col(topic), "_f": F.expr(f"try_variant_get({event}, '$', 'struct<{members}>')")}
+    )
+    checked = opened.withColumns({**kinds, "_keys": F.expr(closed)})
+    return with_once(checked, "errors", F.expr(checks)).select(*events.columns, "errors")
 
 
 def with_null_island(events: DataFrame, event: str = "event") -> DataFrame:

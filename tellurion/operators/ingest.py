@@ -50,7 +50,7 @@ def decoded(
             "source": topics.event_source(topic, prefixes),
         }
     )
-    return with_once(named, "body", jsonx.decode_payload(F.col("payload")))
+    return named.withColumn("body", jsonx.decode_payload(F.col("payload")))
 
 
 def _envelope() -> dict[str, Column]:
@@ -99,9 +99,12 @@ def media_event() -> Column:
 
 def stamped(decoded_messages: DataFrame) -> DataFrame:
     """Add the members of the body as ``_b`` and the event timestamp as ``stamp``."""
-    opened = with_once(decoded_messages, "_b", jsonx.members("body", BODY_KEYS))
-    picked = with_once(opened, "_picked", clock.first_present("_b"))
-    return with_once(picked, "stamp", clock.normalised("_picked", "ingested_at")).drop("_picked")
+    opened = decoded_messages.withColumn("_b", jsonx.members("body", BODY_KEYS))
+    picked = opened.withColumn("_picked", clock.first_present("_b"))
+    typed = picked.withColumn("_kind", F.expr("schema_of_variant(_picked)"))
+    counted = typed.withColumn("_micros", clock.epoch_micros("_picked", "_kind"))
+    stamp = clock.normalised("_picked", "_kind", "_micros", "ingested_at")
+    return counted.withColumn("stamp", stamp).drop("_picked", "_kind", "_micros")
 
 
 def built(

@@ -41,11 +41,9 @@ def normalised(
         *kept, F.col(topic).alias("source_topic"), F.col(raw).alias("raw_json")
     )
     parsed = with_once(named, "_document", jsonx.strict_parse(F.col("raw_json")))
-    opened = with_once(parsed, "_m", jsonx.members("_document", KEYS)).drop("_document")
+    opened = parsed.withColumn("_m", jsonx.members("_document", KEYS)).drop("_document")
     objects = opened.filter(F.col("_m").isNotNull())
-    sent = with_once(
-        objects, "mqtt_topic", F.coalesce(jsonx.text("_m.mqtt_topic"), F.lit(""))
-    )
+    sent = objects.withColumn("mqtt_topic", F.coalesce(jsonx.text("_m.mqtt_topic"), F.lit("")))
     entity = F.when(jsonx.truthy("_m.device_id"), jsonx.text("_m.device_id")).otherwise(
         topics.entity_id(F.col("mqtt_topic"))
     )
