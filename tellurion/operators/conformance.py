@@ -36,6 +36,7 @@ def _type_holds(value: Column, kind: Column, declared: Column) -> Column:
 
 def _broken_rules() -> Column:
     value, kind, declared = F.col("_value"), F.col("_kind"), F.col("type")
+    known, present = declared.isNotNull(), value.isNotNull()
     typed = _type_holds(value, kind, declared)
     text = jsonx.as_string(value)
     number = F.when(kind.rlike(jsonx.NUMBER_KINDS), jsonx.as_double(value))
@@ -48,7 +49,10 @@ def _broken_rules() -> Column:
 
     return F.array_remove(
         F.array(
-            rule(~typed, "type"),
+            rule(F.col("_broken"), "object"),
+            rule(known & ~present, "required"),
+            rule(~known & present & F.col("closed"), "additionalProperties"),
+            rule(known & present & ~typed, "type"),
             rule(typed & F.col("enum").isNotNull() & ~F.array_contains("enum", text), "enum"),
             rule(
                 typed & (declared == "timestamp") & ~timestamp_ok
@@ -80,27 +84,22 @@ def violations(
         "topic", F.col(record_id).alias("record_id"), F.col(value).alias("_text")
     ).join(F.broadcast(topics), "topic")
     parsed = with_once(known, "_map", jsonx.fields_of(jsonx.strict_parse(F.col("_text"))))
-    present = F.map_keys("_map")
-    missing = F.array_except("required_fields", present)
-    extra = F.when(F.col("closed"), F.array_except(present, F.col("fields")))
-
-    def named(names: Column, rule: str) -> Column:
-        return F.transform(names, lambda f: F.struct(f.alias("field"), F.lit(rule).alias("rule")))
-
-    nothing = F.array().cast("array<struct<field:string,rule:string>>")
-    of_record = F.when(
-        F.col("_map").isNull(), F.array(F.struct(F.lit("").alias("field"), F.lit("object").alias("rule")))
-    ).otherwise(
-        F.concat(
-            F.coalesce(named(missing, "required"), nothing),
-            F.coalesce(named(extra, "additionalProperties"), nothing),
-        )
+    # Required fields that are absent join the others without a value, so that one
+    # pass over the fields of a record finds all its violations.
+    missing = F.array_except("required_fields", F.map_keys("_map"))
+    absent = F.map_from_arrays(
+        missing, F.array_repeat(F.lit(None).cast("variant"), F.size(missing))
     )
-    shape = parsed.select("topic", "record_id", F.inline(of_record))
-    by_field = (
-        parsed.select("topic", "record_id", F.explode("_map").alias("field", "_value"))
-        .join(F.broadcast(fields), ["topic", "field"])
+    nothing = F.create_map(F.lit(""), F.lit(None).cast("variant"))
+    members = parsed.select(
+        "topic",
+        "record_id",
+        "closed",
+        F.col("_map").isNull().alias("_broken"),
+        F.explode(F.coalesce(F.map_concat("_map", absent), nothing)).alias("field", "_value"),
+    )
+    return (
+        members.join(F.broadcast(fields), ["topic", "field"], "left")
         .withColumn("_kind", jsonx.kind(F.col("_value")))
         .select("topic", "record_id", "field", F.explode(_broken_rules()).alias("rule"))
     )
-    return shape.unionByName(by_field)

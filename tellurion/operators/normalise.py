@@ -47,9 +47,10 @@ def normalised(
     entity = F.when(jsonx.truthy("_m.device_id"), jsonx.text("_m.device_id")).otherwise(
         topics.entity_id(F.col("mqtt_topic"))
     )
-    return sent.select(
+    # Joins and windows on the entity would otherwise repeat how it is found.
+    return with_once(sent, "entity_id", entity).select(
         *kept,
-        entity.alias("entity_id"),
+        "entity_id",
         clock.event_time("_m").alias("event_ts"),
         "source_topic",
         "mqtt_topic",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -77,6 +78,8 @@ def accepted_by_batch(
             state = spark.read.schema("entity_id STRING, known_ts STRING").parquet(
                 f"{state_path}/batch_id={batch_id - 1}"
             )
+        # The batch is read three times; what is lost with an executor is recomputed.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
         judged = latest.with_acceptance(
             batch, arrival=order[0], tie=order[1] if len(order) > 1 else None, block_rows=block_rows
         )
@@ -89,6 +92,7 @@ def accepted_by_batch(
         seen.unionByName(state).groupBy("entity_id").agg(
             F.max("known_ts").alias("known_ts")
         ).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        batch.unpersist()
 
     return _triggered(events.writeStream.foreachBatch(write), checkpoint, once).start()
 
