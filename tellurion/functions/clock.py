@@ -69,12 +69,11 @@ def first_present(members: str) -> Column:
     return F.expr("coalesce(" + ", ".join(f"{members}.{k}" for k in TIMESTAMP_KEYS) + ")")
 
 
-def event_time(members: str) -> Column:
+def event_time(stamp: str, stamp_kind: str, ingested: str, ingested_kind: str) -> Column:
     """Timestamp of a record, else its ingestion time, else an empty string."""
-    stamp, ingested = f"{members}.timestamp", f"{members}.ingested_at"
     return (
-        F.when(jsonx.truthy(stamp), jsonx.text(stamp))
-        .when(jsonx.truthy(ingested), jsonx.text(ingested))
+        F.when(jsonx.truthy(stamp, stamp_kind), jsonx.text(stamp, stamp_kind))
+        .when(jsonx.truthy(ingested, ingested_kind), jsonx.text(ingested, ingested_kind))
         .otherwise(F.lit(""))
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMBER_KINDS = "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
@@ -38,20 +38,23 @@ def fields_of(document: Column) -> Column:
     return F.try_variant_get(document, "$", "map<string,variant>")
 
 
-def strict_parse(text: Column) -> Column:
-    """Parse a text that must be one whole JSON document, NULL otherwise.
+def with_document(rows: DataFrame, name: str, text: str) -> DataFrame:
+    """Parse a text, given as SQL, that must be one whole JSON document, NULL otherwise.
 
     ``try_parse_json`` ignores what follows the first document. Text that ends
     early cannot close both an array and an object around it, so both wrapped
-    forms must parse and must hold exactly one entry.
+    forms must parse and must hold exactly one entry. Each is parsed once: the
+    wrapped forms are columns of their own before they are read.
     """
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    single_item = F.try_variant_get(in_array, "$[1]", "variant").isNull()
-    single_key = F.size(fields_of(in_object)) == 1
-    return F.when(
-        single_item & single_key, F.try_variant_get(in_array, "$[0]", "variant")
+    wrapped = rows.withColumns(
+        {
+            "_array": F.expr(f"try_parse_json('[' || ({text}) || ']')"),
+            "_keys": F.size(fields_of(F.expr(f"""try_parse_json('{{"v":' || ({text}) || '}}')"""))),
+        }
     )
+    single = "try_variant_get(_array, '$[1]', 'variant') IS NULL AND _keys = 1"
+    document = f"CASE WHEN {single} THEN try_variant_get(_array, '$[0]', 'variant') END"
+    return wrapped.withColumn(name, F.expr(document)).drop("_array", "_keys")
 
 
 def is_object(document: Column) -> Column:
@@ -72,25 +75,29 @@ def as_double(document: Column) -> Column:
     return F.try_variant_get(document, "$", "double")
 
 
-def truthy(value: str) -> Column:
-    """Whether a value, given as SQL text, counts as true: not null, zero, false or empty."""
+def truthy(value: str, kind: str | None = None) -> Column:
+    """Whether a value counts as true: not null, zero, false or empty.
+
+    Arguments are SQL text; ``kind`` is the type name where it is known already.
+    """
+    kind = kind or f"schema_of_variant({value})"
     return F.expr(
-        f"""CASE coalesce(regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0), 'VOID')
-          WHEN 'VOID' THEN false
-          WHEN 'STRING' THEN try_variant_get({value}, '$', 'string') <> ''
-          WHEN 'BOOLEAN' THEN try_variant_get({value}, '$', 'boolean')
-          WHEN 'OBJECT' THEN schema_of_variant({value}) <> 'OBJECT<>'
-          WHEN 'ARRAY' THEN try_variant_get({value}, '$[0]', 'variant') IS NOT NULL
+        f"""CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN false
+          WHEN {kind} = 'STRING' THEN try_variant_get({value}, '$', 'string') <> ''
+          WHEN {kind} = 'BOOLEAN' THEN try_variant_get({value}, '$', 'boolean')
+          WHEN startswith({kind}, 'OBJECT') THEN {kind} <> 'OBJECT<>'
+          WHEN startswith({kind}, 'ARRAY') THEN try_variant_get({value}, '$[0]', 'variant') IS NOT NULL
           ELSE try_variant_get({value}, '$', 'double') <> 0 END"""
     )
 
 
-def text(value: str) -> Column:
-    """A value, given as SQL text, as a string: strings bare, booleans capitalised, else JSON."""
+def text(value: str, kind: str | None = None) -> Column:
+    """A value as a string: strings bare, booleans capitalised, the rest as JSON."""
+    kind = kind or f"schema_of_variant({value})"
     return F.expr(
-        f"""CASE coalesce(schema_of_variant({value}), 'VOID') WHEN 'VOID' THEN NULL
-          WHEN 'STRING' THEN try_variant_get({value}, '$', 'string')
-          WHEN 'BOOLEAN' THEN initcap(try_variant_get({value}, '$', 'string'))
+        f"""CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN NULL
+          WHEN {kind} = 'STRING' THEN try_variant_get({value}, '$', 'string')
+          WHEN {kind} = 'BOOLEAN' THEN initcap(try_variant_get({value}, '$', 'string'))
           ELSE to_json({value}) END"""
     )
 
@@ -105,10 +112,12 @@ def to_text(value: Column) -> Column:
     return F.to_json(value, {"ignoreNullFields": "false"})
 
 
-def decode_payload(payload: Column) -> Column:
+def with_decoded(rows: DataFrame, name: str, payload: str = "payload") -> DataFrame:
     """Message bytes as a JSON document, or wrapped in base64 when they are not."""
-    raw = payload.cast("string")
-    parsed = F.when(F.is_valid_utf8(raw), strict_parse(raw))
+    raw = f"CAST({payload} AS STRING)"
+    parsed = with_document(rows, "_parsed", f"CASE WHEN is_valid_utf8({raw}) THEN {raw} END")
     # The encoder may break lines, depending on a session setting.
     encoded = F.translate(F.base64(payload), "\r\n", "")
-    return F.coalesce(parsed, document(payload_b64=encoded))
+    return parsed.withColumn(name, F.coalesce("_parsed", document(payload_b64=encoded))).drop(
+        "_parsed"
+    )

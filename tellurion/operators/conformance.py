@@ -83,7 +83,8 @@ def violations(
     known = records.select(
         "topic", F.col(record_id).alias("record_id"), F.col(value).alias("_text")
     ).join(F.broadcast(topics), "topic")
-    parsed = with_once(known, "_map", jsonx.fields_of(jsonx.strict_parse(F.col("_text"))))
+    documents = jsonx.with_document(known, "_document", "_text")
+    parsed = with_once(documents, "_map", jsonx.fields_of(F.col("_document")))
     # Required fields that are absent join the others without a value, so that one
     # pass over the fields of a record finds all its violations.
     missing = F.array_except("required_fields", F.map_keys("_map"))

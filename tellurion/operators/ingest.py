@@ -50,7 +50,7 @@ def decoded(
             "source": topics.event_source(topic, prefixes),
         }
     )
-    return named.withColumn("body", jsonx.decode_payload(F.col("payload")))
+    return jsonx.with_decoded(named, "body")
 
 
 def _envelope() -> dict[str, Column]:

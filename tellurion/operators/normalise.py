@@ -19,10 +19,10 @@ COLUMNS = (
 KEYS = ("device_id", "timestamp", "ingested_at", "mqtt_topic", "payload_b64", "qos", "retain")
 
 
-def _integer(value: str) -> Column:
+def _integer(value: str, kind: str) -> Column:
     """A value as an integer: numbers are cut, texts are read, the rest is zero."""
     return F.expr(
-        f"""coalesce(CASE WHEN schema_of_variant({value}) = 'STRING'
+        f"""coalesce(CASE WHEN {kind} = 'STRING'
           THEN try_cast(trim(try_variant_get({value}, '$', 'string')) AS INT)
           ELSE try_cast(try_variant_get({value}, '$', 'double') AS INT) END, 0)"""
     )
@@ -40,24 +40,31 @@ def normalised(
     named = records.select(
         *kept, F.col(topic).alias("source_topic"), F.col(raw).alias("raw_json")
     )
-    parsed = with_once(named, "_document", jsonx.strict_parse(F.col("raw_json")))
-    opened = parsed.withColumn("_m", jsonx.members("_document", KEYS)).drop("_document")
+    documents = jsonx.with_document(named, "_document", "raw_json")
+    opened = with_once(documents, "_m", jsonx.members("_document", KEYS))
     objects = opened.filter(F.col("_m").isNotNull())
-    sent = objects.withColumn("mqtt_topic", F.coalesce(jsonx.text("_m.mqtt_topic"), F.lit("")))
-    entity = F.when(jsonx.truthy("_m.device_id"), jsonx.text("_m.device_id")).otherwise(
+    typed = objects.withColumns({f"_k_{k}": F.expr(f"schema_of_variant(_m.{k})") for k in KEYS})
+
+    def of(name: str) -> tuple[str, str]:
+        return f"_m.{name}", f"_k_{name}"
+
+    sent = typed.withColumn(
+        "mqtt_topic", F.coalesce(jsonx.text(*of("mqtt_topic")), F.lit(""))
+    )
+    entity = F.when(jsonx.truthy(*of("device_id")), jsonx.text(*of("device_id"))).otherwise(
         topics.entity_id(F.col("mqtt_topic"))
     )
     # Joins and windows on the entity would otherwise repeat how it is found.
     return with_once(sent, "entity_id", entity).select(
         *kept,
         "entity_id",
-        clock.event_time("_m").alias("event_ts"),
+        clock.event_time(*of("timestamp"), *of("ingested_at")).alias("event_ts"),
         "source_topic",
         "mqtt_topic",
         topics.event_kind(F.col("source_topic"), F.col("mqtt_topic")).alias("event_kind"),
-        F.coalesce(jsonx.text("_m.payload_b64"), F.lit("")).alias("payload_b64"),
-        _integer("_m.qos").alias("qos"),
-        jsonx.truthy("_m.retain").alias("retain"),
+        F.coalesce(jsonx.text(*of("payload_b64")), F.lit("")).alias("payload_b64"),
+        _integer(*of("qos")).alias("qos"),
+        jsonx.truthy(*of("retain")).alias("retain"),
         "raw_json",
     )
 

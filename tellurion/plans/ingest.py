@@ -109,9 +109,7 @@ def subscription_levels(spark, sf_dir):
   FROM {MESSAGES} m""")
 def payload_decode(spark, sf_dir):
     """Shape of the decoded payload, and the base64 text of what is no JSON."""
-    body = jsonx.decode_payload(F.col("payload"))
-    decoded = _messages(spark, sf_dir).select("event_id", body.alias("body"))
-    return decoded.select(
+    return jsonx.with_decoded(_messages(spark, sf_dir), "body").select(
         "event_id",
         F.regexp_extract(jsonx.kind(F.col("body")), "^[A-Z]+", 0).alias("shape"),
         jsonx.as_string(jsonx.field(F.col("body"), "payload_b64")).alias("payload_b64"),
