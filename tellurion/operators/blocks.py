@@ -28,7 +28,8 @@ def with_running_max(
     """Add the greatest ``value`` among the earlier rows of each group.
 
     ``block`` must not decrease along ``order`` within a group, and equal order
-    values must share a block. With ``inclusive`` the row itself counts too.
+    values must share a block; keys are not NULL. With ``inclusive`` the row itself
+    counts too.
     """
     tagged = rows.withColumn(BLOCK, block)
     block_keys = [*keys, BLOCK]
