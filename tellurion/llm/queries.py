@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellurion.llm import huffman, packing
-from tellurion.llm.common import Query, table
+from tellurion.llm import chat, decontam, huffman, jaccard, langid, packing, quality, rules, warc
+from tellurion.llm.common import Query, staged, table
 from tellurion.session import run_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Documents that no model learns from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
 def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, read back from the Huffman-coded files."""
     folder = run_folder(spark, "huffman")
@@ -23,6 +28,197 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, read back by offset from archives with one member per record."""
+    folder = run_folder(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    archives = warc.write_archives(warc.records(pages), f"{folder}/whole")
+    members = warc.index(archives, f"{folder}/members")
+    return warc.read_records(members).select(
+        F.col("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id,
+    payload_bytes >= 1000 AS large FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN large AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN large AND page_id <> first_id THEN first_id END AS refers_to
+FROM m
+"""
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~held_out()))
+    return langid.identify(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the verdict of thresholds per language and source."""
+    found = rules.quality_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
+def _op4_sql() -> str:
+    measures = {
+        "word_length": "if(n_words > 0, 10000 * word_chars // n_words, 0)",
+        "symbols": "if(n_words > 0, 10000 * n_symbols // n_words, 0)",
+        "dup_lines": "if(n_lines > 0, 10000 * n_dup_lines // n_lines, 0)",
+        "repeats": "if(n_words > 0, 10000 * n_repeat_words // n_words, 0)",
+    }
+    values = ", ".join(f"{e} AS {m}" for m, e in measures.items())
+    least = " ".join(f"WHEN '{m}' THEN {v}" for m, v in rules.MEASURES.items())
+    pairs = " UNION ALL ".join(
+        f"SELECT lang, source, '{m}' AS measure, {m} AS value FROM v WHERE NOT base_failed"
+        for m in rules.MEASURES
+    )
+
+    def cutoffs(keys: str) -> str:
+        part = f"PARTITION BY {keys + ', ' if keys else ''}measure"
+        group = f"{keys + ', ' if keys else ''}measure"
+        return f"""SELECT {group}, any_value(total) AS total,
+            any_value(low) - {rules.WIDTH} * greatest(any_value(high) - any_value(low), CASE measure {least} END) AS low,
+            any_value(high) + {rules.WIDTH} * greatest(any_value(high) - any_value(low), CASE measure {least} END) AS high
+          FROM (SELECT *, min(CASE WHEN 4 * below >= total THEN bucket END) OVER ({part}) AS low,
+              min(CASE WHEN 4 * below >= 3 * total THEN bucket END) OVER ({part}) AS high
+            FROM (SELECT *, count(*) OVER ({part} ORDER BY bucket) AS below,
+              count(*) OVER ({part}) AS total FROM b)) GROUP BY {group}"""
+
+    within = " AND ".join(
+        f"({m} <= max(CASE WHEN c.measure = '{m}' THEN c.high END)"
+        + (f" AND {m} >= max(CASE WHEN c.measure = '{m}' THEN c.low END)" if m in rules.TWO_SIDED else "")
+        + ")"
+        for m in rules.MEASURES
+    )
+    columns = ", ".join(f"v.{c}" for c in ("doc_id", *rules.COUNTS, "base_failed", *rules.MEASURES))
+    return rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+  FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM g) WHERE c > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+f AS (SELECT d.doc_id, lang, source, len(ws) AS n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM d JOIN w USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
+v AS (SELECT *, n_words < {rules.MIN_WORDS}
+    OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed, {values} FROM f),
+b AS (SELECT lang, source, measure,
+    (value >> greatest(length(bin(value)) - 5, 0)) << greatest(length(bin(value)) - 5, 0) AS bucket
+  FROM ({pairs})),
+own AS ({cutoffs("lang, source")}),
+by_lang AS ({cutoffs("lang")}),
+every AS ({cutoffs("")}),
+c AS (SELECT own.lang, own.source, own.measure,
+    CASE WHEN own.total >= {rules.MIN_ROWS} THEN own.low WHEN by_lang.total >= {rules.MIN_ROWS}
+      THEN by_lang.low ELSE every.low END AS low,
+    CASE WHEN own.total >= {rules.MIN_ROWS} THEN own.high WHEN by_lang.total >= {rules.MIN_ROWS}
+      THEN by_lang.high ELSE every.high END AS high
+  FROM own JOIN by_lang ON own.lang IS NOT DISTINCT FROM by_lang.lang AND own.measure = by_lang.measure
+  JOIN every ON own.measure = every.measure)
+SELECT v.doc_id, v.n_words, v.word_chars, v.n_symbols, v.n_dup_lines, v.n_repeat_words, v.base_failed,
+  NOT v.base_failed AND coalesce({within}, true) AS kept
+FROM v LEFT JOIN c ON v.lang IS NOT DISTINCT FROM c.lang AND v.source IS NOT DISTINCT FROM c.source
+GROUP BY {columns}
+"""
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~held_out()))
+    return quality.classify(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", "predicted"
+    )
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations, read back from the written blocks."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    blocks = staged(chat.format_chats(turns.unionByName(extra)), "chats")
+    return chat.digests(blocks)
+
+
+def _op6_sql() -> str:
+    def escaped(column: str) -> str:
+        text = f"replace({column}, '\\', '\\\\')"
+        for mark in chat.CONTROL:
+            text = f"replace({text}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+        return text
+
+    marks = len(chat.TURN) + len(chat.TEXT) + len(chat.END)
+    said = "</s>[INST] ok [/INST]"
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{said}'), (-1, 1, 'assistant', '{said}')),
+c AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss,
+    sum({marks} + length({escaped("role")}) + length({escaped("text")}))::BIGINT AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars
+FROM c
+"""
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items within an edit similarity of 0.8 of a passage of a document."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.find(docs, items)
+
+
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate class of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s AS a JOIN s AS b ON a.k = b.k AND a.doc_id <> b.doc_id
+  JOIN n AS x ON x.doc_id = a.doc_id JOIN n AS y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+r AS (SELECT doc_id AS v, doc_id AS c FROM n UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(min(r.c), d.doc_id) AS component_id
+FROM documents AS d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.v = d.doc_id
+GROUP BY d.doc_id, n.n
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     docs = table(spark, sf_dir, "documents")
@@ -32,10 +228,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_ids": op1_token_ids,
+    "op2_warc": op2_warc,
+    "op3_language": op3_language,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_quality": op5_quality,
+    "op6_chat": op6_chat,
+    "op7_decontamination": op7_decontamination,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_packing": op10_packing,
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op2_warc": OP2_SQL,
+    "op4_quality_rules": _op4_sql(),
+    "op6_chat": _op6_sql(),
+    "op8_ngram_jaccard": OP8_SQL,
+}
 
 
 def queries() -> dict[str, Query]:

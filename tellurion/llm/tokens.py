@@ -14,12 +14,17 @@ import re
 
 import numpy as np
 
+from tellurion.llm.common import ragged
+
 #: A single space between characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 MAX_PIECES = 800_000
+#: A mark after a letter is cut off by the pattern of the tokenizer, so a word and
+#: the word with the mark share their ids but for the last.
+MARKS = ".,"
 MAX_CHARS = 24_000_000
 #: Characters of texts that are encoded at a time.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -68,12 +73,21 @@ class PieceEncoder:
             )
             self._keep(heads, [e.ids for e in found], [len(e.ids) for e in found], False)
         even = [p for p in later if p and not (p[0].isspace() or p[-1].isspace())]
-        for at in range(0, len(even), 50_000):
-            part = even[at : at + 50_000]
+        marked = [p for p in even if p[-1] in MARKS and p[-2:-1].isalpha()]
+        plain = list({p[:-1] for p in marked}.difference(self.rows).union(set(even).difference(marked)))
+        for at in range(0, len(plain), 50_000):
+            part = plain[at : at + 50_000]
             ids = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids
             ends = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in part), np.int64, len(part)))
             cuts = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends) + 1
             self._keep(part, [ids], np.diff(cuts, prepend=0), False)
+        if marked:
+            ids, ends, _ = self._table()
+            rows = np.fromiter((self.rows[p[:-1]] for p in marked), np.int64, len(marked))
+            lengths = self.lengths[0][rows]
+            of_mark = [self.tokenizer.token_to_id(p[-1]) for p in marked]
+            found = np.insert(ids[ragged(ends[rows] - lengths, lengths)], np.cumsum(lengths), of_mark)
+            self._keep(marked, [found], lengths + 1, False)
         if len(even) < len(later):
             odd = list(set(later).difference(even))
             self._keep(odd, [], [0] * len(odd), True)
@@ -131,5 +145,4 @@ class PieceEncoder:
             return self._encode(texts, cut, False)
         lengths = self.lengths[0][rows]
         sums = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(ends[rows] - lengths - sums[:-1], lengths) + np.arange(sums[-1])
-        return ids[at], sums[last] - sums[last - counts]
+        return ids[ragged(ends[rows] - lengths, lengths)], sums[last] - sums[last - counts]

@@ -12,6 +12,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
     "Hello, world! it's 12 345", "", None, " a", "a ", "a  b", "a\n b c\n\nd", "x  y z", "\x1c a b\x1d c",
     "été ñandú 日本 語 テスト", "<|endoftext|> x", "   ", "a b c " * 900, "word\tnext \r\n end", "x" * 5000,
+    "word, word. word word, né. né , . .. ,, a.b, c., it's. 12. 12, x. x",
 ]
 
 
