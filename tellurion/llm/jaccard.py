@@ -12,10 +12,11 @@ exact join runs on a token-group matrix:
    ``n - ceil(t * n) + 1`` tokens of a member, in an order that puts frequent
    tokens last. Sets of similarity ``t`` share such a token, so no link is lost.
    Tokens seen in one class are dropped where they are counted.
-4. A class is a query to the parts of other groups it shares a token with. The
-   task of a part holds the union of its members' tokens. A query whose overlap
-   with the union is below ``ceil(t * n)`` cannot match and is dismissed; only for
-   the others the part is opened and members are compared exactly.
+4. A class is a query to the parts of other groups it shares a token with. A part
+   stores the union of its members' tokens as a bitmap of hashed tokens. A cell that
+   the query has and the union lacks is a token outside the union, so the cells
+   bound the overlap from above. Queries bounded below ``ceil(t * n)`` are dismissed;
+   only for the others the part is opened and token sets are compared exactly.
 5. Links give classes by repeated minimum labels and pointer jumps.
 
 Members of a group are linked already, so a group of any size is one label, and a
@@ -49,17 +50,21 @@ from tellurion.llm.textops import BYTE_VALUES, Spans, mix, words_in
 WIDTH, PERCENT = 5, 80
 MINIMA = 4
 PART, BLOCK = 64, 256
-HOT = 200_000
+HOT = 1_000_000
 #: Tokens counted at a time when frequent ones are looked for, and the least count.
-COUNTED, LEAST_COUNT = 4_000_000, 4
+COUNTED, LEAST_COUNT = 8_000_000, 2
 #: Documents whose ids are broadcast to read their texts again; beyond it they are joined.
 MOST_BROADCAST = 1_000_000
 BATCH_BYTES = 2 << 20
 
-DOCS = "doc_id long, n long, key long, minima array<long>, token long, times long"
+#: Cells of a bitmap for each token of its set, at least.
+CELLS = 4
+
+DOCS = "doc_id long, n long, key long, minima array<long>, bits binary, token long, times long"
 POSTED = "token long, key long, n long"
 TOKENS = "key long, n long, tokens binary"
 LINKED = "a long, b long"
+ROLE_MEMBER, ROLE_QUERY = 0, 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -91,6 +96,19 @@ def set_key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """The set as bits of hashed tokens; the number of bits is a power of two."""
+    size = 1 << max(6, int(CELLS * len(tokens) - 1).bit_length())
+    cells = np.zeros(size, bool)
+    cells[(tokens & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(cells, bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap with fewer cells, each the union of those that fall on it."""
+    return np.bitwise_or.reduce(bits.reshape(-1, size), axis=0)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -112,18 +130,19 @@ def described(rows: DataFrame, width: int) -> DataFrame:
             n = int(often.sum())
             none = pa.nulls(n, pa.int64())
             return pa.RecordBatch.from_arrays(
-                [none, none, none, pa.nulls(n, pa.list_(pa.int64())),
+                [none, none, none, pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.binary()),
                  pa.array(_signed(values[often])), pa.array(times[often])],
-                ["doc_id", "n", "key", "minima", "token", "times"],
+                ["doc_id", "n", "key", "minima", "bits", "token", "times"],
             )
 
         for batch in batches:
-            n, keys, minima = [], [], []
+            n, keys, minima, bits = [], [], [], []
             for tokens in token_sets(batch.column(1), width):
                 n.append(len(tokens))
                 keys.append(set_key(tokens) if len(tokens) else None)
                 low = [_signed(mix(tokens ^ s).min(keepdims=True))[0] for s in _SEEDS] if len(tokens) else []
                 minima.append(low)
+                bits.append(bitmap(tokens))
                 if len(tokens) and keys[-1] not in seen:
                     seen.add(keys[-1])
                     held.append(tokens)
@@ -134,8 +153,8 @@ def described(rows: DataFrame, width: int) -> DataFrame:
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()),
-                 pa.array(minima, pa.list_(pa.int64())), none, none],
-                ["doc_id", "n", "key", "minima", "token", "times"],
+                 pa.array(minima, pa.list_(pa.int64())), pa.array(bits, pa.binary()), none, none],
+                ["doc_id", "n", "key", "minima", "bits", "token", "times"],
             )
         if held:
             yield frequent()
@@ -252,52 +271,76 @@ def _token_rows(rows: DataFrame, classes: DataFrame, keys: DataFrame, width: int
     return wanted.mapInArrow(run, TOKENS)
 
 
+def _dealt(members: DataFrame, queries: DataFrame) -> DataFrame:
+    """Members and queries of parts, the queries in blocks, the members in each block."""
+    blocks = queries.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    asked = queries.join(blocks, "part").select(
+        "part",
+        "key",
+        F.pmod(F.xxhash64("key", "part"), "blocks").alias("block"),
+        F.lit(ROLE_QUERY).alias("role"),
+    )
+    held = members.join(blocks, "part").select(
+        "part",
+        "key",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        F.lit(ROLE_MEMBER).alias("role"),
+    )
+    return asked.unionByName(held)
+
+
+def _qualifying(
+    members: DataFrame, queries: DataFrame, classes: DataFrame, percent: int
+) -> DataFrame:
+    """Queries whose bound against the union of a part does not dismiss them."""
+
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        roles = group["role"].to_numpy()
+        bits = [np.frombuffer(b.as_buffer(), np.uint8) for b in group["bits"].combine_chunks()]
+        inside, asked = np.flatnonzero(roles == ROLE_MEMBER), np.flatnonzero(roles == ROLE_QUERY)
+        kept = []
+        if len(inside):
+            size = min(len(bits[k]) for k in inside)
+            union = np.bitwise_or.reduce([folded(bits[k], size) for k in inside], axis=0)
+            n = group["n"].to_numpy()
+            for k in asked:
+                least = min(size, len(bits[k]))
+                outside = folded(bits[k], least) & ~folded(union, least)
+                if n[k] - int(np.bitwise_count(outside).sum()) >= _least(int(n[k]), percent):
+                    kept.append(int(k))
+        return group.select(["part", "key"]).take(pa.array(kept, pa.int64()))
+
+    rows = _dealt(members, queries).join(classes.select("key", "n", "bits"), "key")
+    kind = queries.schema["part"].dataType.simpleString()
+    return rows.groupBy("part", "block").applyInArrow(run, f"part {kind}, key bigint")
+
+
 def _opened(
     members: DataFrame, queries: DataFrame, tokens: DataFrame, percent: int
 ) -> DataFrame:
-    """Links between queries and members of parts: at most one for a query and part.
-
-    ``members`` and ``queries`` have ``part`` and ``key``. Members of a part are
-    copied to each block of its queries.
-    """
+    """Links between queries and members of parts: at most one for a query and part."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         roles, keys = group["role"].to_pylist(), group["key"].to_pylist()
         sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in group["tokens"].combine_chunks()]
-        inside = [k for k in range(len(keys)) if roles[k] == 0]
+        inside = [k for k in range(len(keys)) if roles[k] == ROLE_MEMBER]
+        inside.sort(key=lambda k: -len(sets[k]))
         found: list[tuple[int, int]] = []
-        if inside:
-            union = np.unique(np.concatenate([sets[k] for k in inside]))
-            sizes = np.array([len(sets[k]) for k in inside])
-            order = np.argsort(-sizes, kind="stable")
-            for q in (k for k in range(len(keys)) if roles[k] == 1):
-                n = len(sets[q])
-                at = np.minimum(np.searchsorted(union, sets[q]), len(union) - 1)
-                if int((union[at] == sets[q]).sum()) < _least(n, percent):
+        for q in (k for k in range(len(keys)) if roles[k] == ROLE_QUERY):
+            n = len(sets[q])
+            for k in inside:
+                member, size = sets[k], len(sets[k])
+                if 100 * min(n, size) < percent * max(n, size):
                     continue
-                for k in order:
-                    size = sizes[k]
-                    if 100 * min(n, size) < percent * max(n, size):
-                        continue
-                    member = sets[inside[k]]
-                    at = np.minimum(np.searchsorted(member, sets[q]), size - 1)
-                    both = int((member[at] == sets[q]).sum())
-                    if 100 * both >= percent * (n + size - both):
-                        found.append((keys[q], keys[inside[k]]))
-                        break
-        return pa.table(
-            {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
-        )
-
-    blocks = queries.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    asked = queries.join(blocks, "part").select(
-        "part", "key", F.pmod(F.xxhash64("key", "part"), "blocks").alias("block"), F.lit(1).alias("role")
-    )
-    held = members.join(blocks, "part").select(
-        "part", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        F.lit(0).alias("role"),
-    )
-    rows = asked.unionByName(held).join(tokens, "key")
+                at = np.minimum(np.searchsorted(member, sets[q]), size - 1)
+                both = int((member[at] == sets[q]).sum())
+                if 100 * both >= percent * (n + size - both):
+                    found.append((keys[q], keys[k]))
+                    break
+        columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+        return pa.table(columns, ["a", "b"])
+
+    rows = _dealt(members, queries).join(tokens, "key")
     return rows.groupBy("part", "block").applyInArrow(run, LINKED)
 
 
@@ -340,11 +383,11 @@ def near_duplicates(
     """Set size and class of every document: its least document id reachable by links."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = staged(described(rows, width), "shingled")
-    described_docs = found.where("times is null").select("doc_id", "n", "key", "minima")
+    described_docs = found.where("times is null").drop("token", "times")
     classes = staged(
         described_docs.where("key is not null and doc_id is not null")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("minima").alias("minima")),
+        .agg(F.min("doc_id").alias("first_id"), *(F.first(c).alias(c) for c in ("n", "minima", "bits"))),
         "classes",
     )
 
@@ -357,6 +400,8 @@ def near_duplicates(
     pairs = cells.join(first.where("rows > 1"), ["which", "minimum"]).where(near & (F.col("key") != F.col("head")))
     pairs = staged(pairs.select(F.col("head").alias("part"), "key").distinct(), "pairs")
     heads = pairs.select("part").distinct().withColumn("key", F.col("part"))
+    pairs = staged(_qualifying(heads, pairs, classes, percent), "pairs-left")
+    heads = pairs.select("part").distinct().withColumn("key", F.col("part"))
     keys = pairs.select("key").unionByName(heads.select("key")).distinct()
     links = staged(
         _opened(heads, pairs, _token_rows(rows, classes, keys, width), percent), "group-links"
@@ -406,6 +451,8 @@ def near_duplicates(
         .join(wanted, "part", "left_semi")
     )
     members = staged(members, "members")
+    asked = staged(_qualifying(members, asked, classes, percent), "queries-left")
+    members = members.join(asked.select("part").distinct(), "part", "left_semi")
     keys = asked.select("key").unionByName(members.select("key")).distinct()
     more = staged(_opened(members, asked, _token_rows(rows, classes, keys, width), percent), "links")
 
@@ -419,6 +466,6 @@ def near_duplicates(
         "key", F.coalesce("label", "first_id").alias("component")
     )
     own = F.when(F.col("key").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
-    return described_docs.join(named, "key", "left").select(
+    return described_docs.select("doc_id", "n", "key").join(named, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")
     )
