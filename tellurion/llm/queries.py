@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellurion.llm import chat, decontam, huffman, jaccard, langid, packing, quality, rules, warc
+from tellurion.llm import (
+    chat, decontam, huffman, jaccard, langid, packing, quality, repeats, rules, warc,
+)
 from tellurion.llm.common import Query, staged, table
 from tellurion.session import run_folder
 
@@ -219,6 +221,18 @@ GROUP BY d.doc_id, n.n
 """
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    marked = repeats.mark_repeats(table(spark, sf_dir, "documents"))
+    return marked.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 ids."""
     docs = table(spark, sf_dir, "documents")
@@ -235,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "op6_chat": op6_chat,
     "op7_decontamination": op7_decontamination,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
 }
 

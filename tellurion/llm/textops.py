@@ -83,3 +83,8 @@ def words_in(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     starts = np.flatnonzero(inside & ~(before & ~breaks[:-1]))
     ends = np.flatnonzero(inside & ~(after & ~breaks[1:])) + 1
     return starts, ends, np.searchsorted(starts, bounds)
+
+
+def ragged_positions(sizes: np.ndarray, gap: int) -> np.ndarray:
+    """Where the items of rows go when each row is followed by ``gap`` free places."""
+    return np.arange(int(sizes.sum())) + np.repeat(np.arange(len(sizes)) * gap, sizes)
