@@ -27,7 +27,7 @@ and windows is that of 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,6 @@ BUCKET_ANCHORS = 300_000
 BYTES_PER_ANCHOR = (LEAST - ANCHOR + 2) // 2
 LEVEL = 3
 
-PACKED_DOCS = "slot long, doc_id long, text binary"
 ANCHORS = "bucket long, slot long, anchors binary, several binary"
 NOTICES = "slot long, anchors binary"
 FRAGMENTS = (
@@ -104,40 +103,39 @@ def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, [name for name, _ in fields])
 
 
-def packed_docs(docs: DataFrame, slots: int, id_col: str, text_col: str) -> DataFrame:
-    """Documents with compressed texts and the slot each belongs to."""
+def packed_docs(
+    docs: DataFrame, slots: int, id_col: str, text_col: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Documents with compressed texts, the slot each belongs to, and carried columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
-            texts = [press.compress(t.as_buffer() or b"") for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
-                ["slot", "doc_id", "text"],
-            )
+            texts = pa.array([press.compress(t.as_buffer() or b"") for t in batch["text"]], pa.binary())
+            yield batch.set_column(2, "text", texts)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(id_col), text), F.lit(slots)).alias("slot"),
         F.col(id_col).cast("long").alias("doc_id"),
         text.alias("text"),
+        *(F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)),
     )
-    return rows.mapInArrow(run, PACKED_DOCS)
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema[3:]]
+    return rows.mapInArrow(run, ", ".join(["slot long, doc_id long, text binary", *kinds]))
 
 
-def _slot_docs(group: pa.Table) -> tuple[list[int | None], list[np.ndarray]]:
-    """Ids and texts of a slot in an order that does not depend on how they came."""
-    rows = sorted(
-        zip(group["doc_id"].to_pylist(), group["text"].to_pylist()),
-        key=lambda r: (r[0] is None, r[0] or 0, r[1]),
-    )
-    return [i for i, _ in rows], [_array(t, np.uint8) for _, t in rows]
+def _slot_docs(group: pa.Table) -> tuple[list[int | None], list[np.ndarray], np.ndarray]:
+    """Ids and texts of a slot, and their rows, in an order that how they came does not change."""
+    ids, texts = group["doc_id"].to_pylist(), group["text"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, texts[k]))
+    return [ids[k] for k in order], [_array(texts[k], np.uint8) for k in order], np.array(order, np.int64)
 
 
 def _anchor_rows(packed: DataFrame, bits: int) -> DataFrame:
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         slot = key[0].as_py()
-        ids, texts = _slot_docs(group)
+        ids, texts, _ = _slot_docs(group)
         own = [np.unique(sliding_anchors(t, LEAST, ANCHOR)[0]) for i, t in zip(ids, texts) if i is not None]
         values, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]), return_counts=True)
         # Two documents of one id share what they have with no one else: told as several, which
@@ -190,7 +188,7 @@ def _fragment_rows(packed: DataFrame, notices: DataFrame, bits: int) -> DataFram
         shared = np.sort(
             np.concatenate([np.frombuffer(a.as_buffer(), np.uint64) for a in told["anchors"].combine_chunks()])
         )
-        ids, texts = _slot_docs(docs)
+        ids, texts, _ = _slot_docs(docs)
         anchor, doc, start, size, whole = [], [], [], [], []
         for k, (i, text) in enumerate(zip(ids, texts)):
             if i is None:
@@ -306,8 +304,10 @@ def _united(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _marked(packed: DataFrame, spans: DataFrame) -> DataFrame:
+    carried = [f for f in packed.schema if f.name.startswith("carry_")]
+
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
-        ids, texts = _slot_docs(docs) if docs.num_rows else ([], [])
+        ids, texts, taken = _slot_docs(docs)
         parts = [
             np.concatenate([np.zeros(0, np.int64), *(_array(v, np.int64) for v in column.combine_chunks())])
             for column in (found["docs"], found["starts"], found["ends"])
@@ -332,21 +332,29 @@ def _marked(packed: DataFrame, spans: DataFrame) -> DataFrame:
                 "spans": pa.array(rows, kind),
                 "kept": pa.array(kept, pa.binary()),
             }
+            | {f.name: docs[f.name].take(pa.array(taken)) for f in carried}
         )
 
-    return packed.groupBy("slot").cogroup(spans.groupBy("slot")).applyInArrow(run, MARKED)
+    schema = ", ".join([MARKED, *(f"{f.name} {f.dataType.simpleString()}" for f in carried)])
+    return packed.groupBy("slot").cogroup(spans.groupBy("slot")).applyInArrow(run, schema)
+
 
+def mark_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Marked spans (in bytes) of every document, and the bytes that are left.
 
-def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Marked spans (in bytes) of every document, and the bytes that are left."""
+    Columns named in ``carry`` come along with their document.
+    """
     size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
     slots = max(1, -(-size // SLOT_BYTES))
     bits = max(0, (size // BYTES_PER_ANCHOR // BUCKET_ANCHORS).bit_length())
-    packed = staged(packed_docs(docs, slots, id_col, text_col), "packed")
+    packed = staged(packed_docs(docs, slots, id_col, text_col, carry), "packed")
     # One job: all three steps that need the texts share one exchange of them.
     notices = _notices(_anchor_rows(packed, bits))
     spans = _span_rows(_fragment_rows(packed, notices, bits))
-    return _marked(packed, spans)
+    marked = _marked(packed, spans)
+    return marked.withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(carry)})
 
 
 def whole_characters(kept: Column) -> Column:
