@@ -242,7 +242,7 @@ def train(
         for name, own in counts.items():
             cell = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(cell)), pa.array(cell), pa.array(own[cell])],
+                [pa.array([name] * len(cell), pa.string()), pa.array(cell), pa.array(own[cell])],
                 ["lang", "cell", "n"],
             )
 
