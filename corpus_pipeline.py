@@ -27,7 +27,8 @@ ORACLE_SQL = None
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    stats = staged(quality.measured(docs), "statistics")
+    model = quality.train(stats, table(spark, sf_dir, "labels"))
     return docs.where(quality.scored(F.col("text"), model) >= 0.5)
 
 

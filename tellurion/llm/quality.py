@@ -8,8 +8,8 @@ depends on ``features`` alone. Scores of the training rows are counted in bins
 with their labels and made monotone by pooling adjacent violators: the calibrated
 score is a share of good documents.
 
-Statistics of the training rows are written once. Scoring is a map over texts, so
-a filter on the score needs no shuffle.
+Only statistics meet the labels, so no text is shuffled; written once, they serve
+training and scoring. ``scored`` works on texts, for filters.
 
 Cases: a null text is an empty one, and both get a score. Null labels and labels
 of absent documents are not used; several labels of one document count as their
@@ -228,39 +228,43 @@ def _normal_sums(labelled: DataFrame, model: Model, count: int) -> tuple[np.ndar
     return matrix + np.triu(matrix, 1).T, values[len(upper[0]) :]
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    label_col: str = "quality",
-    count: int = FEATURES,
-    ridge: float = RIDGE,
-    gamma: float = GAMMA,
-) -> Model:
-    """Fit a model on all documents that have a label."""
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Statistics of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(1).to_pylist()
             sizes = np.fromiter((len(t or "") for t in texts), np.int64, len(texts))
             for a, b in chunks(sizes, BATCH_CHARS):
                 stats = statistics(texts[a:b])
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(stats.reshape(-1)), len(STATISTICS))
                 yield pa.RecordBatch.from_arrays(
-                    [flat.cast(pa.list_(pa.float64())), batch.column(1).slice(a, b - a)],
-                    ["stats", "label"],
+                    [batch.column(0).slice(a, b - a), flat.cast(pa.list_(pa.float64()))],
+                    ["doc_id", "stats"],
                 )
 
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, stats array<double>")
+
+
+def train(
+    stats: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    label_col: str = "quality",
+    count: int = FEATURES,
+    ridge: float = RIDGE,
+    gamma: float = GAMMA,
+) -> Model:
+    """Fit a model on the statistics of all documents that have a label."""
     targets = (
         labels.select(F.col(id_col).alias("labelled"), F.col(label_col).cast("double").alias("label"))
         .where("labelled is not null and label is not null")
         .groupBy("labelled")
         .agg(F.avg("label").alias("label"))
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(targets, F.col("id") == F.col("labelled")).select("text", "label")
-    labelled = staged(rows.mapInArrow(run, "stats array<double>, label double"), "statistics")
+    joined = stats.join(targets, F.col("doc_id") == F.col("labelled"))
+    labelled = staged(joined.select("stats", "label"), "labelled")
     moments = labelled.select(
         F.count(F.lit(1)).alias("n"),
         *(
@@ -308,11 +312,14 @@ def scored(text: Column, model: Model) -> Column:
     return score(text)
 
 
-def classify(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Score and decision for every document."""
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), scored(F.col(text_col), model).alias("score")
-    )
+def classify(stats: DataFrame, model: Model) -> DataFrame:
+    """Score and decision for every document, from its statistics."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(1).flatten().to_numpy().reshape(-1, len(STATISTICS))
+            score = model.calibrated(model.raw(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
+
+    rows = stats.mapInArrow(run, "doc_id long, score double")
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

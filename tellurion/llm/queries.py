@@ -146,8 +146,9 @@ GROUP BY {columns}
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from labels that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = quality.train(docs, labels.where(~held_out()))
-    return quality.classify(docs, model).select(
+    stats = staged(quality.measured(docs), "statistics")
+    model = quality.train(stats, labels.where(~held_out()))
+    return quality.classify(stats, model).select(
         "doc_id", held_out().alias("held_out"), "score", "predicted"
     )
 
