@@ -12,7 +12,7 @@ it, with ``k`` the largest number for which ``m - k`` is ``percent`` of ``m``.
   bit of (j, word) says so. After an edit, two walks tend to fall in step again.
 * Each repetition draws new bits and samples ``SAMPLED`` places of the walk as the
   key of a window. Items with an equal key are candidates. ``REPEATS`` repetitions
-  reach the target recall at the threshold; ``tests/llm/test_decontam.py`` measures
+  reach the target recall at the threshold; ``tests/llm/test_duplicates.py`` measures
   it against brute force.
 * Candidates are verified by exact edit distance.
 
@@ -43,9 +43,10 @@ PERCENT = 80
 REPEATS, SAMPLED = 64, 3
 #: Sizes of items in a class differ by this factor at most.
 CLASS_STEP = 1.15
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 BATCH_BYTES = 2 << 20
-PAIR_BITS = 22
+#: Cells of word pairs for each word of the items, at least.
+CELLS = 8
 
 MATCHES = (
     "doc_id long, item_id long, distance long, item_words long, start_byte long, end_byte long"
@@ -62,17 +63,25 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray):
     return Spans(BYTE_VALUES[_LOWER[data]]).of(starts, ends), starts, ends, first
 
 
-def walk(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: int, seed: int) -> np.ndarray:
-    """What the random walk writes for the sequences ``words[start:end]``; 0 after their end."""
-    at = starts.copy()
-    out = np.empty((steps, len(starts)), np.uint64)
+def walk_keys(
+    words: np.ndarray, starts: np.ndarray, ends: np.ndarray, places: np.ndarray
+) -> np.ndarray:
+    """Keys of the sequences ``words[start:end]``: a row per repetition.
+
+    Row ``r`` of ``places`` names the steps of walk ``r`` that make up its key. All
+    walks go on side by side; after the end of its sequence a walk writes 0.
+    """
+    repeats = np.arange(1, len(places) + 1, dtype=np.uint64)[:, None]
+    keys = np.repeat(repeats, len(starts), axis=1)
+    at = np.repeat(starts[None, :], len(places), axis=0)
     last = len(words) - 1
-    for j in range(steps):
+    for j in range(int(places.max()) + 1):
         now = np.where(at < ends, words[np.minimum(at, last)], np.uint64(0))
-        out[j] = now
-        bit = mix(now ^ np.uint64((seed * 1_000_003 + j) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        taken = (places == j).any(1)
+        keys[taken] = mix(keys[taken] + now[taken])
+        bit = mix(now ^ mix(repeats << np.uint64(20) | np.uint64(j)))
         at += (bit & np.uint64(1)).astype(np.int64)
-    return out
+    return keys
 
 
 def edit_distance(items: np.ndarray, sizes: np.ndarray, texts: np.ndarray, free: bool):
@@ -102,13 +111,13 @@ def edit_distance(items: np.ndarray, sizes: np.ndarray, texts: np.ndarray, free:
 
 @dataclass
 class SizeClass:
-    """Items of similar size: their word pairs and the sampled keys of their walks."""
+    """Items of similar size: the mark of their word pairs and the keys of their walks."""
 
     low: int
     high: int
     edits: int
     items: np.ndarray
-    pairs: np.ndarray
+    mark: np.uint64
     places: np.ndarray
     keys: np.ndarray
     owners: np.ndarray
@@ -125,12 +134,15 @@ class Index:
     repeats: int = REPEATS
     sampled: int = SAMPLED
     classes: list[SizeClass] = field(default_factory=list)
+    #: For each cell of word pairs, a bit per size class that has it (the last for all further ones).
+    pairs: np.ndarray = field(default_factory=lambda: np.zeros(1, np.uint64))
 
     @classmethod
     def of(cls, ids: list, texts: list[str | None], percent: int = PERCENT, repeats: int = REPEATS) -> Index:
         data, bounds = utf8(pa.array(texts, pa.string()))
         words, _, _, first = word_hashes(data, bounds)
         made = cls(ids, words, first, percent, repeats)
+        made.pairs = np.zeros(1 << max(16, (CELLS * len(words)).bit_length()), np.uint64)
         sizes = np.diff(first)
         low = 1
         while low <= sizes.max(initial=0):
@@ -145,31 +157,20 @@ class Index:
         return size - -(-self.percent * size // 100)
 
     def _class(self, low: int, high: int, items: np.ndarray) -> SizeClass:
-        pairs = np.zeros(1 << PAIR_BITS, bool)
+        bit = np.uint64(1 << min(len(self.classes), 63))
         for i in items:
-            pairs[_pairs(self.words[self.first[i] : self.first[i + 1]])] = True
+            self.pairs[_pairs(self.words[self.first[i] : self.first[i + 1]], len(self.pairs))] |= bit
         rng = np.random.default_rng(low)
         steps = max(1, low + low // 2)
         places = np.stack(
             [np.sort(rng.choice(steps, min(self.sampled, steps), replace=False)) for _ in range(self.repeats)]
         )
-        made = SizeClass(low, high, int(self.edits(high)), items, pairs, places, *[np.zeros(0)] * 2)
-        keys = self._keys(made, self.words, self.first[items], self.first[items + 1])
+        made = SizeClass(low, high, int(self.edits(high)), items, bit, places, *[np.zeros(0)] * 2)
+        keys = walk_keys(self.words, self.first[items], self.first[items + 1], places)
         order = np.argsort(keys, axis=None, kind="stable")
         made.keys, made.owners = keys.reshape(-1)[order], np.tile(items, self.repeats)[order]
         return made
 
-    def _keys(self, c: SizeClass, words, starts, ends) -> np.ndarray:
-        """The key of every sequence under each repetition."""
-        keys = np.empty((self.repeats, len(starts)), np.uint64)
-        for r, places in enumerate(c.places):
-            written = walk(words, starts, ends, int(places[-1]) + 1, r)
-            key = np.full(len(starts), np.uint64(r + 1))
-            for place in places:
-                key = mix(key + written[place])
-            keys[r] = key
-        return keys
-
     def search(self, data: np.ndarray, bounds: np.ndarray) -> list[tuple]:
         """Best match of each item in each text: text, item, distance, first and last byte."""
         words, starts, ends, first = word_hashes(data, bounds)
@@ -177,13 +178,15 @@ class Index:
             return []
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
         stop = first[1:][text]
-        pairs = _pairs(words)
+        # A pair that crosses the end of a text is none.
+        marks = self.pairs[_pairs(words, len(self.pairs))] * (text[1:] == text[:-1])
+        of_any = _running(marks != 0, max((c.low for c in self.classes), default=0))
         found: dict[tuple[int, int], tuple] = {}
         for c in self.classes:
-            place = np.flatnonzero(self._likely(c, pairs, text))
-            for at in range(0, len(place), 50_000):
-                own = place[at : at + 50_000]
-                keys = self._keys(c, words, own, np.minimum(own + c.high, stop[own]))
+            place = self._likely(c, marks, of_any)
+            for at in range(0, len(place), 4096):
+                own = place[at : at + 4096]
+                keys = walk_keys(words, own, np.minimum(own + c.high, stop[own]), c.places)
                 left = np.searchsorted(c.keys, keys, "left")
                 count = np.searchsorted(c.keys, keys, "right") - left
                 hit = np.nonzero(count)
@@ -198,18 +201,17 @@ class Index:
             for (t, i), (d, a, b) in sorted(found.items())
         ]
 
-    def _likely(self, c: SizeClass, pairs: np.ndarray, text: np.ndarray) -> np.ndarray:
+    def _likely(self, c: SizeClass, marks: np.ndarray, of_any: np.ndarray) -> np.ndarray:
         """Starts of windows with enough of the word pairs of a class."""
-        need = c.low - 1 - 2 * c.edits
-        n = len(text)
+        n, wide = len(marks) + 1, c.low - 1
+        need = wide - 2 * c.edits
         if need <= 0:
-            return np.ones(n, bool)
-        # A pair that crosses the end of a text is none.
-        hits = np.zeros(n + 1, np.int32)
-        hits[1:-1] = np.cumsum(c.pairs[pairs] & (text[1:] == text[:-1]))
-        hits[-1] = hits[-2]
-        at = np.arange(n)
-        return hits[np.minimum(at + c.low - 1, n)] - hits[at] >= need
+            return np.arange(n)
+        enough = np.flatnonzero(of_any[wide : wide + n] - of_any[:n] >= need)
+        if not len(enough):
+            return enough
+        own = _running((marks & c.mark) != 0, c.low)
+        return enough[own[enough + wide] - own[enough] >= need]
 
     def _verify(self, c, words, first, text, items, windows, found) -> None:
         """Exact distances of candidate items around their windows."""
@@ -240,9 +242,18 @@ class Index:
                     found[key] = match
 
 
-def _pairs(words: np.ndarray) -> np.ndarray:
+def _pairs(words: np.ndarray, cells: int) -> np.ndarray:
     """Cells of neighbouring words."""
-    return (mix(words[:-1] + mix(words[1:])) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    return (mix(words[:-1] + mix(words[1:])) & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _running(hits: np.ndarray, wide: int) -> np.ndarray:
+    """Number of hits before each word, with the total for ``wide`` places beyond the last."""
+    n = len(hits) + 1
+    total = np.zeros(n + 1 + wide, np.int32)
+    np.cumsum(hits, out=total[1:n])
+    total[n:] = total[n - 1]
+    return total
 
 
 def _padded(words, starts, sizes, wide: int, backwards: bool = False) -> np.ndarray:
