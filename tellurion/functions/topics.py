@@ -161,7 +161,8 @@ def subscribed(topic: Column, subscriptions: Iterable[str] = DEFAULT_SUBSCRIPTIO
     """True when a topic matches one of the subscription filters.
 
     A filter that is a literal path ending in ``/#`` becomes an equality and a
-    prefix test, which reach the file scan; others become a pattern.
+    prefix test, which reach the file scan; others become a pattern. A wildcard
+    in the first level does not match topics that start with ``$``.
     """
     hit = F.lit(False)
     for subscription in subscriptions:
@@ -177,5 +178,6 @@ def subscribed(topic: Column, subscriptions: Iterable[str] = DEFAULT_SUBSCRIPTIO
             expression = ".*"
         else:
             expression = "/".join(levels) + ("(/.*)?" if base != pattern else "")
-        hit = hit | topic.rlike("^" + expression + "$")
+        wild = pattern[:1] in ("#", "+")
+        hit = hit | topic.rlike("^" + ("(?!\\$)" if wild else "") + expression + "$")
     return hit

@@ -2,7 +2,7 @@
 
 The contract is data: each record gives one row per field, which meets the
 contract row of its topic and field. Contract tables hold a few hundred rows
-whatever the size of the records, so they are broadcast and no record moves.
+whatever the size of the records; their known size lets the planner broadcast them.
 """
 
 from __future__ import annotations
@@ -19,6 +19,13 @@ DATE_TIME = (
 DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
+def _other_than_text(value: Column, kind: Column) -> Column:
+    """Whether an array has an item that is no string; its kind does not tell null items."""
+    items = F.try_variant_get(value, "$", "array<variant>")
+    found = F.exists(items, lambda x: x.isNull() | (jsonx.kind(x) != "STRING"))
+    return F.when(kind.startswith("ARRAY"), F.coalesce(found, F.lit(True)))
+
+
 def _type_holds(value: Column, kind: Column, declared: Column) -> Column:
     number = kind.rlike(jsonx.NUMBER_KINDS)
     whole = number & (jsonx.as_double(value) == F.floor(jsonx.as_double(value)))
@@ -28,7 +35,7 @@ def _type_holds(value: Column, kind: Column, declared: Column) -> Column:
         .when(declared == "integer", whole)
         .when(declared == "number", number)
         .when(declared == "boolean", kind == "BOOLEAN")
-        .when(declared == "array<string>", kind.isin("ARRAY<STRING>", "ARRAY<VOID>", "ARRAY<>") & is_array)
+        .when(declared == "array<string>", is_array & ~_other_than_text(value, kind))
         .when(declared == "array", is_array)
         .otherwise(kind.startswith("OBJECT"))
     )
@@ -82,7 +89,7 @@ def violations(
     """
     known = records.select(
         "topic", F.col(record_id).alias("record_id"), F.col(value).alias("_text")
-    ).join(F.broadcast(topics), "topic")
+    ).join(topics, "topic")
     documents = jsonx.with_document(known, "_document", "_text")
     parsed = with_once(documents, "_map", jsonx.fields_of(F.col("_document")))
     # Required fields that are absent join the others without a value, so that one
@@ -100,7 +107,7 @@ def violations(
         F.explode(F.coalesce(F.map_concat("_map", absent), nothing)).alias("field", "_value"),
     )
     return (
-        members.join(F.broadcast(fields), ["topic", "field"], "left")
+        members.join(fields, ["topic", "field"], "left")
         .withColumn("_kind", jsonx.kind(F.col("_value")))
         .select("topic", "record_id", "field", F.explode(_broken_rules()).alias("rule"))
     )

@@ -25,7 +25,8 @@ def with_acceptance(
     """Add ``accepted``: no earlier arrival of the entity had a greater ``order_by``.
 
     ``arrival`` numbers the arrivals. Blocks are ranges of that number, so an
-    entity with any share of all rows is spread over many tasks.
+    entity with any share of all rows is spread over many tasks. A null
+    ``order_by`` ranks below all others.
     """
     order = [arrival] if tie is None else [arrival, tie]
     running = blocks.with_running_max(
@@ -37,9 +38,8 @@ def with_acceptance(
         name="_greatest_before",
     )
     before = F.col("_greatest_before")
-    return running.withColumn("accepted", before.isNull() | (F.col(order_by) >= before)).drop(
-        "_greatest_before"
-    )
+    reached = F.coalesce(F.col(order_by) >= before, F.lit(False))
+    return running.withColumn("accepted", before.isNull() | reached).drop("_greatest_before")
 
 
 def accepted(events: DataFrame, **options) -> DataFrame:

@@ -200,18 +200,96 @@ def rates(samples: DataFrame, span: int = RATE_SPAN, extrapolate: bool = False)
     return framed.withColumn("rate", rate).select(*samples.columns, *SERIES[1:], "us", "rate")
 
 
+def _ranges(samples: DataFrame, span: int, step: int, at: int | None, amount: Column) -> DataFrame:
+    """What the samples in ``(t - span, t]`` add up to, per series and evaluation time.
+
+    ``amount`` is counted at each sample but the first of a range. Times are the
+    multiples of ``step``, or ``at`` alone. Every sample is copied to the times
+    whose range it is in and added up there, partly before the shuffle.
+    """
+    spread, ordered, _, own = _over_lookback(samples, span)
+    us = F.col("us")
+    grown = spread.withColumn("_before", F.lag("value").over(ordered)).withColumn("_grown", amount)
+    first = (F.floor((us + (step - 1)) / F.lit(step)) * step).cast("bigint")
+    last = (F.floor((us + (span - 1)) / F.lit(step)) * step).cast("bigint")
+    times = F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint")))
+    if at is not None:
+        times = F.when((us <= at) & (us > at - span), F.array(F.lit(at).cast("bigint")))
+    ranged = grown.filter(own).withColumn("t", F.explode(times))
+    return (
+        ranged.groupBy(*SERIES, "t")
+        .agg(
+            F.first("labels").alias("labels"),
+            F.sum("_grown").alias("_sum"),
+            F.min_by(F.struct("_grown", "value"), "us").alias("_first"),
+            F.min("us").alias("_first_us"),
+            F.max("us").alias("_last_us"),
+            F.count("us").alias("_n"),
+        )
+        .withColumn("_amount", F.col("_sum") - F.col("_first._grown"))
+        .withColumnRenamed("t", "us")
+    )
+
+
+def changes_at_steps(
+    samples: DataFrame, step: int, span: int = CHANGES_SPAN, at: int | None = None
+) -> DataFrame:
+    """Number of value changes in ``(t - span, t]`` at every evaluation time ``t``."""
+    before = F.col("_before")
+    changed = F.when(before.isNotNull() & (F.col("value") != before), 1.0).otherwise(0.0)
+    ranged = _ranges(samples, span, step, at, changed)
+    return ranged.select(*SERIES, "us", "labels", F.col("_amount").alias("value"))
+
+
+def rates_at_steps(
+    samples: DataFrame, step: int, span: int = RATE_SPAN, extrapolate: bool = False,
+    at: int | None = None,
+) -> DataFrame:
+    """Increase per second of a counter over ``(t - span, t]`` at every evaluation time ``t``.
+
+    As :func:`rates`, with the time as the end of the range. Ranges with one
+    sample have no rate.
+    """
+    before = F.col("_before")
+    grown = (
+        F.when(before.isNull(), 0.0)
+        .when(F.col("value") < before, F.col("value"))
+        .otherwise(F.col("value") - before)
+    )
+    ranged = _ranges(samples, span, step, at, grown).filter("_n > 1")
+    seconds = (F.col("_last_us") - F.col("_first_us")) / SECOND
+    rate = F.col("_amount") / seconds
+    if extrapolate:
+        gap = seconds / (F.col("_n") - 1)
+
+        def towards(distance: Column) -> Column:
+            return F.when(distance < gap * 1.1, distance).otherwise(gap / 2)
+
+        to_zero = F.when(
+            (F.col("_amount") > 0) & (F.col("_first.value") >= 0),
+            seconds * F.col("_first.value") / F.col("_amount"),
+        )
+        before_first = towards((F.col("_first_us") - (F.col("us") - span)) / SECOND)
+        after_last = towards((F.col("us") - F.col("_last_us")) / SECOND)
+        rate = rate * (seconds + F.least(before_first, to_zero) + after_last) / (span / SECOND)
+    return ranged.select(*SERIES, "us", "labels", rate.alias("value"))
+
+
 def flapping(samples: DataFrame, span: int = CHANGES_SPAN, above: int = FLAPPING_ABOVE) -> DataFrame:
     """Samples at which a series has changed more than ``above`` times in the look-back."""
     return changes(samples, span).filter(F.col("n_changes") > above)
 
 
 def alert_states(
-    samples: DataFrame, condition: Column, hold: int, alert: str, block: int = ALERT_BLOCK
+    samples: DataFrame, condition: Column, hold: int, alert: str, block: int = ALERT_BLOCK,
+    stale_after: int = STALE_AFTER,
 ) -> DataFrame:
     """State of an alert at every sample where its condition holds.
 
     ``firing`` once the condition has held at every sample for at least
-    ``hold``, ``pending`` before. Adds ``alertname, held_since_us, alertstate``.
+    ``hold``, ``pending`` before. A series without a sample for more than
+    ``stale_after`` was gone, and the condition starts anew. Adds
+    ``alertname, held_since_us, alertstate``.
     """
     keyed = samples if "us" in samples.columns else with_series(samples)
     checked = keyed.withColumn("_holds", F.coalesce(condition, F.lit(False)))
@@ -219,7 +297,8 @@ def alert_states(
     previous = blocks.with_running_max(
         checked, SERIES, ["us"], F.struct("us", "_holds"), block_of, "_previous"
     )
-    starts = F.col("_holds") & ~F.coalesce(F.col("_previous._holds"), F.lit(False))
+    lasting = F.col("_previous._holds") & (F.col("us") - F.col("_previous.us") <= stale_after)
+    starts = F.col("_holds") & ~F.coalesce(lasting, F.lit(False))
     started = previous.withColumn("_start", F.when(starts, F.col("us"))).drop("_previous")
     since = blocks.with_running_max(
         started, SERIES, ["us"], F.col("_start"), block_of, "held_since_us", inclusive=True
@@ -237,18 +316,22 @@ def alert_states(
     )
 
 
-def target_down(samples: DataFrame, hold: int = TARGET_DOWN_FOR) -> DataFrame:
+def target_down(
+    samples: DataFrame, hold: int = TARGET_DOWN_FOR, stale_after: int = STALE_AFTER
+) -> DataFrame:
     return alert_states(
-        selected(samples, "up"), F.col("value") == 0, hold, "TargetDown"
+        selected(samples, "up"), F.col("value") == 0, hold, "TargetDown", stale_after=stale_after
     )
 
 
 def target_flapping(
-    samples: DataFrame, span: int = CHANGES_SPAN, hold: int = FLAPPING_FOR
+    samples: DataFrame, span: int = CHANGES_SPAN, hold: int = FLAPPING_FOR,
+    stale_after: int = STALE_AFTER,
 ) -> DataFrame:
     counted = changes(selected(samples, "up"), span)
     return alert_states(
-        counted, F.col("n_changes") > FLAPPING_ABOVE, hold, "PrometheusTargetFlapping"
+        counted, F.col("n_changes") > FLAPPING_ABOVE, hold, "PrometheusTargetFlapping",
+        stale_after=stale_after,
     )
 
 

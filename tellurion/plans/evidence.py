@@ -385,10 +385,11 @@ def permission_outcomes(spark, sf_dir):
 
 EXPORTS = """SELECT l_orderkey * 10 + l_linenumber AS export_id, l_orderkey AS request_id, 'dp-' || l_suppkey AS data_product_id,
   l_extendedprice AS price FROM lineitem"""
-DATA_REQUESTS = """SELECT o_orderkey AS request_id, CASE o_orderkey % 4 WHEN 0 THEN 'approved' WHEN 1 THEN 'fulfilled'
-  WHEN 2 THEN 'rejected' ELSE 'submitted' END AS status FROM orders WHERE o_orderstatus <> 'P'"""
-BASIS = """SELECT o_orderkey AS request_id, CASE WHEN o_orderkey % 3 = 0 THEN 'rejected' ELSE 'approved' END AS decision
-  FROM orders WHERE o_orderpriority <> '5-LOW'"""
+# Keys that match nothing stand for records that a request does not have.
+DATA_REQUESTS = """SELECT CASE WHEN o_orderstatus = 'P' THEN -o_orderkey ELSE o_orderkey END AS request_id, CASE o_orderkey % 4 WHEN 0 THEN 'approved' WHEN 1 THEN 'fulfilled'
+  WHEN 2 THEN 'rejected' ELSE 'submitted' END AS status FROM orders"""
+BASIS = """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN -o_orderkey ELSE o_orderkey END AS request_id, CASE WHEN o_orderkey % 3 = 0 THEN 'rejected' ELSE 'approved' END AS decision
+  FROM orders"""
 SAFEGUARDS = "SELECT 'dp-' || p_partkey % 60 AS data_product_id, p_size % 5 = 0 AS blocking FROM part"
 
 
@@ -427,7 +428,7 @@ def open_critical_findings(spark, sf_dir):
 PATCHES = """SELECT o_orderkey AS patch_id, CASE WHEN o_orderkey % 2 = 0 THEN 'deployed' ELSE 'planned' END AS status,
   {list} AS related_findings FROM orders"""
 NAMED_FINDINGS = "'f-' || o_orderkey || '-1', 'f-' || o_orderkey || '-2', 'f-' || (o_orderkey + 1) || '-1'"
-ASSETS = "SELECT 'asset-' || s_suppkey AS asset_id, CASE WHEN s_nationkey % 2 = 0 THEN 'high' ELSE 'low' END AS criticality FROM supplier WHERE s_nationkey > 3"
+ASSETS = "SELECT CASE WHEN s_nationkey > 3 THEN 'asset-' ELSE 'absent-' END || s_suppkey AS asset_id, CASE WHEN s_nationkey % 2 = 0 THEN 'high' ELSE 'low' END AS criticality FROM supplier"
 
 
 @query(f"""SELECT finding_id, criticality, coalesce(n, 0) AS n_patches, coalesce(nd, 0) AS n_deployed FROM ({LAST_FINDING}) l
@@ -472,7 +473,7 @@ def restore_targets(spark, sf_dir):
 
 FIELDS = "'position', 'speed', CASE WHEN l_linenumber % 2 = 0 THEN 'identity' ELSE 'time' END"
 SCOPED = "SELECT l_orderkey * 10 + l_linenumber AS request_id, l_extendedprice AS price, 'p-' || l_suppkey AS product_id, {list} AS requested_fields FROM lineitem"
-ALLOWED = "SELECT 'p-' || s_suppkey AS product_id, {list} AS allowed_fields FROM supplier WHERE s_nationkey > 2"
+ALLOWED = "SELECT CASE WHEN s_nationkey > 2 THEN 'p-' ELSE 'absent-' END || s_suppkey AS product_id, {list} AS allowed_fields FROM supplier"
 ALLOWED_FIELDS = "'time', CASE WHEN s_suppkey % 2 = 0 THEN 'position' ELSE 'speed' END"
 
 

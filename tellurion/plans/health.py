@@ -17,6 +17,7 @@ SAMPLES = views.duck(views.samples)
 UP = f"(SELECT event_id, job, instance, epoch_us(ts) AS us, ts, up AS value FROM {SAMPLES} s)"
 SPAN_FRAME = f"RANGE BETWEEN {SPAN - 1} PRECEDING AND CURRENT ROW"
 AT = 1_705_320_000_000_000
+SHOWN = 6 * HOUR
 
 
 def _series(spark, sf_dir, metric, column):
@@ -39,7 +40,7 @@ def _job():
 def _panels(spark, sf_dir, samples, alerts=None):
     return Panels(
         samples, lambda chosen: metrics.at_steps(chosen, STEP, STALE), SPAN, SPAN,
-        extrapolate=False, alerts=alerts,
+        extrapolate=False, alerts=alerts, step=STEP,
     )
 
 
@@ -130,10 +131,11 @@ def metric_pattern_count(spark, sf_dir):
 
 
 @query(f"""SELECT job, instance, max_by(gauge, us) AS value, max(us) AS us FROM
-  (SELECT job, instance, gauge, epoch_us(ts) AS us FROM {SAMPLES} s WHERE gauge IS NOT NULL) x GROUP BY 1, 2""")
+  (SELECT job, instance, gauge, epoch_us(ts) AS us FROM {SAMPLES} s
+   WHERE gauge IS NOT NULL AND epoch_us(ts) > {AT - SHOWN} AND epoch_us(ts) <= {AT}) x GROUP BY 1, 2""")
 def last_non_null(spark, sf_dir):
-    """Last value per series that is not null."""
-    last = metrics.last_non_null(_series(spark, sf_dir, "queue_length", "gauge"))
+    """Last value per series that is not null within the time shown."""
+    last = metrics.last_non_null(_series(spark, sf_dir, "queue_length", "gauge"), AT, SHOWN)
     return last.select(_job(), metrics.label("instance").alias("instance"), "value", "us")
 
 
@@ -201,8 +203,8 @@ FLAP_HOLD = 5 * HOUR
 def _alerts(rows: str, condition: str, hold: int) -> str:
     return f"""SELECT job, instance, us, since, CASE WHEN us - since >= {hold} THEN 'firing' ELSE 'pending' END AS alertstate
       FROM (SELECT *, min(us) OVER (PARTITION BY job, instance, run) AS since FROM (SELECT *,
-        sum(CASE WHEN {condition} THEN 0 ELSE 1 END) OVER (PARTITION BY job, instance ORDER BY us ROWS UNBOUNDED PRECEDING) AS run,
-        {condition} AS holds FROM {rows} q) a WHERE holds) b"""
+        sum(CASE WHEN {condition} AND us - before <= {STALE} THEN 0 ELSE 1 END) OVER (PARTITION BY job, instance ORDER BY us ROWS UNBOUNDED PRECEDING) AS run,
+        {condition} AS holds FROM (SELECT *, lag(us) OVER (PARTITION BY job, instance ORDER BY us) AS before FROM {rows} q) g) a WHERE holds) b"""
 
 
 DOWN_ALERTS = _alerts(UP, "value = 0", HOLD)
@@ -212,7 +214,7 @@ FLAP_ALERTS = _alerts(f"({CHANGED})", "n_changes > 4", FLAP_HOLD)
 @query(f"SELECT job, instance, us, since, alertstate FROM ({DOWN_ALERTS}) d")
 def down_alert_states(spark, sf_dir):
     """State of the target-down alert at every sample where it holds."""
-    states = metrics.target_down(_up(spark, sf_dir), HOLD)
+    states = metrics.target_down(_up(spark, sf_dir), HOLD, STALE)
     return states.select(
         _job(), metrics.label("instance").alias("instance"), "us",
         F.col("held_since_us").alias("since"), "alertstate",
@@ -223,7 +225,7 @@ def down_alert_states(spark, sf_dir):
 def down_alert_states_blocks(spark, sf_dir):
     """The same states with series cut into one-day blocks."""
     states = metrics.alert_states(
-        _up(spark, sf_dir), F.col("value") == 0, HOLD, "TargetDown", block=24 * HOUR
+        _up(spark, sf_dir), F.col("value") == 0, HOLD, "TargetDown", block=24 * HOUR, stale_after=STALE
     )
     return states.select(
         _job(), metrics.label("instance").alias("instance"), "us",
@@ -233,8 +235,9 @@ def down_alert_states_blocks(spark, sf_dir):
 
 def _all_alerts(spark, sf_dir):
     up = _up(spark, sf_dir)
-    down = metrics.alert_series(metrics.target_down(up, HOLD))
-    return down.unionByName(metrics.alert_series(metrics.target_flapping(up, SPAN, FLAP_HOLD)))
+    down = metrics.alert_series(metrics.target_down(up, HOLD, STALE))
+    flapping = metrics.target_flapping(up, SPAN, FLAP_HOLD, STALE)
+    return down.unionByName(metrics.alert_series(flapping))
 
 
 @query(f"""SELECT alertname, alertstate, count(*) AS n FROM (SELECT 'TargetDown' AS alertname, alertstate FROM ({DOWN_ALERTS}) d
@@ -260,7 +263,39 @@ def alerts_firing(spark, sf_dir):
     return panel("alerts_by_name", panels).select("us", "alertname", "value")
 
 
-@query(f"SELECT us, job, CAST(sum(n_changes) AS DOUBLE) AS value FROM {_visible('(' + CHANGED + ')', 'n_changes').replace('n_changes AS value', 'n_changes')} v WHERE n_changes > 4 GROUP BY 1, 2")
+# Samples joined to the evaluation times whose range they are in.
+STEPS = f"""(SELECT unnest(generate_series(min(epoch_us(ts)) // {STEP} * {STEP}, max(epoch_us(ts)) + {SPAN}, {STEP})) AS t
+  FROM {SAMPLES} s)"""
+
+
+def _ranged(value: str) -> str:
+    return f"""(SELECT job, instance, t, us, value, lag(value) OVER (PARTITION BY job, instance, t ORDER BY us) AS before
+      FROM {STEPS} g JOIN (SELECT job, instance, epoch_us(ts) AS us, {value} AS value FROM {SAMPLES} s) v
+      ON v.us <= g.t AND v.us > g.t - {SPAN})"""
+
+
+CHANGED_AT = f"""(SELECT job, instance, t AS us, count(*) FILTER (before <> value)::DOUBLE AS value
+  FROM {_ranged("up")} r GROUP BY 1, 2, 3)"""
+
+
+@query(f"SELECT job, instance, us, value FROM {CHANGED_AT} c")
+def changes_at_steps(spark, sf_dir):
+    """Value changes in the range before every evaluation time."""
+    counted = metrics.changes_at_steps(_up(spark, sf_dir), STEP, SPAN)
+    return counted.select(_job(), metrics.label("instance").alias("instance"), "us", "value")
+
+
+@query(f"""SELECT job, instance, t AS us, round(sum(CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value
+    ELSE value - before END) / ((max(us) - min(us)) / 1e6) * {SPAN / 1e6}, 6) AS increase
+  FROM {_ranged("counter")} r GROUP BY 1, 2, 3 HAVING count(*) > 1""")
+def rate_at_steps(spark, sf_dir):
+    """Counter rate in the range before every evaluation time, shown per range."""
+    rated = metrics.rates_at_steps(_series(spark, sf_dir, "requests_total", "counter"), STEP, SPAN)
+    increase = F.round(F.col("value") * (SPAN / metrics.SECOND), 6).alias("increase")
+    return rated.select(_job(), metrics.label("instance").alias("instance"), "us", increase)
+
+
+@query(f"SELECT us, job, sum(value) AS value FROM {CHANGED_AT} c WHERE value > 4 GROUP BY 1, 2")
 def flapping_by_job(spark, sf_dir):
     """Changes of flapping targets summed per job and step."""
     panels = _panels(spark, sf_dir, _up(spark, sf_dir))

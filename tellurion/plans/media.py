@@ -99,14 +99,6 @@ def backfill_window(spark, sf_dir):
     return rows.select("doc_id", "object_key")
 
 
-@query()
-def listed_files(spark, sf_dir):
-    """Files of the data folder by listing, without reading them."""
-    start, end = datetime(1970, 1, 1, tzinfo=UTC), datetime(2100, 1, 1, tzinfo=UTC)
-    files = listings.listed_objects(spark, sf_dir, "testdata", start, end)
-    return files.select("bucket", "object_key", "size_bytes", "object_uri")
-
-
 NOTES = views.duck(views.notifications)
 
 

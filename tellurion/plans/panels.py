@@ -1,7 +1,8 @@
 """The shipped dashboard panels, each as a DataFrame over metric samples.
 
-A panel is a function of ``(samples, steps)`` where ``steps`` turns selected
-samples into a vector, either at one instant or at regular steps.
+A panel is a function of samples and of a vector function, which turns selected
+samples into a vector, either at one instant or at regular steps. Range functions
+are evaluated at the same times: ``step`` or ``at`` names them.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ class Panels:
     def __init__(
         self, samples: DataFrame, vector: Vector, changes_span: int = metrics.CHANGES_SPAN,
         rate_span: int = metrics.RATE_SPAN, extrapolate: bool = True,
-        alerts: DataFrame | None = None,
+        alerts: DataFrame | None = None, step: int = metrics.MINUTE, at: int | None = None,
     ):
+        self.step, self.at = step, at
         self.samples, self.vector, self.alerts = samples, vector, alerts
         self.changes_span, self.rate_span, self.extrapolate = changes_span, rate_span, extrapolate
 
@@ -43,15 +45,12 @@ class Panels:
     def rate(self, metric: str, differs: Mapping[str, str] | None = None, **labels: str) -> DataFrame:
         """``rate(metric{…}[5m])``"""
         chosen = metrics.selected(self.samples, metric, equals=labels, differs=differs)
-        rated = metrics.rates(chosen, self.rate_span, self.extrapolate)
-        return self.vector(rated.select("metric", "labels", "ts", F.col("rate").alias("value")))
+        return metrics.rates_at_steps(chosen, self.step, self.rate_span, self.extrapolate, self.at)
 
     def changed(self) -> DataFrame:
         """``changes(up[10m])``"""
-        counted = metrics.changes(metrics.selected(self.samples, "up"), self.changes_span)
-        return self.vector(
-            counted.select("metric", "labels", "ts", F.col("n_changes").cast("double").alias("value"))
-        )
+        chosen = metrics.selected(self.samples, "up")
+        return metrics.changes_at_steps(chosen, self.step, self.changes_span, self.at)
 
     def firing(self, **labels: str) -> DataFrame:
         """``ALERTS{alertstate="firing",…}``"""

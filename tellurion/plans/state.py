@@ -78,13 +78,13 @@ def latest_accepted_blocks(spark, sf_dir):
     return rows.select("event_id", "entity_id", "event_ts")
 
 
-@query(f"""SELECT event_id, entity_id FROM (SELECT *, coalesce(t >= max(t) OVER (PARTITION BY entity_id
-  ORDER BY arrival_seq, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS accepted
-  FROM (SELECT *, CAST(event_ts AS TIMESTAMPTZ) AS t FROM ({NORMALISED}) n WHERE event_ts <> '') q) a
+@query(f"""SELECT event_id, entity_id FROM (SELECT *, coalesce(t, TIMESTAMPTZ '0001-01-01') >= coalesce(max(t) OVER (PARTITION BY entity_id
+  ORDER BY arrival_seq, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TIMESTAMPTZ '0001-01-01') AS accepted
+  FROM (SELECT *, TRY_CAST(nullif(event_ts, '') AS TIMESTAMPTZ) AS t FROM ({NORMALISED}) n) q) a
   WHERE accepted""")
 def latest_accepted_by_instant(spark, sf_dir):
-    """Acceptance by parsed instants instead of texts; rows without one are left out."""
-    timed = normalise.with_event_time(_normalised(spark, sf_dir)).filter("event_time IS NOT NULL")
+    """Acceptance by parsed instants instead of texts; rows without one rank lowest."""
+    timed = normalise.with_event_time(_normalised(spark, sf_dir))
     rows = latest.accepted(timed, tie="event_id", order_by="event_time")
     return rows.select("event_id", "entity_id")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="tellurion-")
 

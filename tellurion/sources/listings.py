@@ -32,14 +32,18 @@ def listed_objects(
 ) -> DataFrame:
     """Objects under ``root`` changed in a half-open window; file contents are not read."""
     base = root.rstrip("/") + "/"
+    # The whole directories of the prefix are named in the path that is listed.
+    inside = prefix.rpartition("/")[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    qualified = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(base)
+        .load(base + inside)
         .select("path", "modificationTime", "length")
         .filter(clock.in_window(F.col("modificationTime"), start, end))
     )
-    key = F.substring_index(F.col("path"), base, -1)
+    key = F.substr("path", F.lit(len(qualified.rstrip("/")) + 2))
     listing = files.select(
         F.lit(bucket).alias("bucket"),
         key.alias("object_key"),

@@ -57,11 +57,18 @@ def _type_of(spec: dict) -> str:
 
 
 def from_json_schema(topic: str, document: str) -> Contract:
-    """A contract from the text of one JSON Schema, bare or under the key ``schema``."""
+    """A contract from the text of one JSON Schema.
+
+    The schema stands alone, under the key ``schema``, or as the registry keeps
+    it: as text in the content of the first version of an artifact.
+    """
     schema = json.loads(document)
-    inner = schema.get("schema")
+    version = schema.get("firstVersion")
+    inner = version["content"]["content"] if version else schema.get("schema")
     if inner is not None:
         schema = json.loads(inner) if isinstance(inner, str) else inner
+    if not isinstance(schema.get("properties"), dict):
+        raise ValueError(f"the document of {topic} has no properties")
     required = set(schema.get("required", ()))
     fields = []
     for name, spec in schema.get("properties", {}).items():
