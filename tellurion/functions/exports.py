@@ -53,6 +53,7 @@ class Publisher:
     """Who publishes: names and defaults that a deployment sets."""
 
     name: str = "Research Data Platform"
+    project: str = "Platform"
     affiliation: str = "Research Data Platform"
     keyword: str = "telemetry"
     licence: str = "cc-by-4.0"
@@ -195,7 +196,7 @@ def deposit_metadata(right: Column, plan: Column, as_of: Column, publisher: Publ
         F.coalesce(_given("req_title"), F.col("title")).alias("title"),
         F.lit("dataset").alias("upload_type"),
         F.coalesce(
-            _given("req_description"), description("Dataset export", plan, closing)
+            _given("req_description"), description(f"{publisher.project} dataset export", plan, closing)
         ).alias("description"),
         creators(publisher).alias("creators"),
         F.coalesce(
@@ -203,7 +204,10 @@ def deposit_metadata(right: Column, plan: Column, as_of: Column, publisher: Publ
         ).alias("publication_date"),
         right.alias("access_right"),
         keywords(publisher).alias("keywords"),
-        F.lit(f"Evidence topic: {EVIDENCE_TOPIC}.").alias("notes"),
+        F.lit(
+            f"Generated by the {publisher.project} management console. "
+            f"Evidence topic: {EVIDENCE_TOPIC}."
+        ).alias("notes"),
         F.when(is_open, F.coalesce(_given("req_license"), F.lit(publisher.licence))).alias("license"),
         F.when(~is_open, F.coalesce(_given("req_access_conditions"), F.lit(conditions))).alias(
             "access_conditions"
@@ -237,7 +241,7 @@ def discovery_metadata(right: Column, plan: Column, as_of: Column, publisher: Pu
     named = identifier(publisher)
     label = rights_label(right)
     closing = (
-        "This record is intended for discovery and must not override "
+        "This record is intended for OpenAIRE discovery and must not override "
         "dataset catalogue, DMP, GDPR, Data Act or DGA release gates."
     )
     formats = F.when(F.size("req_formats") > 0, F.col("req_formats"))
@@ -257,7 +261,7 @@ def discovery_metadata(right: Column, plan: Column, as_of: Column, publisher: Pu
         label["rights"].alias("rights"),
         label["rights_uri"].alias("rights_uri"),
         F.coalesce(
-            _given("req_description"), description("Metadata export", plan, closing)
+            _given("req_description"), description(f"{publisher.project} metadata export", plan, closing)
         ).alias("description"),
         plan_relation().alias("related_identifiers"),
         right.alias("access_right"),

@@ -114,11 +114,11 @@ def _plan() -> Column:
     )
 
 
-def deposit_manifest(generated_at: Column) -> Column:
+def deposit_manifest(generated_at: Column, publisher: x.Publisher) -> Column:
     """Manifest text of a deposit."""
     return jsonx.to_text(
         F.struct(
-            F.lit("deposit.dataset_export").alias("manifest_type"),
+            F.lit(f"{publisher.project.lower()}.zenodo.dataset_export").alias("manifest_type"),
             generated_at.alias("generated_at"),
             F.lit("Zenodo").alias("repository"),
             F.lit(x.EVIDENCE_TOPIC).alias("evidence_topic"),
@@ -129,11 +129,11 @@ def deposit_manifest(generated_at: Column) -> Column:
     )
 
 
-def discovery_manifest(generated_at: Column) -> Column:
+def discovery_manifest(generated_at: Column, publisher: x.Publisher) -> Column:
     """Manifest text of a discovery record."""
     return jsonx.to_text(
         F.struct(
-            F.lit("discovery.metadata_export").alias("manifest_type"),
+            F.lit(f"{publisher.project.lower()}.openaire.metadata_export").alias("manifest_type"),
             generated_at.alias("generated_at"),
             F.lit("OpenAIRE").alias("catalogue"),
             F.lit("metadata_package_for_provide_or_oai_pmh").alias("export_mode"),
@@ -180,7 +180,9 @@ def export_evidence(
     )
 
 
-def package_files(rows: DataFrame, as_of: Column, generated_at: Column) -> DataFrame:
+def package_files(
+    rows: DataFrame, as_of: Column, generated_at: Column, publisher: x.Publisher
+) -> DataFrame:
     """XML and manifest texts of discovery exports as ``file_name, content``."""
     passed = rows.filter(F.col("error_code").isNull())
     xml = F.concat(
@@ -195,7 +197,7 @@ def package_files(rows: DataFrame, as_of: Column, generated_at: Column) -> DataF
         ),
         F.struct(
             objects.file_safe(F.col("dataset_id"), x.DISCOVERY_ENDING).alias("file_name"),
-            discovery_manifest(generated_at).alias("content"),
+            discovery_manifest(generated_at, publisher).alias("content"),
         ),
     )
     return passed.select("request_id", F.inline(files))

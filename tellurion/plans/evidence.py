@@ -18,7 +18,7 @@ FINDINGS = views.duck(views.findings)
 PERMISSIONS = views.duck(views.permissions)
 ACCESS = views.duck(views.access_requests)
 ASSESSMENTS = views.duck(views.assessments)
-PUBLISHER = rights.Publisher(name="Example Publisher", affiliation="Example Lab")
+PUBLISHER = rights.Publisher(name="Example Publisher", project="Example", affiliation="Example Lab")
 
 
 
@@ -138,13 +138,15 @@ def unknown_datasets(spark, sf_dir):
 
 
 @query(f"""SELECT request_id, err AS error_code, CASE WHEN err IS NULL THEN {TITLE} END AS title,
-  CASE WHEN err IS NULL THEN 'Dataset export for ' || dataset_id || '. Classification: ' || classification ||
+  CASE WHEN err IS NULL THEN 'Example dataset export for ' || dataset_id || '. Classification: ' || classification ||
     '. Access mode: ' || access_mode || '. Linked Data Management Plan: ' || coalesce(plan_id, 'missing') ||
     '. This export must follow the dataset catalogue, DMP, GDPR legal-basis, Data Act and DGA release gates before publication.' END AS description,
   CASE WHEN err IS NULL THEN {CREATOR} END AS creators, CASE WHEN err IS NULL THEN '2024-06-01' END AS publication_date,
   CASE WHEN err IS NULL THEN 'telemetry,IoT,research data,' || dataset_type || ',' || classification END AS keywords,
   CASE WHEN err IS NULL AND right_a = 'open' THEN 'cc-by-4.0' END AS license,
-  err IS NULL AND right_a <> 'open' AS has_conditions FROM ({DEPOSIT}) d""")
+  CASE WHEN err IS NULL AND right_a <> 'open' THEN 'Files are restricted until dataset catalogue, DMP, privacy, Data Act and DGA release checks are approved.'
+    END AS conditions,
+  CASE WHEN err IS NULL THEN 'Generated by the Example management console. Evidence topic: governance.repository.exports.' END AS notes FROM ({DEPOSIT}) d""")
 def export_metadata(spark, sf_dir):
     """Deposit metadata of every resolved request."""
     rows = exports.deposits(_resolved(spark, sf_dir), _as_of(), PUBLISHER)
@@ -154,7 +156,7 @@ def export_metadata(spark, sf_dir):
         F.array_join(F.transform(m["creators"], lambda c: c["name"]), ",").alias("creators"),
         m["publication_date"].alias("publication_date"),
         F.array_join(m["keywords"], ",").alias("keywords"), m["license"].alias("license"),
-        m["access_conditions"].isNotNull().alias("has_conditions"),
+        m["access_conditions"].alias("conditions"), m["notes"].alias("notes"),
     )
 
 
@@ -165,6 +167,9 @@ def export_metadata(spark, sf_dir):
   CASE WHEN err IS NULL THEN CASE right_b WHEN 'open' THEN 'Open Access' WHEN 'closed' THEN 'Closed Access' ELSE 'Restricted Access' END END AS rights,
   CASE WHEN err IS NULL THEN 'info:eu-repo/semantics/' || right_b || 'Access' END AS rights_uri,
   CASE WHEN err IS NULL THEN CASE WHEN dmp_id IS NULL THEN 0 ELSE 1 END END AS n_related,
+  CASE WHEN err IS NULL THEN 'Example metadata export for ' || dataset_id || '. Classification: ' || classification ||
+    '. Access mode: ' || access_mode || '. Linked Data Management Plan: ' || coalesce(plan_id, 'missing') ||
+    '. This record is intended for OpenAIRE discovery and must not override dataset catalogue, DMP, GDPR, Data Act or DGA release gates.' END AS description,
   CASE WHEN err IS NULL THEN landing_page_url END AS landing_page_url FROM ({DISCOVERY}) d""")
 def discovery_metadata(spark, sf_dir):
     """Discovery metadata of every resolved request."""
@@ -177,24 +182,25 @@ def discovery_metadata(spark, sf_dir):
         F.array_join(F.transform(m["creators"], lambda c: c["name"]), ",").alias("creators"),
         m["publication_year"].alias("publication_year"), m["rights"].alias("rights"),
         m["rights_uri"].alias("rights_uri"), F.when(m.isNotNull(), related).alias("n_related"),
+        m["description"].alias("description"),
         m["landing_page_url"].alias("landing_page_url"),
     )
 
 
-@query(f"""SELECT request_id, dataset_id, 'Zenodo' AS repository, plan_id AS plan, classification,
+@query(f"""SELECT request_id, dataset_id, 'example.zenodo.dataset_export' AS manifest_type, 'Zenodo' AS repository, plan_id AS plan, classification,
   CASE WHEN plan_id IS NULL THEN NULL ELSE (SELECT status FROM {PLANS} p WHERE p.dmp_id = plan_id) END AS plan_status,
   6 AS n_gates FROM ({DEPOSIT}) d WHERE err IS NULL""")
 def export_manifest(spark, sf_dir):
     """Fields read back from the manifest texts of deposits."""
     rows = exports.deposits(_resolved(spark, sf_dir), _as_of(), PUBLISHER).filter("error_code IS NULL")
-    texts = rows.select("request_id", exports.deposit_manifest(_at()).alias("manifest"))
+    texts = rows.select("request_id", exports.deposit_manifest(_at(), PUBLISHER).alias("manifest"))
     schema = (
-        "repository STRING, dataset STRUCT<dataset_id: STRING, classification: STRING>, "
+        "manifest_type STRING, repository STRING, dataset STRUCT<dataset_id: STRING, classification: STRING>, "
         "data_management_plan STRUCT<dmp_id: STRING, status: STRING>, release_gates ARRAY<STRING>"
     )
     m = F.col("m")
     return texts.select("request_id", F.from_json("manifest", schema).alias("m")).select(
-        "request_id", m["dataset"]["dataset_id"].alias("dataset_id"),
+        "request_id", m["dataset"]["dataset_id"].alias("dataset_id"), m["manifest_type"].alias("manifest_type"),
         m["repository"].alias("repository"), m["data_management_plan"]["dmp_id"].alias("plan"),
         m["dataset"]["classification"].alias("classification"),
         m["data_management_plan"]["status"].alias("plan_status"),
@@ -232,7 +238,7 @@ def export_evidence(spark, sf_dir):
 def export_packages(spark, sf_dir):
     """Fields read back from the XML texts of discovery exports."""
     rows = exports.discoveries(_resolved(spark, sf_dir), _as_of(), PUBLISHER)
-    files = exports.package_files(rows, _as_of(), _at())
+    files = exports.package_files(rows, _as_of(), _at(), PUBLISHER)
     xml = files.filter(F.col("file_name").endswith(rights.DISCOVERY_XML_ENDING))
     content = F.col("content")
     body = F.regexp_replace(content, r"^<\?xml[^>]*>\s*<resource[^>]*>", "<resource>")
