@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,9 +134,9 @@ def tokenised(
         shard, start = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column(1)
-            sizes = np.fromiter((len(t.as_py() or "") for t in texts), np.int64, len(texts))
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
             for a, b in chunks(sizes, 3 * BLOCK_IDS):
-                flat, counts = encoder(tokenizer).encode(texts.slice(a, b - a).to_pylist())
+                flat, counts = encoder(tokenizer).encode(texts.slice(a, b - a))
                 ids = np.insert(flat, np.cumsum(counts), np.uint32(end_id))
                 counts = counts + 1
                 for c, d in chunks(counts, BLOCK_IDS):

@@ -2,29 +2,31 @@
 
 A byte-level BPE tokenizer never joins a character before a single space to
 what follows it, as long as neither neighbour of that space is white space. So
-a text can be cut there, each piece encoded once by the tokenizers library and
-its ids reused wherever the piece comes again. The ids are those of the whole
-text; ``tests/llm/test_tokens.py`` holds them against it.
+a text can be cut before such spaces, each piece encoded once by the tokenizers
+library and its ids reused wherever the piece comes again. The ids are those of
+the whole text; ``tests/llm/test_tokens.py`` holds them against it.
+
+Pieces are told apart by 128 bits of hash, and looked up for a whole batch at
+once in sorted arrays, which take about 40 bytes a piece.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
 
-from tellurion.llm.common import ragged
+from tellurion.llm.common import chunks, ragged, utf8
+from tellurion.llm.textops import BYTE_VALUES, Spans, mix
 
-#: A single space between characters that are not white space.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-MAX_PIECES = 800_000
-#: A mark after a letter is cut off by the pattern of the tokenizer, so a word and
-#: the word with the mark share their ids but for the last.
-MARKS = ".,"
-MAX_CHARS = 24_000_000
-#: Characters of texts that are encoded at a time.
-BATCH_CHARS = 2_000_000
+#: Pieces kept until the table is emptied; new ones are merged in from a small table.
+MAX_PIECES, RECENT = 2_000_000, 100_000
+#: Bytes of text that are encoded at a time.
+BATCH_BYTES = 2 << 20
+SPACE = 32
+OTHER_VALUES = mix(BYTE_VALUES)
+_ASCII_SPACES = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -36,10 +38,48 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
+def white_space(data: np.ndarray) -> np.ndarray:
+    """Bytes of white space characters in UTF-8; more than there are does no harm."""
+    found = _ASCII_SPACES[data]
+    if (data >= 0xC2).any():
+        first, second = data[:-1], data[1:]
+        two = (first == 0xC2) & ((second == 0x85) | (second == 0xA0))
+        # White space of three bytes starts with E1 9A, E2 80, E2 81 or E3 80.
+        three = (first == 0xE1) & (second == 0x9A) | (first == 0xE2) & ((second == 0x80) | (second == 0x81))
+        three |= (first == 0xE3) & (second == 0x80)
+        found[:-1] |= two | three
+        found[1:] |= two | three
+        found[2:] |= three[:-1]
+    return found
+
+
+class Table:
+    """Ids by piece: sorted first hashes, second hashes, and where the ids lie."""
+
+    def __init__(self):
+        self.first = self.second = np.zeros(0, np.uint64)
+        self.start = self.length = np.zeros(0, np.int32)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each piece is there, and at which place."""
+        if not len(self.first):
+            return np.zeros(len(first), bool), np.zeros(len(first), np.int64)
+        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        return (self.first[at] == first) & (self.second[at] == second), at
+
+    def merge(self, other: Table) -> None:
+        first = np.concatenate([self.first, other.first])
+        order = np.argsort(first, kind="stable")
+        self.first = first[order]
+        for name in ("second", "start", "length"):
+            both = np.concatenate([getattr(self, name), getattr(other, name)])
+            setattr(self, name, both[order])
+
+
 class PieceEncoder:
     """Encodes lists of texts; keeps a bounded table of pieces and their ids."""
 
-    def __init__(self, path: str, max_pieces: int = MAX_PIECES, max_chars: int = MAX_CHARS):
+    def __init__(self, path: str, max_pieces: int = MAX_PIECES, recent: int = RECENT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -49,100 +89,102 @@ class PieceEncoder:
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.id_bytes[i] = len(token)  # one character of a token stands for a byte
-        self.max_pieces, self.max_chars = max_pieces, max_chars
+        self.max_pieces, self.most_recent = max_pieces, recent
         self._clear()
 
     def _clear(self) -> None:
-        self.rows: dict = {}
-        self.chars = 0
-        self.ids: list[np.ndarray] = [np.zeros(0, np.uint32)]
-        self.lengths: list[np.ndarray] = [np.zeros(0, np.int64)]
-        self.odd: list[np.ndarray] = [np.zeros(0, bool)]
-
-    def _learn(self, pieces: set) -> None:
-        """Add the ids of new pieces; what has no space before it stands in a tuple."""
-        new = pieces.difference(self.rows)
-        if new and (len(self.rows) + len(new) > self.max_pieces or self.chars > self.max_chars):
-            self._clear()
-            new = pieces
-        heads = [p for p in new if isinstance(p, tuple)]
-        later = [p for p in new if not isinstance(p, tuple)]
-        if heads:
-            found = self.tokenizer.encode_batch_fast(
-                [p[0] for p in heads], add_special_tokens=False
-            )
-            self._keep(heads, [e.ids for e in found], [len(e.ids) for e in found], False)
-        even = [p for p in later if p and not (p[0].isspace() or p[-1].isspace())]
-        marked = [p for p in even if p[-1] in MARKS and p[-2:-1].isalpha()]
-        plain = list({p[:-1] for p in marked}.difference(self.rows).union(set(even).difference(marked)))
-        for at in range(0, len(plain), 50_000):
-            part = plain[at : at + 50_000]
-            ids = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids
-            ends = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in part), np.int64, len(part)))
+        self.kept, self.recent = Table(), Table()
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _add(self, ids: np.ndarray) -> int:
+        """Put ids at the end of the buffer; returns where they start."""
+        start = self.used
+        if start + len(ids) > len(self.ids):
+            wider = np.zeros(max(2 * len(self.ids), start + len(ids)), np.uint32)
+            wider[:start] = self.ids[:start]
+            self.ids = wider
+        self.ids[start : start + len(ids)] = ids
+        self.used += len(ids)
+        return start
+
+    def _learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Encode pieces; where the ids of each start, and their number."""
+        texts = [p.decode() for p in pieces]
+        # Pieces that can follow each other are encoded as one text and told apart by their bytes.
+        even = [
+            k for k, t in enumerate(texts)
+            if t[0] == " " and len(t) > 1 and not t[1].isspace() and not t[-1].isspace()
+        ]
+        start, length = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
+        for at in range(0, len(even), 50_000):
+            part = np.array(even[at : at + 50_000])
+            whole = "".join(texts[k] for k in part)
+            ids = np.array(self.tokenizer.encode(whole, add_special_tokens=False).ids, np.uint32)
+            ends = np.cumsum([len(pieces[k]) for k in part])
             cuts = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends) + 1
-            self._keep(part, [ids], np.diff(cuts, prepend=0), False)
-        if marked:
-            ids, ends, _ = self._table()
-            rows = np.fromiter((self.rows[p[:-1]] for p in marked), np.int64, len(marked))
-            lengths = self.lengths[0][rows]
-            of_mark = [self.tokenizer.token_to_id(p[-1]) for p in marked]
-            found = np.insert(ids[ragged(ends[rows] - lengths, lengths)], np.cumsum(lengths), of_mark)
-            self._keep(marked, [found], lengths + 1, False)
-        if len(even) < len(later):
-            odd = list(set(later).difference(even))
-            self._keep(odd, [], [0] * len(odd), True)
-
-    def _keep(self, pieces: list, ids: list, lengths, odd: bool) -> None:
-        self.rows.update(zip(pieces, range(len(self.rows), len(self.rows) + len(pieces))))
-        self.chars += sum(len(p[0]) if isinstance(p, tuple) else len(p) for p in pieces)
-        self.ids += [np.array(i, np.uint32) for i in ids]
-        self.lengths.append(np.asarray(lengths, np.int64))
-        self.odd.append(np.full(len(pieces), odd))
-
-    def _table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        for kept in (self.ids, self.lengths, self.odd):
-            kept[:] = [np.concatenate(kept)]
-        ends = np.cumsum(self.lengths[0])
-        return self.ids[0], ends, self.odd[0]
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+            length[part] = np.diff(cuts, prepend=0)
+            start[part] = self._add(ids) + cuts - length[part]
+        odd = sorted(set(range(len(texts))).difference(even))
+        found = self.tokenizer.encode_batch_fast([texts[k] for k in odd], add_special_tokens=False)
+        for k, one in zip(odd, found):
+            start[k], length[k] = self._add(np.array(one.ids, np.uint32)), len(one.ids)
+        return start, length
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and the number of each text's ids."""
-        out, counts, batch, chars = [], [], [], 0
-        for text in texts:
-            if batch and chars + len(text or "") > BATCH_CHARS:
-                out.append(self._encode(batch, [t.split(" ") if t else [] for t in batch], True))
-                batch, chars = [], 0
-            batch.append(text)
-            chars += len(text or "")
-        out.append(self._encode(batch, [t.split(" ") if t else [] for t in batch], True))
-        counts = [c for _, c in out]
-        return np.concatenate([i for i, _ in out]), np.concatenate(counts)
-
-    def _encode(self, texts: list, split: list[list], check: bool):
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        pieces: list = []
-        for parts in split:
-            if parts:
-                parts[0] = (parts[0],)
-                pieces += parts
-        if not pieces:
-            return np.zeros(0, np.uint32), counts
-        self._learn(set(pieces))
-        rows = np.fromiter(map(self.rows.__getitem__, pieces), np.int64, len(pieces))
-        ids, ends, odd = self._table()
-        last = np.cumsum(counts)
-        if check and odd[rows].any():
-            seen = np.concatenate([[0], np.cumsum(odd[rows])])
-            uneven = seen[last] > seen[last - counts]
-            cut = []
-            for text, parts, u in zip(texts, split, uneven):
-                if u:
-                    parts = _CUT.split(text)
-                    parts[1:] = [(" " + p,) if p[-1].isspace() else p for p in parts[1:]]
-                elif parts:
-                    parts[0] = parts[0][0]
-                cut.append(parts)
-            return self._encode(texts, cut, False)
-        lengths = self.lengths[0][rows]
-        sums = np.concatenate([[0], np.cumsum(lengths)])
-        return ids[ragged(ends[rows] - lengths, lengths)], sums[last] - sums[last - counts]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        data, offsets = utf8(texts)
+        parts = [
+            self._encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            for a, b in chunks(np.diff(offsets), BATCH_BYTES)
+        ]
+        ids = np.concatenate([np.zeros(0, np.uint32), *(i for i, _ in parts)])
+        return ids, np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)])
+
+    def _encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(bounds) - 1, np.int64)
+        white = white_space(data)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-2] = (data[1:-1] == SPACE) & ~white[:-2] & ~white[2:]
+        # A space next to the end of a text, or to another text, is no place to cut.
+        cut[np.clip(bounds - 1, 0, len(data))] = False
+        cut[bounds] = True
+        starts = np.flatnonzero(cut[:-1])
+        ends = np.append(starts[1:], len(data))
+        first = Spans(BYTE_VALUES[data]).of(starts, ends)
+        second = Spans(OTHER_VALUES[data]).of(starts, ends)
+        distinct, example, which = np.unique(first, return_index=True, return_inverse=True)
+        if (second != second[example][which]).any():  # two pieces with one first hash
+            distinct, example, which = first, np.arange(len(first)), np.arange(len(first))
+        start, length = self._rows(distinct, second[example], data, starts[example], ends[example])
+        start, length = start[which], length[which].astype(np.int64)
+        ids = self.ids[ragged(start.astype(np.int64), length)]
+        total = np.concatenate([[0], np.cumsum(length)])
+        return ids, np.diff(total[np.searchsorted(starts, bounds)])
+
+    def _rows(self, first, second, data, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece start, and their number; new pieces are encoded."""
+        if len(self.kept.first) > self.max_pieces or self.used > 16 * self.max_pieces:
+            self._clear()
+        start, length = np.zeros(len(first), np.int32), np.zeros(len(first), np.int32)
+        known = np.zeros(len(first), bool)
+        for table in (self.kept, self.recent):
+            there, at = table.find(first, second)
+            start[there], length[there] = table.start[at[there]], table.length[at[there]]
+            known |= there
+        new = np.flatnonzero(~known)
+        if len(new):
+            raw = data.tobytes()
+            pieces = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            start[new], length[new] = self._learn(pieces)
+            found = Table()
+            order = new[np.argsort(first[new], kind="stable")]
+            found.first, found.second = first[order], second[order]
+            found.start, found.length = start[order], length[order]
+            self.recent.merge(found)
+            if len(self.recent.first) > self.most_recent:
+                self.kept.merge(self.recent)
+                self.recent = Table()
+        return start, length
