@@ -50,7 +50,7 @@ from tellurion.llm.textops import BYTE_VALUES, Spans, mix, words_in
 WIDTH, PERCENT = 5, 80
 MINIMA = 4
 PART, BLOCK = 64, 256
-HOT = 1_000_000
+HOT = 300_000
 #: Tokens counted at a time when frequent ones are looked for, and the least count.
 COUNTED, LEAST_COUNT = 8_000_000, 2
 #: Documents whose ids are broadcast to read their texts again; beyond it they are joined.
@@ -165,7 +165,15 @@ def described(rows: DataFrame, width: int) -> DataFrame:
 def _frequent(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens in ascending order, and their counts: ``HOT`` rows at most."""
     counted = found.where("times is not null").groupBy("token").agg(F.sum("times").alias("times"))
-    top = counted.orderBy(F.desc("times"), "token").limit(HOT).toPandas()
+    counted = staged(counted, "frequent")
+    # The least count that so few tokens reach: the driver sees a row for each count.
+    least, rows = None, 0
+    for level in sorted(counted.groupBy("times").count().collect(), reverse=True):
+        rows += level["count"]
+        if rows > HOT:
+            break
+        least = level["times"]
+    top = counted.where(F.lit(False) if least is None else F.col("times") >= least).toPandas()
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], top["times"].to_numpy(np.int64)[order]
