@@ -10,9 +10,10 @@ smaller id. The search is exact and needs no index of the whole corpus:
 2. For each such anchor a slot cuts out the fragment that its windows cover. Of
    equal fragments of a slot, that of the smallest id goes to the anchor's bucket;
    the others are marked where they are.
-3. A bucket keeps each distinct fragment once, with its first owner, builds a
-   run-length index of them (``runindex``) and streams the fragments through it. The
-   matching statistics give, for every window, the first document that has it.
+3. A bucket keeps each distinct fragment once, with its first owner, builds
+   run-length indexes of them (``runindex``), one for so many anchors, and streams the
+   fragments through. The matching statistics give, for every window, the first
+   document that has it.
 4. Slots collect the marked spans of their documents.
 
 Texts travel compressed. A task holds one slot, or the fragments of one bucket,
@@ -35,13 +36,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import ragged, staged
+from tellurion.llm.common import chunks, ragged, staged
 from tellurion.llm.runindex import RunIndex
 from tellurion.llm.textops import BYTE_VALUES, Spans
 
 LEAST, ANCHOR = 50, 16
 SLOT_BYTES = 4 << 20
 BUCKET_ANCHORS = 300_000
+#: Text of one index, unless a single anchor has more.
+INDEX_BYTES = 256 << 10
 #: Bytes of text per anchor: windows share an anchor with half of their neighbours.
 BYTES_PER_ANCHOR = (LEAST - ANCHOR + 2) // 2
 LEVEL = 3
@@ -254,13 +257,26 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
         # Each distinct fragment once, with its first owner.
         order = np.lexsort((owner, whole))
         new = np.diff(whole[order], prepend=whole[order[:1]] + np.uint64(1)) != 0
-        lead = order[new]
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
+        anchor = _anchors_of(data, offsets[order[new]])
+        by_anchor = np.argsort(anchor, kind="stable")
+        lead, anchor = order[new][by_anchor], anchor[by_anchor]
+        place = np.empty(len(lead), np.int64)
+        place[by_anchor] = np.arange(len(lead))
+        which = place[which]
         sizes = size[lead]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         text = data[ragged(offsets[lead], sizes)]
-        found = RunIndex(text, ends, owner[lead], LEAST).first_owners(text, ends)
+        # Fragments of one anchor share an index; several anchors do up to a bounded size.
+        begin = np.flatnonzero(np.diff(anchor, prepend=anchor[:1] + np.uint64(1)) != 0)
+        begin = np.append(begin, len(lead))
+        found = np.empty(len(text), np.int64)
+        for a, b in chunks(np.diff(ends[begin]), INDEX_BYTES):
+            x, y = begin[a], begin[b]
+            part, cuts = text[ends[x] : ends[y]], ends[x : y + 1] - ends[x]
+            index = RunIndex(part, cuts, owner[lead[x:y]], LEAST)
+            found[ends[x] : ends[y]] = index.first_owners(part, cuts)
         # The first owner of a fragment loses windows of smaller ids, all later ones every window.
         rows: list[tuple] = []
         later = np.flatnonzero(owner > owner[lead][which])
@@ -292,6 +308,15 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
     return fragments.groupBy("bucket").applyInArrow(run, SPANS)
 
 
+def _anchors_of(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The anchors of fragments: the least hash in their first window, which all windows share."""
+    spans = Spans(BYTE_VALUES[data])
+    least = spans.of(starts, starts + ANCHOR)
+    for k in range(1, LEAST - ANCHOR + 1):
+        np.minimum(least, spans.of(starts + k, starts + k + ANCHOR), out=least)
+    return least
+
+
 def _united(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of the union of spans."""
     if not len(starts):
