@@ -45,6 +45,8 @@ SLOT_BYTES = 4 << 20
 BUCKET_ANCHORS = 300_000
 #: Text of one index, unless a single anchor has more.
 INDEX_BYTES = 256 << 10
+#: Bytes that are hashed at a time.
+PART_BYTES = 1 << 20
 #: Bytes of text per anchor: windows share an anchor with half of their neighbours.
 BYTES_PER_ANCHOR = (LEAST - ANCHOR + 2) // 2
 LEVEL = 3
@@ -63,6 +65,13 @@ def sliding_anchors(data: np.ndarray, least: int, anchor: int) -> tuple[np.ndarr
     none = np.zeros(0, np.int64)
     if len(data) < least:
         return none.astype(np.uint64), none, none
+    if len(data) > PART_BYTES + least:
+        # An anchor at a seam is met twice, each time with its windows on one side.
+        parts = []
+        for at in range(0, len(data) - least + 1, PART_BYTES):
+            value, first, last = sliding_anchors(data[at : at + PART_BYTES + least - 1], least, anchor)
+            parts.append((value, at + first, at + last))
+        return tuple(np.concatenate(p) for p in zip(*parts))
     at = np.arange(len(data) - anchor + 1)
     hashes = Spans(BYTE_VALUES[data]).of(at, at + anchor)
     # Least hash of every window by doubling; of equal ones, the first.
@@ -253,8 +262,8 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
         slot = np.repeat(group["slot"].to_numpy(), [len(d) for d in fields["docs"]])
         owner, doc, start, size, data = (np.concatenate(v) for v in fields.values())
         offsets = np.concatenate([[0], np.cumsum(size)])
-        whole = Spans(BYTE_VALUES[data]).of(offsets[:-1], offsets[1:])
-        # Each distinct fragment once, with its first owner.
+        whole = _hashes(data, offsets)
+        # Each distinct fragment once, with its first owner, in the order of anchors.
         order = np.lexsort((owner, whole))
         new = np.diff(whole[order], prepend=whole[order[:1]] + np.uint64(1)) != 0
         which = np.empty(len(order), np.int64)
@@ -265,40 +274,27 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
         place = np.empty(len(lead), np.int64)
         place[by_anchor] = np.arange(len(lead))
         which = place[which]
-        sizes = size[lead]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        text = data[ragged(offsets[lead], sizes)]
         # Fragments of one anchor share an index; several anchors do up to a bounded size.
         begin = np.flatnonzero(np.diff(anchor, prepend=anchor[:1] + np.uint64(1)) != 0)
         begin = np.append(begin, len(lead))
-        found = np.empty(len(text), np.int64)
+        ends = np.concatenate([[0], np.cumsum(size[lead])])
+        spans = [_earlier(data, offsets, size, owner, lead[:0])]
         for a, b in chunks(np.diff(ends[begin]), INDEX_BYTES):
-            x, y = begin[a], begin[b]
-            part, cuts = text[ends[x] : ends[y]], ends[x : y + 1] - ends[x]
-            index = RunIndex(part, cuts, owner[lead[x:y]], LEAST)
-            found[ends[x] : ends[y]] = index.first_owners(part, cuts)
+            piece, *bounds = _earlier(data, offsets, size, owner, lead[begin[a] : begin[b]])
+            spans.append((begin[a] + piece, *bounds))
+        piece, left, right = (np.concatenate(v) for v in zip(*spans))
         # The first owner of a fragment loses windows of smaller ids, all later ones every window.
-        rows: list[tuple] = []
-        later = np.flatnonzero(owner > owner[lead][which])
-        hit = found < np.repeat(owner[lead], sizes)
-        holders = np.flatnonzero(owner == owner[lead][which])
-        piece = np.repeat(np.arange(len(lead)), sizes)
-        edge = np.diff(hit.astype(np.int8), prepend=0) == 1
-        edge |= hit & (np.diff(piece, prepend=-1) != 0)
-        begin = np.flatnonzero(edge)
-        stop = hit & ~np.append(hit[1:] & (piece[1:] == piece[:-1]), False)
-        finish = np.flatnonzero(stop) + LEAST
-        # Spans of a distinct fragment go to all of its holders with the first id.
-        per = np.bincount(piece[begin], minlength=len(lead)) if len(begin) else np.zeros(len(lead), np.int64)
-        at = np.cumsum(per) - per
+        first = owner[lead][which]
+        later, holders = np.flatnonzero(owner > first), np.flatnonzero(owner == first)
+        per = np.bincount(piece, minlength=len(lead))
         times = per[which[holders]]
-        row = ragged(at[which[holders]], times)
+        row = ragged((np.cumsum(per) - per)[which[holders]], times)
         held = np.repeat(holders, times)
-        base = start[held] - ends[:-1][which[held]]
         docs = np.concatenate([doc[later], doc[held]])
-        starts = np.concatenate([start[later], begin[row] + base])
-        stops = np.concatenate([start[later] + size[later], finish[row] + base])
+        starts = np.concatenate([start[later], start[held] + left[row]])
+        stops = np.concatenate([start[later] + size[later], start[held] + right[row]])
         to = np.concatenate([slot[later], slot[held]])
+        rows: list[tuple] = []
         order = np.lexsort((starts, docs, to))
         for name, a, b in _ranges(to[order]):
             own = order[a:b]
@@ -308,13 +304,45 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
     return fragments.groupBy("bucket").applyInArrow(run, SPANS)
 
 
+def _hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hash of each fragment."""
+    out = [np.zeros(0, np.uint64)]
+    for a, b in chunks(np.diff(offsets), PART_BYTES):
+        own = offsets[a : b + 1] - offsets[a]
+        out.append(Spans(BYTE_VALUES[data[offsets[a] : offsets[b]]]).of(own[:-1], own[1:]))
+    return np.concatenate(out)
+
+
 def _anchors_of(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The anchors of fragments: the least hash in their first window, which all windows share."""
-    spans = Spans(BYTE_VALUES[data])
-    least = spans.of(starts, starts + ANCHOR)
-    for k in range(1, LEAST - ANCHOR + 1):
-        np.minimum(least, spans.of(starts + k, starts + k + ANCHOR), out=least)
-    return least
+    out = [np.zeros(0, np.uint64)]
+    for at in range(0, len(starts), PART_BYTES // LEAST):
+        own = starts[at : at + PART_BYTES // LEAST]
+        spans = Spans(BYTE_VALUES[data[ragged(own, np.full(len(own), LEAST))]])
+        first = np.arange(len(own)) * LEAST
+        least = spans.of(first, first + ANCHOR)
+        for k in range(1, LEAST - ANCHOR + 1):
+            np.minimum(least, spans.of(first + k, first + k + ANCHOR), out=least)
+        out.append(least)
+    return np.concatenate(out)
+
+
+def _earlier(data, offsets, size, owner, lead) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows that a smaller owner has: fragment (of ``lead``), first and last byte."""
+    if not len(lead):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    part = data[ragged(offsets[lead], size[lead])]
+    cuts = np.concatenate([[0], np.cumsum(size[lead])])
+    found = RunIndex(part, cuts, owner[lead], LEAST).first_owners(part, cuts)
+    piece = np.repeat(np.arange(len(lead)), size[lead])
+    hit = found < owner[lead][piece]
+    same = piece[1:] == piece[:-1]
+    begin, stop = hit.copy(), hit.copy()
+    begin[1:] &= ~(hit[:-1] & same)
+    stop[:-1] &= ~(hit[1:] & same)
+    first, last = np.flatnonzero(begin), np.flatnonzero(stop)
+    return piece[first], first - cuts[piece[first]], last - cuts[piece[last]] + LEAST
 
 
 def _united(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -112,7 +112,9 @@ def test_marks_are_those_of_all_windows(spark, monkeypatch):
     rows = corpus()
     rows += [(500, "ab" * 300), (501, "xx" + "ab" * 100), (20, rows[3][1]), (20, "é" * 60), (600, "é" * 61 + "z")]
     docs = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, slot int, kept string")
-    for slot, bucket in ((4 << 20, 300_000), (3000, 40)):
+    for slot, bucket, part in ((4 << 20, 300_000, 1 << 20), (3000, 40, 700)):
+        monkeypatch.setattr(repeats, "PART_BYTES", part)
+        monkeypatch.setattr(repeats, "INDEX_BYTES", part)
         monkeypatch.setattr(repeats, "SLOT_BYTES", slot)
         monkeypatch.setattr(repeats, "BUCKET_ANCHORS", bucket)
         got = repeats.mark_repeats(docs.repartition(3), carry=["slot", "kept"]).toPandas()
