@@ -10,7 +10,8 @@ exact join runs on a token-group matrix:
    most ``PART`` classes.
 3. The matrix holds, for each token, the parts that have it among the first
    ``n - ceil(t * n) + 1`` tokens of a member, in an order that puts frequent
-   tokens last. Sets of similarity ``t`` share such a token, so no link is lost.
+   tokens last. Sets of similarity ``t`` share such a token, so no link is lost; at
+   the first one they share, enough tokens must follow in both.
    Tokens seen in one class are dropped where they are counted.
 4. A class is a query to the parts of other groups it shares a token with. A part
    stores the union of its members' tokens as a bitmap of hashed tokens. A cell that
@@ -61,7 +62,8 @@ BATCH_BYTES = 2 << 20
 CELLS = 4
 
 DOCS = "doc_id long, n long, key long, minima array<long>, bits binary, token long, times long"
-POSTED = "token long, key long, n long"
+#: ``sizes`` holds the size of the set and, in the lower half, its tokens from this one on.
+POSTED = "token long, key long, sizes long"
 TOKENS = "key long, n long, tokens binary"
 LINKED = "a long, b long"
 ROLE_MEMBER, ROLE_QUERY = 0, 1
@@ -202,13 +204,15 @@ def posted(
                 sizes.append(len(tokens))
             if parts:
                 times = [len(p) for p in parts]
+                place = np.concatenate([np.arange(t) for t in times])
+                n = np.repeat(np.array(sizes, np.int64), times)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(_signed(np.concatenate(parts))),
                         pa.array(np.repeat(np.array(keys, np.int64), times)),
-                        pa.array(np.repeat(np.array(sizes, np.int64), times)),
+                        pa.array(n << 32 | n - place),
                     ],
-                    ["token", "key", "n"],
+                    ["token", "key", "sizes"],
                 )
 
     return rows.select("text").mapInArrow(run, POSTED)
@@ -241,7 +245,7 @@ def _shared(postings: DataFrame) -> DataFrame:
 
     def _rows(rows: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], ["token", "key", "n"]
+            [pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)], ["token", "key", "sizes"]
         )
 
     ordered = postings.repartition("token").sortWithinPartitions("token", "key")
@@ -427,23 +431,29 @@ def near_duplicates(
     placed = shared.join(parts, "key", "left").select(
         "token",
         "key",
-        "n",
+        F.shiftright("sizes", 32).alias("n"),
+        F.col("sizes").bitwiseAND(0xFFFFFFFF).alias("rest"),
         F.coalesce("group", "key").alias("group"),
         F.coalesce("slot", F.lit(0).cast("long")).alias("slot"),
     )
     placed = staged(placed, "placed")
     matrix = placed.groupBy("token", "group", "slot").agg(
-        F.min("n").alias("low"), F.max("n").alias("high")
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("part_rest")
     )
     matrix = matrix.select(
-        "token", F.col("group").alias("to"), F.struct("group", "slot").alias("part"), "low", "high"
+        "token", F.col("group").alias("to"), F.struct("group", "slot").alias("part"), "low", "high", "part_rest"
     )
+    # At the first token that two sets share, what follows must make up the overlap that their
+    # sizes need. Similar sets pass there; at later tokens they share they may fail.
+    least = F.greatest(100 * F.col("low"), percent * F.col("n"))
+    needed = percent * (100 * F.col("n") + least)
+    enough = 100 * (100 + percent) * F.least("rest", "part_rest") >= needed
     fits = (100 * F.col("low") <= F.col("n") * F.lit(10_000) / percent) & (
         100 * F.col("high") >= percent * F.col("n")
     )
     asked = (
         placed.join(matrix, "token")
-        .where((F.col("to") < F.col("group")) & fits)
+        .where((F.col("to") < F.col("group")) & fits & enough)
         .select("part", "key")
         .distinct()
     )
