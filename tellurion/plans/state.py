@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tellurion.operators import latest, normalise
 from tellurion.plans import views
 from tellurion.plans.registry import query
-from tellurion.sources import changes
+from tellurion.sources import changes, landing
 
 RECORDS = views.duck(views.raw_records)
 INFERRED = """CASE WHEN form = 9 THEN 'unknown' WHEN event_type = 'click' THEN 'dev-' || user_id
@@ -89,6 +89,36 @@ def latest_accepted_by_instant(spark, sf_dir):
     return rows.select("event_id", "entity_id")
 
 
+def _log(spark, sf_dir):
+    """The records as two topic logs in one table."""
+    rows = views.view(spark, sf_dir, views.raw_records)
+    log = rows.select(
+        "slot", F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.col("raw_json").cast("binary").alias("value"), F.col("source_topic").alias("topic"),
+        (F.col("event_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    return landing.union_logs([log.where("slot < 4").drop("slot"), log.where("slot >= 4").drop("slot")])
+
+
+@query(f"""SELECT event_id AS log_offset, source_topic, raw_json, epoch_us(ts) AS arrival_seq FROM {RECORDS} r""")
+def log_records(spark, sf_dir):
+    """Log rows as raw records with their place in the order of arrival."""
+    return landing.raw_records(_log(spark, sf_dir)).select(
+        F.col("offset").alias("log_offset"), "source_topic", "raw_json", "arrival_seq"
+    )
+
+
+@query(f"""SELECT entity_id, event_ts, source_topic, event_id AS log_offset FROM (SELECT n.*, row_number() OVER
+  (PARTITION BY entity_id ORDER BY event_ts DESC, epoch_us(r.ts) DESC, n.source_topic DESC, n.event_id % 4 DESC, n.event_id DESC) AS k
+  FROM ({NORMALISED}) n JOIN (SELECT event_id, ts FROM {RECORDS} q) r USING (event_id)) x WHERE k = 1""")
+def log_latest_state(spark, sf_dir):
+    """Final state of every entity from log rows alone."""
+    rows = normalise.normalised(landing.raw_records(_log(spark, sf_dir)))
+    state = latest.latest_state(rows, tie="arrival_tie")
+    return state.select("entity_id", "event_ts", "source_topic", F.col("offset").alias("log_offset"))
+
+
 @query(f"""SELECT entity_id, event_ts, event_id, event_kind, source_topic FROM (SELECT *, row_number() OVER
   (PARTITION BY entity_id ORDER BY event_ts DESC, arrival_seq DESC, event_id DESC) AS r
   FROM ({NORMALISED}) n) x WHERE r = 1""")

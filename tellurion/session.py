@@ -18,6 +18,10 @@ RUNTIME_SETTINGS = {
     # The JIT does not compile methods above 8000 bytecodes; past that size the
     # split, per-operator projections are faster than one fused method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming state on disk instead of in executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

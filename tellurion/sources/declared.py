@@ -1,7 +1,6 @@
 """Contracts declared in the library: the raw families and the evidence used here.
 
-Types follow from the field names, so a contract is a list of names. A full
-registry is read from its own documents with :mod:`tellurion.sources.registry`.
+Each field is stated with its type and rules. A full registry is read from its own documents with :mod:`tellurion.sources.registry`.
 """
 
 from __future__ import annotations
@@ -10,41 +9,7 @@ from tellurion.functions import topics
 from tellurion.operators import contracts as raw
 from tellurion.sources.registry import Contract, Field
 
-# Field names of the contracts, required ones before the bar.
-EVIDENCE = {
-    topics.DEAD_LETTER: (
-        "timestamp source intended_topic errors raw_event | source_topic device_id"
-    ),
-    "media.object.events": "Records |",
-    "compliance.control.assessments": (
-        "assessment_id regulation control_id status owner assessed_at | "
-        "evidence_topics evidence_uri gaps next_action due_at"
-    ),
-    "dataact.user.access.requests": (
-        "request_id user_id connected_product_id requested_scope requested_format requested_at "
-        "status | related_service_id delivery_channel fulfilled_at decision_reason"
-    ),
-    "dataact.user.exports": (
-        "export_id request_id user_id data_product_id format delivery_channel created_at status | "
-        "third_party_id schema_uri export_uri record_count size_bytes expires_at"
-    ),
-    "governance.access.requests": (
-        "request_id product_id requester_id requester_type declared_purpose requested_at status | "
-        "requested_fields requested_format third_country_jurisdiction decision_reason"
-    ),
-    "governance.permission.events": (
-        "permission_id subject_id subject_type product_id event_type purposes occurred_at | "
-        "data_user_id third_country_jurisdiction evidence_uri"
-    ),
-    "resilience.backup.tests": (
-        "test_id system tested_at result rpo_minutes rto_minutes | "
-        "restore_scope evidence_uri findings next_test_due_at"
-    ),
-    "security.vulnerability.findings": (
-        "finding_id asset_id source severity status detected_at | "
-        "cve package_name installed_version fixed_version due_at remediation"
-    ),
-}
+# Lists of allowed values.
 LEVELS = ("low", "medium", "high", "critical")
 CHANNELS = ("api", "file_export", "stream", "controlled_workspace")
 REGULATIONS = (
@@ -52,59 +17,129 @@ REGULATIONS = (
     "Trade Secrets Directive", "Radio Equipment Directive", "General Product Safety Regulation",
     "Product Liability Directive", "Cybersecurity Act", "Open Data Directive", "EHDS",
 )
-ENUMS = {
-    ("compliance.control.assessments", "regulation"): REGULATIONS,
-    ("compliance.control.assessments", "status"): (
-        "implemented", "partial", "todo", "blocked", "not_applicable", "conditional",
+
+
+def _contract(topic: str, *fields: tuple[str, str, dict]) -> Contract:
+    return Contract(topic, tuple(Field(topic, name, kind, **more) for name, kind, more in fields))
+
+
+# The fields of the evidence contracts in their order.
+EVIDENCE: tuple[Contract, ...] = (
+    _contract(
+        topics.DEAD_LETTER,
+        ("timestamp", "timestamp", dict(required=True)),
+        ("source", "string", dict(required=True)),
+        ("intended_topic", "string", dict(required=True)),
+        ("errors", "array<string>", dict(required=True, min_items=1)),
+        ("raw_event", "object", dict(required=True)),
+        ("source_topic", "string", {}),
+        ("device_id", "string", {}),
+    ),
+    _contract(
+        "media.object.events",
+        ("Records", "array", dict(required=True, min_items=1)),
+    ),
+    _contract(
+        "compliance.control.assessments",
+        ("assessment_id", "string", dict(required=True)),
+        ("regulation", "string", dict(required=True, enum=REGULATIONS)),
+        ("control_id", "string", dict(required=True)),
+        ("status", "string", dict(required=True, enum=("implemented", "partial", "todo", "blocked", "not_applicable", "conditional"))),
+        ("owner", "string", dict(required=True)),
+        ("assessed_at", "timestamp", dict(required=True)),
+        ("evidence_topics", "array<string>", {}),
+        ("evidence_uri", "string", {}),
+        ("gaps", "array<string>", {}),
+        ("next_action", "string", {}),
+        ("due_at", "timestamp", {}),
+    ),
+    _contract(
+        "dataact.user.access.requests",
+        ("request_id", "string", dict(required=True)),
+        ("user_id", "string", dict(required=True)),
+        ("connected_product_id", "string", dict(required=True)),
+        ("requested_scope", "array<string>", dict(required=True, min_items=1)),
+        ("requested_format", "string", dict(required=True)),
+        ("requested_at", "timestamp", dict(required=True)),
+        ("status", "string", dict(required=True, enum=("submitted", "approved", "fulfilled", "rejected", "expired", "cancelled"))),
+        ("related_service_id", "string", {}),
+        ("delivery_channel", "string", dict(enum=CHANNELS)),
+        ("fulfilled_at", "timestamp", {}),
+        ("decision_reason", "string", {}),
     ),
-    ("dataact.user.access.requests", "delivery_channel"): CHANNELS,
-    ("dataact.user.access.requests", "status"): (
-        "submitted", "approved", "fulfilled", "rejected", "expired", "cancelled",
+    _contract(
+        "dataact.user.exports",
+        ("export_id", "string", dict(required=True)),
+        ("request_id", "string", dict(required=True)),
+        ("user_id", "string", dict(required=True)),
+        ("data_product_id", "string", dict(required=True)),
+        ("format", "string", dict(required=True)),
+        ("delivery_channel", "string", dict(required=True, enum=CHANNELS)),
+        ("created_at", "timestamp", dict(required=True)),
+        ("status", "string", dict(required=True, enum=("created", "delivered", "expired", "revoked", "failed"))),
+        ("third_party_id", "string", {}),
+        ("schema_uri", "string", {}),
+        ("export_uri", "string", {}),
+        ("record_count", "integer", dict(minimum=0)),
+        ("size_bytes", "integer", dict(minimum=0)),
+        ("expires_at", "timestamp", {}),
     ),
-    ("dataact.user.exports", "delivery_channel"): CHANNELS,
-    ("dataact.user.exports", "status"): ("created", "delivered", "expired", "revoked", "failed"),
-    ("governance.access.requests", "requester_type"): (
-        "data_user", "data_holder", "data_subject", "public_sector_body", "researcher",
+    _contract(
+        "governance.access.requests",
+        ("request_id", "string", dict(required=True)),
+        ("product_id", "string", dict(required=True)),
+        ("requester_id", "string", dict(required=True)),
+        ("requester_type", "string", dict(required=True, enum=("data_user", "data_holder", "data_subject", "public_sector_body", "researcher"))),
+        ("declared_purpose", "string", dict(required=True)),
+        ("requested_at", "timestamp", dict(required=True)),
+        ("status", "string", dict(required=True, enum=("submitted", "under_review", "approved", "rejected", "withdrawn", "expired"))),
+        ("requested_fields", "array<string>", {}),
+        ("requested_format", "string", {}),
+        ("third_country_jurisdiction", "string", {}),
+        ("decision_reason", "string", {}),
     ),
-    ("governance.access.requests", "status"): (
-        "submitted", "under_review", "approved", "rejected", "withdrawn", "expired",
+    _contract(
+        "governance.permission.events",
+        ("permission_id", "string", dict(required=True)),
+        ("subject_id", "string", dict(required=True)),
+        ("subject_type", "string", dict(required=True, enum=("data_holder", "data_subject"))),
+        ("product_id", "string", dict(required=True)),
+        ("event_type", "string", dict(required=True, enum=("granted", "withdrawn", "expired", "updated"))),
+        ("purposes", "array<string>", dict(required=True, min_items=1)),
+        ("occurred_at", "timestamp", dict(required=True)),
+        ("data_user_id", "string", {}),
+        ("third_country_jurisdiction", "string", {}),
+        ("evidence_uri", "string", {}),
     ),
-    ("governance.permission.events", "subject_type"): ("data_holder", "data_subject"),
-    ("governance.permission.events", "event_type"): (
-        "granted", "withdrawn", "expired", "updated",
+    _contract(
+        "resilience.backup.tests",
+        ("test_id", "string", dict(required=True)),
+        ("system", "string", dict(required=True)),
+        ("tested_at", "timestamp", dict(required=True)),
+        ("result", "string", dict(required=True, enum=("passed", "failed", "partial"))),
+        ("rpo_minutes", "integer", dict(required=True, minimum=0)),
+        ("rto_minutes", "integer", dict(required=True, minimum=0)),
+        ("restore_scope", "string", {}),
+        ("evidence_uri", "string", {}),
+        ("findings", "array<string>", {}),
+        ("next_test_due_at", "timestamp", {}),
     ),
-    ("resilience.backup.tests", "result"): ("passed", "failed", "partial"),
-    ("security.vulnerability.findings", "severity"): LEVELS,
-    ("security.vulnerability.findings", "status"): (
-        "open", "accepted_risk", "patched", "mitigated", "false_positive",
+    _contract(
+        "security.vulnerability.findings",
+        ("finding_id", "string", dict(required=True)),
+        ("asset_id", "string", dict(required=True)),
+        ("source", "string", dict(required=True)),
+        ("severity", "string", dict(required=True, enum=LEVELS)),
+        ("status", "string", dict(required=True, enum=("open", "accepted_risk", "patched", "mitigated", "false_positive"))),
+        ("detected_at", "timestamp", dict(required=True)),
+        ("cve", "string", {}),
+        ("package_name", "string", {}),
+        ("installed_version", "string", {}),
+        ("fixed_version", "string", {}),
+        ("due_at", "timestamp", {}),
+        ("remediation", "string", {}),
     ),
-}
-ARRAYS = (
-    "errors", "evidence_topics", "gaps", "requested_scope", "requested_fields", "purposes",
-    "findings",
 )
-COUNTS = ("record_count", "size_bytes", "rpo_minutes", "rto_minutes")
-TIMES = ("timestamp",)
-
-
-def _evidence_field(topic: str, name: str, required: bool) -> Field:
-    if name in ARRAYS:
-        return Field(topic, name, "array<string>", required, min_items=1 if required else None)
-    if name == "Records":
-        return Field(topic, name, "array", required, min_items=1)
-    if name in COUNTS:
-        return Field(topic, name, "integer", required, minimum=0)
-    if name == "raw_event":
-        return Field(topic, name, "object", required)
-    kind = "timestamp" if name.endswith("_at") or name in TIMES else "string"
-    return Field(topic, name, kind, required, enum=ENUMS.get((topic, name)))
-
-
-def _evidence(topic: str, names: str) -> Contract:
-    required, optional = (part.split() for part in names.split("|"))
-    fields = [_evidence_field(topic, n, True) for n in required]
-    fields += [_evidence_field(topic, n, False) for n in optional]
-    return Contract(topic, tuple(fields))
 
 
 def _raw_type(name: str, sensor: bool) -> str:
@@ -146,4 +181,4 @@ def _raw(topic: str) -> Contract:
 
 
 def declared_contracts() -> list[Contract]:
-    return [_raw(t) for t in topics.RAW_TOPICS] + [_evidence(t, n) for t, n in EVIDENCE.items()]
+    return [_raw(t) for t in topics.RAW_TOPICS] + list(EVIDENCE)

@@ -55,13 +55,6 @@ def subscribed_messages(
     return messages.filter(topics.subscribed(F.col("topic"), subscriptions))
 
 
-def with_ingestion_time(messages: DataFrame, at: str = "arrived_at") -> DataFrame:
-    """Add ``ingested_at`` text from the arrival time, so that reruns agree."""
-    from tellurion.functions import clock
-
-    return messages.withColumn("ingested_at", clock.iso_timestamp(F.col(at)))
-
-
 def kafka_options(
     servers: str,
     subscribe: Iterable[str],
@@ -94,13 +87,16 @@ def topic_log(
 def raw_records(log: DataFrame) -> DataFrame:
     """Log rows as ``source_topic, raw_json`` with their arrival coordinates.
 
-    Arrival order over topics is not defined by a log; here it is the log time,
-    then topic, partition and offset.
+    Arrival order over topics is not defined by a log; here it is the log time
+    in ``arrival_seq``, then topic, partition and offset in ``arrival_tie``. Both
+    come from the row alone, so no sort of the log is needed.
     """
     return log.select(
         F.col("topic").alias("source_topic"),
         F.col("value").cast("string").alias("raw_json"),
         F.col("timestamp").alias("arrived_at"),
+        F.unix_micros("timestamp").alias("arrival_seq"),
+        F.struct("topic", "partition", "offset").alias("arrival_tie"),
         "partition",
         "offset",
     )

@@ -10,19 +10,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tellurion.operators import deadletters, ingest, latest, normalise
 from tellurion.sources import sinks
 
-# Time between checkpoints; the state store that spills to disk.
+# Fixed value: time between checkpoints.
 TRIGGER = "10 seconds"
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
-}
-
-
-def use_disk_state(spark) -> None:
-    """Keep streaming state in RocksDB instead of executor memory."""
-    for key, value in STATE_STORE.items():
-        spark.conf.set(key, value)
 
 
 def accepted_stream(events: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
@@ -80,6 +69,12 @@ def accepted_by_batch(
             )
         # The batch is read three times; what is lost with an executor is recomputed.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            judge(batch, state, batch_id)
+        finally:
+            batch.unpersist()
+
+    def judge(batch: DataFrame, state: DataFrame, batch_id: int) -> None:
         judged = latest.with_acceptance(
             batch, arrival=order[0], tie=order[1] if len(order) > 1 else None, block_rows=block_rows
         )
@@ -92,7 +87,6 @@ def accepted_by_batch(
         seen.unionByName(state).groupBy("entity_id").agg(
             F.max("known_ts").alias("known_ts")
         ).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        batch.unpersist()
 
     return _triggered(events.writeStream.foreachBatch(write), checkpoint, once).start()
 

@@ -6,17 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tellurion.plans import all_checks
 
 DATA = "/root/testdata/sf0.001"
-QUICK = (
-    "route_topics", "contract_errors", "routed_counts", "latest_accepted_blocks", "latest_state",
-    "object_notifications", "value_changes", "down_alert_states_blocks", "schema_violations",
-    "export_evidence", "request_asof_permission", "stream_latest",
-)
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the given tables")
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", sorted(all_checks()))
 def test_query_matches_its_sql(spark, name):
     frame = entry.queries()[name](spark, DATA)
     columns = sorted(frame.columns)
