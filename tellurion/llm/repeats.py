@@ -275,13 +275,17 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
         place[by_anchor] = np.arange(len(lead))
         which = place[which]
         # Fragments of one anchor share an index; several anchors do up to a bounded size.
+        # The only fragment of an anchor shares its windows with no other.
         begin = np.flatnonzero(np.diff(anchor, prepend=anchor[:1] + np.uint64(1)) != 0)
-        begin = np.append(begin, len(lead))
-        ends = np.concatenate([[0], np.cumsum(size[lead])])
+        several = np.diff(np.append(begin, len(lead)))
+        among = np.flatnonzero(np.repeat(several > 1, several))
+        begin = np.concatenate([[0], np.cumsum(several[several > 1])])
+        ends = np.concatenate([[0], np.cumsum(size[lead[among]])])
         spans = [_earlier(data, offsets, size, owner, lead[:0])]
         for a, b in chunks(np.diff(ends[begin]), INDEX_BYTES):
-            piece, *bounds = _earlier(data, offsets, size, owner, lead[begin[a] : begin[b]])
-            spans.append((begin[a] + piece, *bounds))
+            own = among[begin[a] : begin[b]]
+            piece, *bounds = _earlier(data, offsets, size, owner, lead[own])
+            spans.append((own[piece], *bounds))
         piece, left, right = (np.concatenate(v) for v in zip(*spans))
         # The first owner of a fragment loses windows of smaller ids, all later ones every window.
         first = owner[lead][which]
