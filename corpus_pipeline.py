@@ -44,9 +44,9 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of earlier ones; those with nothing left go."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    marked = repeats.mark_repeats(docs, carry=others)
-    text = repeats.whole_characters(F.col("kept"))
-    left = marked.where((F.octet_length("kept") > 0) | (F.size("spans") == 0)).withColumn("text", text)
+    marked = repeats.mark_repeats(docs, carry=others, as_text=True)
+    left = marked.where((F.octet_length("kept") > 0) | (F.size("spans") == 0))
+    left = left.withColumnRenamed("kept", "text")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

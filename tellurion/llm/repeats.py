@@ -33,7 +33,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.llm.common import chunks, ragged, staged
@@ -57,7 +57,7 @@ FRAGMENTS = (
     "bucket long, slot long, doc_ids binary, docs binary, starts binary, sizes binary, data binary"
 )
 SPANS = "slot long, docs binary, starts binary, ends binary"
-MARKED = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+MARKED = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>"
 
 
 def sliding_anchors(data: np.ndarray, least: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -360,7 +360,7 @@ def _united(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[new], reach[np.append(np.flatnonzero(new)[1:], len(starts)) - 1]
 
 
-def _marked(packed: DataFrame, spans: DataFrame) -> DataFrame:
+def _marked(packed: DataFrame, spans: DataFrame, as_text: bool) -> DataFrame:
     carried = [f for f in packed.schema if f.name.startswith("carry_")]
 
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -380,28 +380,35 @@ def _marked(packed: DataFrame, spans: DataFrame) -> DataFrame:
             keep = np.ones(len(text), bool)
             for x, y in zip(s, e):
                 keep[x:y] = False
-            kept.append(text[keep].tobytes())
+            left = text[keep].tobytes()
+            kept.append(left.decode("utf-8", "ignore") if as_text else left)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
                 "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
                 "spans": pa.array(rows, kind),
-                "kept": pa.array(kept, pa.binary()),
+                "kept": pa.array(kept, pa.string() if as_text else pa.binary()),
             }
             | {f.name: docs[f.name].take(pa.array(taken)) for f in carried}
         )
 
-    schema = ", ".join([MARKED, *(f"{f.name} {f.dataType.simpleString()}" for f in carried)])
+    kind = "kept string" if as_text else "kept binary"
+    schema = ", ".join([MARKED, kind, *(f"{f.name} {f.dataType.simpleString()}" for f in carried)])
     return packed.groupBy("slot").cogroup(spans.groupBy("slot")).applyInArrow(run, schema)
 
 
 def mark_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    as_text: bool = False,
 ) -> DataFrame:
     """Marked spans (in bytes) of every document, and the bytes that are left.
 
-    Columns named in ``carry`` come along with their document.
+    Columns named in ``carry`` come along with their document. With ``as_text``
+    what is left is a text, without characters of which only a part is left.
     """
     size = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
     slots = max(1, -(-size // SLOT_BYTES))
@@ -410,15 +417,5 @@ def mark_repeats(
     # One job: all three steps that need the texts share one exchange of them.
     notices = _notices(_anchor_rows(packed, bits))
     spans = _span_rows(_fragment_rows(packed, notices, bits))
-    marked = _marked(packed, spans)
+    marked = _marked(packed, spans, as_text)
     return marked.withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(carry)})
-
-
-def whole_characters(kept: Column) -> Column:
-    """The bytes that are left as text; characters of which only a part is left go."""
-
-    @F.pandas_udf("string")
-    def decoded(values):
-        return values.map(lambda b: b.decode("utf-8", "ignore") if b is not None else None)
-
-    return decoded(kept)

@@ -21,9 +21,9 @@ from tellurion.llm.common import chunks, ragged, utf8
 from tellurion.llm.textops import BYTE_VALUES, Spans, mix
 
 #: Pieces kept until the table is emptied; new ones are merged in from a small table.
-MAX_PIECES, RECENT = 2_000_000, 100_000
+MAX_PIECES, RECENT = 1_000_000, 100_000
 #: Bytes of text that are encoded at a time.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 SPACE = 32
 OTHER_VALUES = mix(BYTE_VALUES)
 _ASCII_SPACES = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
