@@ -1,6 +1,9 @@
 """Passages of benchmark items in documents, with edits (operator 7).
 
-Items and documents are sequences of words without case and punctuation. An item
+Items and documents are sequences of words without case and punctuation. A word is
+a run of letters, marks and numbers by their Unicode class, in the full case folding
+of its upper case (``ß`` is ``ss``, accents stay); in scripts that are written
+without spaces (``UNSPACED``) each letter with its marks is a word. An item
 of ``m`` words is found where a stretch of a document is within ``k`` word edits of
 it, with ``k`` the largest number for which ``m - k`` is ``percent`` of ``m``.
 
@@ -27,6 +30,7 @@ length are searched whole. An empty table gives no row. Other columns are not re
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellurion.llm.common import chunks, utf8
-from tellurion.llm.textops import BYTE_VALUES, Spans, mix, words_in
+from tellurion.llm.textops import BASE, BYTE_VALUES, Spans, mix, words_in
 
 PERCENT = 80
 REPEATS, SAMPLED = 64, 3
@@ -54,13 +58,93 @@ MATCHES = (
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_IN_WORD = np.array([i >= 128 or chr(i).isalnum() for i in range(256)])
+_IN_WORD = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+
+#: First and last code points of scripts that put no space between words (fixed values): Thai,
+#: Lao, Myanmar, Khmer, Tai, kana, bopomofo, han.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),
+    (0x3005, 0x3006), (0x3031, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+)
+#: What a code point is to a word.
+OUTSIDE, INSIDE, ALONE, MARK = range(4)
+#: Added to the class of what folds to several code points.
+LONGER = 4
+_TABLES: list = []
+
+
+def _points() -> tuple[np.ndarray, np.ndarray, dict[int, list[int]], np.ndarray]:
+    """For every code point: class, folded form, that of several code points, 64-bit value."""
+    if not _TABLES:
+        kind = np.zeros(0x110000, np.uint8)
+        folded = np.arange(0x110000, dtype=np.uint32)
+        longer: dict[int, list[int]] = {}
+        of_class = {"L": INSIDE, "N": INSIDE, "M": MARK}
+        for i in range(0x110000):
+            char = chr(i)
+            name = unicodedata.category(char)[0]
+            if name not in of_class:
+                continue
+            kind[i] = of_class[name]
+            if name == "L" and any(a <= i <= b for a, b in UNSPACED):
+                kind[i] = ALONE
+            small = char.upper().casefold()
+            folded[i] = ord(small[0])
+            if len(small) > 1:
+                longer[i] = [ord(c) for c in small]
+                kind[i] += LONGER
+        values = mix(np.arange(1, 0x110001, dtype=np.uint64) * BASE)
+        _TABLES.extend([kind, folded, longer, values])
+    return tuple(_TABLES)
+
+
+def _decoded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, where each starts, and which are beyond ASCII."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    points = data[at].astype(np.uint32)
+    wide = np.flatnonzero(points >= 0xC0)
+    lead = points[wide]
+    more = 1 + (lead >= 0xE0) + (lead >= 0xF0)
+    value = lead & (0x3F >> more).astype(np.uint32)
+    for k in range(1, 4):
+        follow = data[np.minimum(at[wide] + k, len(data) - 1)] & 0x3F
+        value = np.where(more >= k, value << np.uint32(6) | follow, value)
+    points[wide] = np.minimum(value, 0x10FFFF)
+    return points, at, wide
 
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray):
-    """Hashes, starts and ends of all words, and the first word of each text."""
-    starts, ends, first = words_in(_IN_WORD[data], bounds)
-    return Spans(BYTE_VALUES[_LOWER[data]]).of(starts, ends), starts, ends, first
+    """Hashes, starts and ends (in bytes) of all words, and the first word of each text."""
+    if not (data & 0x80).any():
+        starts, ends, first = words_in(_IN_WORD[data], bounds)
+        return Spans(BYTE_VALUES[_LOWER[data]]).of(starts, ends), starts, ends, first
+    kind, folded, longer, values = _points()
+    points, at, wide = _decoded(data)
+    after = np.append(at[1:], len(data))
+    several = wide[kind[points[wide]] >= LONGER]
+    small = folded[points]
+    if len(several):
+        times = np.ones(len(points), np.int64)
+        times[several] = [len(longer[int(p)]) for p in points[several]]
+        place = (np.cumsum(times) - times)[several]
+        small, at, after = (np.repeat(v, times) for v in (small, at, after))
+        for k, p in zip(place, points[several]):
+            small[k : k + len(longer[int(p)])] = longer[int(p)]
+    own = kind[small] % LONGER
+    limits = np.searchsorted(at, bounds)
+    cuts = None
+    if own.max(initial=OUTSIDE) >= ALONE:
+        # A mark belongs to what it follows in its text; after nothing it is in no word.
+        heads = own != MARK
+        heads[limits[limits < len(own)]] = True
+        base = np.maximum.accumulate(np.where(heads, np.arange(len(own)), 0))
+        own = own[base]
+        alone = own == ALONE
+        cuts = np.flatnonzero(heads[1:] & (alone[1:] | alone[:-1])) + 1
+    starts, ends, first = words_in((own == INSIDE) | (own == ALONE), limits, cuts)
+    return Spans(values[small]).of(starts, ends), at[starts], after[ends - 1], first
 
 
 def walk_keys(

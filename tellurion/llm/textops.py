@@ -71,13 +71,18 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def words_in(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of ``inside`` bytes within texts, and each text's first run.
+def words_in(
+    inside: np.ndarray, bounds: np.ndarray, cuts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of ``inside`` places within texts, and each text's first run.
 
-    Texts lie between the bounds without anything between them; a run ends with its text.
+    Texts lie between the bounds without anything between them; a run ends with its text, and
+    before each place of ``cuts``.
     """
     breaks = np.zeros(len(inside) + 1, bool)
     breaks[bounds] = True
+    if cuts is not None:
+        breaks[cuts] = True
     before, after = np.zeros_like(inside), np.zeros_like(inside)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     starts = np.flatnonzero(inside & ~(before & ~breaks[:-1]))

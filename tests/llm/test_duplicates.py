@@ -208,6 +208,40 @@ def test_recall_at_the_threshold_and_no_false_match():
     assert found >= 0.95 * planted
 
 
+def word_list(text):
+    """Words of a text, as the bytes that each lies in."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    _, starts, ends, _ = decontam.word_hashes(data, np.array([0, len(data)]))
+    return [data[a:b].tobytes().decode() for a, b in zip(starts, ends)]
+
+
+def test_words_by_unicode_class():
+    assert word_list("“Straße” – l’été\u00a0nu…") == ["Straße", "l", "été", "nu"]
+    assert word_list("e\u0301te\u0301 \u2764\ufe0f x") == ["e\u0301te\u0301", "x"]
+    assert word_list("漢字kana。カナ") == ["漢", "字", "kana", "カ", "ナ"]
+    assert word_list("ที่นี่ 12") == ["ที่", "นี่", "12"]
+    assert word_list("한국 사람") == ["한국", "사람"]
+    for a, b in (("straße", "STRASSE"), ("λόγος", "ΛΌΓΟΣ"), ("ﬁn été", "FIN ÉTÉ"), ("ñandú", "ÑANDÚ")):
+        of = [decontam.word_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for t in (a, b)]
+        assert list(of[0]) == list(of[1])
+
+
+def test_recall_of_upper_cased_accents_curly_quotes_and_dashes():
+    rng = random.Random(18)
+    accents = str.maketrans("aeiou", "áéîöü")
+    items = [[w.translate(accents) + "ß" * (k % 2) for k, w in enumerate(words(rng, rng.randint(8, 60)))] for _ in range(60)]
+    items += [list("".join(rng.choices("山川日月火水木金土人口手足目耳天地中大小", k=40))) for _ in range(10)]
+    index = decontam.Index.of(list(range(70)), [" ".join(i) if n < 60 else "".join(i) for n, i in enumerate(items)])
+    found = 0
+    for n, item in enumerate(items):
+        passage = edited(rng, item, int(index.edits(len(item)))) if n < 60 else item
+        joined = "—".join(passage) if n % 2 else "”\u00a0“".join(passage)
+        data = np.frombuffer(f"“Ça, {joined if n < 60 else '，'.join(passage)}” – fin".upper().encode(), np.uint8)
+        got = index.search(data, np.array([0, len(data)]))
+        found += any(g[1] == n and (n < 60 or g[2] == 0) for g in got)
+    assert found >= 0.95 * len(items)
+
+
 def test_decontamination_cases(spark):
     rng = random.Random(9)
     item = " ".join(words(rng, 25))
