@@ -14,10 +14,15 @@ smaller id. The search is exact and needs no index of the whole corpus:
    run-length indexes of them (``runindex``), one for so many anchors, and streams the
    fragments through. The matching statistics give, for every window, the first
    document that has it.
-4. Slots collect the marked spans of their documents.
+4. An anchor with more than ``MOST_FRAGMENTS`` fragments in all slots (a common line
+   in texts that differ) has no bucket. Its windows are dealt one by one, by their
+   hash: of equal windows of a slot, that of the smallest id is told to the window's
+   own bucket, which marks those that a smaller id has.
+5. Slots collect the marked spans of their documents.
 
 Texts travel compressed. A task holds one slot, or the fragments of one bucket,
-whose numbers follow from the size of the input.
+whose numbers follow from the size of the input; no anchor brings more than
+``MOST_FRAGMENTS`` of them.
 
 Cases: null texts count as empty. Texts shorter than ``least`` bytes keep all.
 Documents with equal ids do not mark each other; documents without an id are
@@ -45,14 +50,16 @@ SLOT_BYTES = 4 << 20
 BUCKET_ANCHORS = 300_000
 #: Text of one index, unless a single anchor has more.
 INDEX_BYTES = 256 << 10
+#: Fragments of an anchor in one bucket: about 1 MB of text in one index.
+MOST_FRAGMENTS = 1 << 14
 #: Bytes that are hashed at a time.
 PART_BYTES = 1 << 20
 #: Bytes of text per anchor: windows share an anchor with half of their neighbours.
 BYTES_PER_ANCHOR = (LEAST - ANCHOR + 2) // 2
 LEVEL = 3
 
-ANCHORS = "bucket long, slot long, anchors binary, several binary"
-NOTICES = "slot long, anchors binary"
+ANCHORS = "bucket long, slot long, anchors binary, several binary, times binary"
+NOTICES = "slot long, anchors binary, crowded binary"
 FRAGMENTS = (
     "bucket long, slot long, doc_ids binary, docs binary, starts binary, sizes binary, data binary"
 )
@@ -148,21 +155,25 @@ def _anchor_rows(packed: DataFrame, bits: int) -> DataFrame:
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         slot = key[0].as_py()
         ids, texts, _ = _slot_docs(group)
-        own = [np.unique(sliding_anchors(t, LEAST, ANCHOR)[0]) for i, t in zip(ids, texts) if i is not None]
+        every = [sliding_anchors(t, LEAST, ANCHOR)[0] for i, t in zip(ids, texts) if i is not None]
+        own = [np.unique(a) for a in every]
         values, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]), return_counts=True)
+        _, number = np.unique(np.concatenate([np.zeros(0, np.uint64), *every]), return_counts=True)
+        number = np.minimum(number, MOST_FRAGMENTS + 1).astype(np.uint32)
         # Two documents of one id share what they have with no one else: told as several, which
         # only brings fragments that match nothing.
         rows = []
         for bucket, a, b in _ranges(_bucket_of(values, bits)):
             low = values[a:b]
-            rows.append((bucket, slot, low.tobytes(), np.packbits(times[a:b] > 1).tobytes()))
+            several = np.packbits(times[a:b] > 1)
+            rows.append((bucket, slot, low.tobytes(), several.tobytes(), _packed(number[a:b])))
         return pa.Table.from_batches([_rows(ANCHORS, rows)])
 
     return packed.groupBy("slot").applyInArrow(run, ANCHORS)
 
 
 def _notices(anchors: DataFrame) -> DataFrame:
-    """For each slot, those of its anchors that several documents have."""
+    """For each slot, those of its anchors that several documents have, and which are crowded."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         lists = [np.frombuffer(a.as_buffer(), np.uint64) for a in group["anchors"].combine_chunks()]
@@ -173,11 +184,15 @@ def _notices(anchors: DataFrame) -> DataFrame:
         every = np.sort(np.concatenate(lists))
         twice = every[1:][every[1:] == every[:-1]]
         shared = np.unique(np.concatenate([twice, *(a[f] for a, f in zip(lists, flags))]))
+        at = [np.searchsorted(shared, a[_among(a, shared)]) for a in lists]
+        total = np.zeros(len(shared), np.int64)
+        for own, anchors, times in zip(at, lists, group["times"].combine_chunks()):
+            total[own] += _array(times, np.uint32)[_among(anchors, shared)]
+        crowded = total > MOST_FRAGMENTS
         rows = []
-        for slot, own in zip(group["slot"].to_pylist(), lists):
-            found = own[_among(own, shared)]
-            if len(found):
-                rows.append((slot, found.tobytes()))
+        for slot, own in zip(group["slot"].to_pylist(), at):
+            if len(own):
+                rows.append((slot, shared[own].tobytes(), shared[own[crowded[own]]].tobytes()))
         return pa.Table.from_batches([_rows(NOTICES, rows)])
 
     return anchors.groupBy("bucket").applyInArrow(run, NOTICES)
@@ -191,17 +206,22 @@ def _among(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
 
 
 def _fragment_rows(packed: DataFrame, notices: DataFrame, bits: int) -> DataFrame:
-    """Fragments for the buckets; a bucket below 0 holds spans marked within a slot."""
+    """Fragments for the buckets; a bucket below 0 holds spans marked within a slot.
+
+    Buckets from ``2 ** bits`` on hold hashes of windows of crowded anchors.
+    """
 
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, told: pa.Table) -> pa.Table:
         if not docs.num_rows or not told.num_rows:
             return pa.Table.from_batches([_rows(FRAGMENTS, [])])
         slot = key[0].as_py()
-        shared = np.sort(
-            np.concatenate([np.frombuffer(a.as_buffer(), np.uint64) for a in told["anchors"].combine_chunks()])
+        shared, crowded = (
+            np.sort(np.concatenate([np.frombuffer(a.as_buffer(), np.uint64) for a in told[name].combine_chunks()]))
+            for name in ("anchors", "crowded")
         )
         ids, texts, _ = _slot_docs(docs)
         anchor, doc, start, size, whole = [], [], [], [], []
+        single = []
         for k, (i, text) in enumerate(zip(ids, texts)):
             if i is None:
                 continue
@@ -209,23 +229,43 @@ def _fragment_rows(packed: DataFrame, notices: DataFrame, bits: int) -> DataFram
             own = np.flatnonzero(_among(value, shared))
             if not len(own):
                 continue
+            spans = Spans(BYTE_VALUES[text])
+            many = _among(value[own], crowded)
+            if many.any():
+                a = first[own[many]]
+                a = ragged(a, last[own[many]] - a + 1)
+                single.append((spans.of(a, a + LEAST), np.full(len(a), k), a))
+                own = own[~many]
             a, n = first[own], last[own] - first[own] + LEAST
             anchor.append(value[own])
             doc.append(np.full(len(own), k))
             start.append(a)
             size.append(n)
-            whole.append(Spans(BYTE_VALUES[text]).of(a, a + n))
+            whole.append(spans.of(a, a + n))
         if not anchor:
             return pa.Table.from_batches([_rows(FRAGMENTS, [])])
         anchor, doc, start, size, whole = map(np.concatenate, (anchor, doc, start, size, whole))
         of_doc = np.array([-1 if i is None else i for i in ids], np.int64)
+        rows = []
+        if single:
+            window, where, at = map(np.concatenate, zip(*single))
+            order, later = _followers(window, of_doc[where], at)
+            window, where, at = (x[order] for x in (window, where, at))
+            if later.any():
+                d, s = where[later], at[later]
+                rows.append((-1 - slot, slot, None, _packed(d), _packed(s), _packed(s + LEAST), None))
+            window, where, at = (x[~later] for x in (window, where, at))
+            # Sorted by their hash, and so by its highest bits.
+            for bucket, a, b in _ranges(_bucket_of(window, bits)):
+                rows.append(
+                    (
+                        bucket + (1 << bits), slot, _packed(of_doc[where[a:b]]), _packed(where[a:b]),
+                        _packed(at[a:b]), None, _packed(window[a:b]),
+                    )
+                )
         # Equal fragments: those of the smallest id stand for all, the others are marked.
-        order = np.lexsort((start, of_doc[doc], whole))
+        order, later = _followers(whole, of_doc[doc], start)
         anchor, doc, start, size, whole = (x[order] for x in (anchor, doc, start, size, whole))
-        new = np.diff(whole, prepend=whole[:1] + np.uint64(1)) != 0
-        leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        later = of_doc[doc] > of_doc[doc[leader]]
-        rows = []
         if later.any():
             d, s, e = doc[later], start[later], start[later] + size[later]
             rows.append((-1 - slot, slot, None, _packed(d), _packed(s), _packed(e), None))
@@ -247,7 +287,16 @@ def _fragment_rows(packed: DataFrame, notices: DataFrame, bits: int) -> DataFram
     return packed.groupBy("slot").cogroup(notices.groupBy("slot")).applyInArrow(run, FRAGMENTS)
 
 
-def _span_rows(fragments: DataFrame) -> DataFrame:
+def _followers(hashes: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by hash, owner and start, and what comes in it after an equal one of a smaller owner."""
+    order = np.lexsort((start, owner, hashes))
+    hashes, owner = hashes[order], owner[order]
+    new = np.diff(hashes, prepend=hashes[:1] + np.uint64(1)) != 0
+    leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    return order, owner > owner[leader]
+
+
+def _span_rows(fragments: DataFrame, bits: int) -> DataFrame:
     """Marked spans of the fragments of each bucket, by slot."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
@@ -255,6 +304,8 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
             return group.select(["slot", "docs", "starts", "sizes"]).rename_columns(
                 ["slot", "docs", "starts", "ends"]
             )
+        if key[0].as_py() >= 1 << bits:
+            return _window_spans(group)
         fields = {n: [] for n in ("doc_ids", "docs", "starts", "sizes", "data")}
         for name, found in fields.items():
             kind = np.uint8 if name == "data" else np.int64
@@ -297,17 +348,34 @@ def _span_rows(fragments: DataFrame) -> DataFrame:
         docs = np.concatenate([doc[later], doc[held]])
         starts = np.concatenate([start[later], start[held] + left[row]])
         stops = np.concatenate([start[later] + size[later], start[held] + right[row]])
-        to = np.concatenate([slot[later], slot[held]])
-        rows: list[tuple] = []
-        order = np.lexsort((starts, docs, to))
-        for name, a, b in _ranges(to[order]):
-            own = order[a:b]
-            rows.append((name, _packed(docs[own]), _packed(starts[own]), _packed(stops[own])))
-        return pa.Table.from_batches([_rows(SPANS, rows)])
+        return _by_slot(np.concatenate([slot[later], slot[held]]), docs, starts, stops)
 
     return fragments.groupBy("bucket").applyInArrow(run, SPANS)
 
 
+def _by_slot(slot: np.ndarray, docs: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa.Table:
+    """Spans as rows, one for each slot."""
+    rows: list[tuple] = []
+    order = np.lexsort((starts, docs, slot))
+    for name, a, b in _ranges(slot[order]):
+        own = order[a:b]
+        rows.append((name, _packed(docs[own]), _packed(starts[own]), _packed(stops[own])))
+    return pa.Table.from_batches([_rows(SPANS, rows)])
+
+
+def _window_spans(group: pa.Table) -> pa.Table:
+    """Windows of crowded anchors that a smaller id has, in a bucket of windows."""
+    doc_ids, docs, starts, windows = (
+        [_array(v, kind) for v in group[name].combine_chunks()]
+        for name, kind in (("doc_ids", np.int64), ("docs", np.int64), ("starts", np.int64), ("data", np.uint64))
+    )
+    slot = np.repeat(group["slot"].to_numpy(), [len(d) for d in docs])
+    owner, doc, start, window = map(np.concatenate, (doc_ids, docs, starts, windows))
+    order, later = _followers(window, owner, start)
+    own = order[later]
+    return _by_slot(slot[own], doc[own], start[own], start[own] + LEAST)
+
+
 def _hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Hash of each fragment."""
     out = [np.zeros(0, np.uint64)]
@@ -416,6 +484,6 @@ def mark_repeats(
     packed = staged(packed_docs(docs, slots, id_col, text_col, carry), "packed")
     # One job: all three steps that need the texts share one exchange of them.
     notices = _notices(_anchor_rows(packed, bits))
-    spans = _span_rows(_fragment_rows(packed, notices, bits))
+    spans = _span_rows(_fragment_rows(packed, notices, bits), bits)
     marked = _marked(packed, spans, as_text)
     return marked.withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(carry)})

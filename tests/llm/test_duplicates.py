@@ -124,6 +124,30 @@ def test_marks_are_those_of_all_windows(spark, monkeypatch):
     assert repeats.mark_repeats(docs.where("false")).count() == 0
 
 
+def test_a_common_line_in_different_texts(spark, monkeypatch):
+    rng = random.Random(21)
+    line = "all rights reserved, see terms"
+    texts = [f"{' '.join(words(rng, 12))} {line} {' '.join(words(rng, 12))}" for _ in range(3000)]
+    texts += [f"{t[20:]} {rng.random()}" for t in rng.sample(texts, 60)] + [texts[5], (line + " ") * 9]
+    rows = [((7 * k) % 3061 if k < 3061 else k, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = plain_marks(rows)
+
+    def counted(data, offsets, size, owner, lead, found=repeats._earlier):
+        if len(lead) > 120:
+            raise ValueError(f"{len(lead)} fragments in one index")
+        return found(data, offsets, size, owner, lead)
+
+    monkeypatch.setattr(repeats, "_earlier", counted)
+    monkeypatch.setattr(repeats, "INDEX_BYTES", 1 << 10)
+    monkeypatch.setattr(repeats, "MOST_FRAGMENTS", 100)
+    for slot, bucket in ((4 << 20, 300_000), (30_000, 2000)):
+        monkeypatch.setattr(repeats, "SLOT_BYTES", slot)
+        monkeypatch.setattr(repeats, "BUCKET_ANCHORS", bucket)
+        got = repeats.mark_repeats(docs.repartition(3)).toPandas()
+        assert sorted((r[1], r[2], bytes(r[4])) for r in got.itertuples()) == wanted
+
+
 def test_marks_without_ids(spark):
     text = "0123456789" * 9
     docs = spark.createDataFrame([(None, text), (1, text), (2, text + "!")], "doc_id long, text string")
