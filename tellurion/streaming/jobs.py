@@ -99,10 +99,14 @@ def latest_table(events: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -
 
 
 def dead_letter_windows(
-    messages: DataFrame, at: str = "arrived_at", width: str = "1 day", late: str = "1 day"
+    messages: DataFrame, at: str = "arrived_at", width: str = "1 day"
 ) -> DataFrame:
-    """Dead-letter categories per window of a message stream."""
-    events = ingest.ingested(messages).withWatermark(at, late)
+    """Dead-letter categories per window of a message stream.
+
+    Without a watermark dead letters are counted however late they come. State is
+    one count per window and category, kept for ever: the size of the result.
+    """
+    events = ingest.ingested(messages)
     return deadletters.category_counts(events.filter(F.size("errors") > 0), at, width)
 
 

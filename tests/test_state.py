@@ -1,12 +1,13 @@
 """Normalisation, latest state, blocks and streams."""
 
+import datetime
 import random
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from tellurion.operators import blocks, latest, normalise
+from tellurion.operators import blocks, deadletters, ingest, latest, normalise
 from tellurion.sources import changes, sinks
 from tellurion.streaming import jobs
 
@@ -118,6 +119,26 @@ def test_streams_agree_with_tables_and_survive_a_restart(spark, tmp_path):
         assert sorted(map(tuple, got)) == want
 
 
+def test_late_dead_letters_are_counted(spark, tmp_path):
+    schema = "topic STRING, payload BINARY, qos INT, retain BOOLEAN, ingested_at STRING, arrived_at TIMESTAMP"
+    folder, days = str(tmp_path / "in"), (["2026-01-09", "2026-01-10"], ["2026-01-07", "2026-01-10"], ["2026-01-07"])
+
+    def row(day):
+        at = datetime.datetime.fromisoformat(f"{day}T12:00:00")
+        return ("tenant/devices/cam-1/video2d", b'{"frame":12}', 1, False, f"{day}T12:00:00+00:00", at)
+
+    for own in days:
+        spark.createDataFrame([row(d) for d in own], schema).coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        jobs.updated(jobs.dead_letter_windows(source), f"{tmp_path}/d", f"{tmp_path}/cd", once=True).awaitTermination()
+    counts = jobs.current(spark.read.parquet(f"{tmp_path}/d"), ["window_start", "category"])
+    events = ingest.ingested(spark.read.schema(schema).parquet(folder)).filter(F.size("errors") > 0)
+    want = sorted(map(tuple, deadletters.category_counts(events, "arrived_at").collect()))
+    assert sorted(map(tuple, counts.select("window_start", "category", "n").collect())) == want
+    frames = sorted((str(start)[:10], n) for start, category, n in want if category.startswith("field not allowed"))
+    assert frames == [("2026-01-07", 2), ("2026-01-09", 1), ("2026-01-10", 2)]
+
+
 def test_changes_fold_and_fan_out(spark, tmp_path):
     records = [
         (0, '{"op":"c","before":null,"after":{"id":1,"a":"x"},"ts_ms":1}'),
