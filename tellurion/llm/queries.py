@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellurion.llm import (
-    chat, decontam, huffman, jaccard, langid, packing, quality, repeats, rules, warc,
+    chat, decontam, huffman, jaccard, langid, packing, quality, repeats, rules, secrets, spelling,
+    vectorcodes, warc,
 )
 from tellurion.llm.common import Query, staged, table
 from tellurion.session import run_folder
@@ -241,6 +242,138 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans and candidates that few owners hold."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "owned")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(number(k) for k in secrets.KINDS),
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
+def _op11_sql() -> str:
+    assign = "".join(
+        f"[{c.upper()}{c}]" if c.isalpha() else c for c in "(password|passwd|secret|token|api_?key)"
+    ) + secrets.ASSIGN.split(")", 1)[1].replace("'", "''")
+    patterns = [assign, secrets.ACCESS, secrets.HEX, secrets.CANDIDATE]
+    found = " UNION ALL ".join(
+        f"SELECT r, {k} AS kind, regexp_extract_all(t, '{p}') AS f, regexp_split_to_array(t, '{p}') AS p FROM d"
+        for k, p in enumerate(patterns)
+    )
+    names = " ".join(f"WHEN {k} THEN '{name}'" for k, name in enumerate(secrets.KINDS))
+    counts = ", ".join(
+        f"count(*) FILTER (kind = {k}) AS n_{name}" for k, name in enumerate(secrets.KINDS)
+    )
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+f AS (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM ({found}) WHERE len(f) > 0),
+m AS (SELECT r, kind, f[i] AS m, CASE kind WHEN 0 THEN regexp_extract(f[i], '{assign}', 2) ELSE f[i] END AS value,
+    (list_sum(list_transform(p[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s FROM f),
+k AS (SELECT r, kind, value, s, s + length(m) AS e FROM m WHERE CASE kind
+  WHEN 0 THEN length(value) >= {secrets.LEAST_VALUE}
+  WHEN {secrets.OWNED} THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')
+    AND len(list_distinct(string_split(m, ''))) >= {secrets.LEAST_DIFFERENT}
+  ELSE true END),
+c AS (SELECT * FROM k WHERE kind < {secrets.OWNED} UNION ALL
+  SELECT * FROM k WHERE kind = {secrets.OWNED} AND NOT EXISTS (
+    SELECT 1 FROM k AS b WHERE b.r = k.r AND b.kind < {secrets.OWNED} AND b.s < k.e AND k.s < b.e)),
+o AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT (source, doc_id)) AS repositories
+  FROM c JOIN d USING (r) GROUP BY value),
+a AS (SELECT r, kind, s, CASE kind {names} END || ':' || s || ':' || e AS w,
+    owners <= {secrets.MAX_OWNERS} AND repositories <= {secrets.MAX_REPOSITORIES} AS live FROM c JOIN o USING (value)),
+g AS (SELECT r, {counts}, count(*) FILTER (live) AS n_live,
+    string_agg(w, ',' ORDER BY s, kind) FILTER (kind < {secrets.OWNED}) AS base,
+    string_agg(w, ',' ORDER BY s, kind) AS spans
+  FROM a WHERE kind < {secrets.OWNED} OR live GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.KINDS)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of all frequent words of the documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE b AS (SELECT list(v ORDER BY i) AS tbl FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS i))),
+o AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]{6,}')) AS w FROM documents),
+g AS (SELECT w, count(*) AS n, list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+  lambda x: unicode(x)) AS u FROM o GROUP BY doc_id, w),
+h AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(u, lambda c:
+    CASE WHEN c < 128 THEN [c::BIGINT] ELSE [(192 | (c >> 6))::BIGINT, (128 | (c & 63))::BIGINT] END))),
+  lambda c, x: xor(c >> 8, tbl[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM g, b),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+    THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+p AS (SELECT word, i, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (SELECT DISTINCT a.word AS a, v.word AS b FROM p AS a JOIN v ON a.l || a.r = v.word),
+near AS (SELECT a, b FROM e UNION SELECT b, a FROM e
+  UNION SELECT x.word, y.word FROM p AS x JOIN p AS y ON x.l || '*' || x.r = y.l || '*' || y.r AND x.word <> y.word),
+t AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, b) AS form, max(n) AS form_n
+  FROM near JOIN v ON v.word = b GROUP BY a),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form,
+  CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM v LEFT JOIN t ON t.a = v.word),
+r AS (SELECT word, word AS root FROM f UNION ALL
+  SELECT r.word, f.form FROM r JOIN f ON f.word = r.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM f JOIN r ON r.word = f.word JOIN f AS last ON last.word = r.root WHERE last.form IS NULL
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes, errors and errors by label of all vectors, under learned codebooks."""
+    codes, model = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+    return vectorcodes.label_errors(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(model.digest()).alias("codebooks_sha256")
+    )
+
+
+def _op13_sql() -> str:
+    parts, entries, scale = vectorcodes.PARTS, vectorcodes.ENTRIES, vectorcodes.SCALE
+    steps = []
+    for k in range(vectorcodes.ROUNDS + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT r, p, any_value(x) AS x, min(dist * {entries} + e) AS m FROM (
+    SELECT q.r, q.p, q.x, c.e, list_sum(list_transform(range(1, len(q.x) + 1),
+      lambda j: (q.x[j] - c.x[j]) * (q.x[j] - c.x[j])))::BIGINT AS dist FROM q JOIN c{k} AS c ON c.p = q.p)
+  GROUP BY r, p)""")
+        if k < vectorcodes.ROUNDS:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(n.x, c.x) AS x FROM c{k} AS c LEFT JOIN (
+    SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS x FROM (
+      SELECT p, m % {entries} AS e, j, sum(x[j])::BIGINT AS s, count(*) AS n
+      FROM (SELECT p, m, x, unnest(range(1, len(x) + 1)) AS j FROM a{k}) GROUP BY ALL)
+    GROUP BY p, e) AS n USING (p, e))""")
+    last = vectorcodes.ROUNDS
+    return f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label, embedding AS x,
+    len(embedding) // {parts} AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+q AS MATERIALIZED (SELECT r, p, list_transform(x[p * w + 1:(p + 1) * w], lambda c: floor({scale} * c)::BIGINT) AS x
+  FROM (SELECT *, unnest(range({parts})) AS p FROM v)),
+c0 AS MATERIALIZED (SELECT p, r AS e, x FROM q WHERE r < {entries}),
+{", ".join(steps)},
+s AS (SELECT r, string_agg(printf('%02x', m % {entries}), '' ORDER BY p) AS code, sum(m // {entries})::BIGINT AS error
+  FROM a{last} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM c{last}) AS codebooks_sha256
+FROM s JOIN v USING (r)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_ids": op1_token_ids,
     "op2_warc": op2_warc,
@@ -252,6 +385,9 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
+    "op11_secrets": op11_secrets,
+    "op12_spelling": op12_spelling,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 CHECKS: dict[str, str] = {
@@ -259,6 +395,9 @@ CHECKS: dict[str, str] = {
     "op4_quality_rules": _op4_sql(),
     "op6_chat": _op6_sql(),
     "op8_ngram_jaccard": OP8_SQL,
+    "op11_secrets": _op11_sql(),
+    "op12_spelling": OP12_SQL,
+    "op13_vector_codes": _op13_sql(),
 }
 
 
