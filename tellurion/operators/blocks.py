@@ -1,19 +1,100 @@
-"""Running values over long ordered groups, computed in blocks.
+"""Running values over long ordered groups, as a prefix scan over blocks.
 
-A window over a whole group sends that group to one task. Here a group is cut
-into blocks of bounded size; each block runs its own window and takes from the
-earlier blocks of its group one carried value. Only one value per block passes
-through the window over blocks.
+A window over a whole group sends that group to one task. Here the order column
+is cut at measured quantiles, so that no block holds more than about a given
+number of rows, whatever the unit of that column. Rows are dealt once by group
+and block. Each block gives one summary; summaries are combined along the blocks
+of a group and come back to the rows as a carry. Both the summaries and the rows
+read the same exchange, so the input is read once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK, CARRY = "_block", "_carry"
+# Group and block of a row in one column, and the group alone.
+PLACE, GROUP = "_place", "_group"
+# Rows that one task may have to order.
+BLOCK_ROWS = 1 << 23
+_DIGEST = "_digest"
+
+
+def cuts(rows: DataFrame, order: str, block_rows: int = BLOCK_ROWS) -> list:
+    """Values of ``order`` that cut all rows into blocks of about ``block_rows``.
+
+    Reads only that column; where it is a column of the stored table, measure
+    it there rather than on rows that are expensive to derive. Tables of at
+    most ``block_rows`` rows have no cut.
+    """
+    n = rows.count()
+    parts = -(-n // block_rows)
+    if parts < 2:
+        return []
+    shares = F.array(*(F.lit(k / parts) for k in range(1, parts)))
+    found = rows.agg(F.percentile_approx(order, shares, max(10_000, 20 * parts)).alias("at"))
+    return sorted(set(found.head()["at"] or []))
+
+
+def block_of(value: Column, at: Sequence) -> Column:
+    """The block of a value: how many cuts are not above it, found in two steps."""
+    run = max(1, int(len(at) ** 0.5))
+    groups = [at[k : k + run] for k in range(0, len(at), run)]
+    firsts = F.array(*(F.lit(g[0]) for g in groups))
+    nested = F.array(*(F.array(*(F.lit(v) for v in g)) for g in groups))
+
+    def reached(values: Column) -> Column:
+        return F.size(F.filter(values, lambda cut: cut <= value))
+
+    group = reached(firsts)
+    within = reached(F.element_at(nested, group))
+    return F.when(group > 0, (group - 1) * run + within).otherwise(0).cast("bigint")
+
+
+def scanned(
+    rows: DataFrame,
+    keys: Sequence[str],
+    block: Column,
+    summary: dict[str, Column],
+    combined: Callable[[DataFrame], DataFrame],
+    within: Callable[[DataFrame, Window], DataFrame],
+) -> DataFrame:
+    """Rows of every block with what earlier blocks of their group carry in.
+
+    ``within`` adds columns by windows over the rows of a block, given the
+    partition of a block; ``summary`` aggregates its result; ``combined`` turns
+    the summaries, with ``GROUP`` and ``BLOCK``, into the carried columns. The
+    rows come back with both. NULL keys are a group like any other.
+    """
+    # A structure is never NULL: joins on it filter neither side.
+    place = F.struct(F.struct(*keys).alias("group"), block.alias("block"))
+    tagged = rows.withColumn(PLACE, place)
+    dealt = within(tagged.repartition(PLACE), Window.partitionBy(PLACE))
+    # The digest makes summaries depend on all columns. Otherwise they would be read from a
+    # narrower exchange of their own, and the input twice.
+    digest = F.max(F.xxhash64(*(_touched(f) for f in tagged.schema))).alias(_DIGEST)
+    summaries = dealt.groupBy(PLACE).agg(*(v.alias(k) for k, v in summary.items()), digest)
+    placed = summaries.withColumns({GROUP: F.col(f"{PLACE}.group"), BLOCK: F.col(f"{PLACE}.block")})
+    carried = combined(placed)
+    names = [c for c in carried.columns if c not in placed.columns]
+    kept = carried.where(F.col(_DIGEST) >= F.lit(-(1 << 63))).select(PLACE, *names)
+    return dealt.join(kept, PLACE, "left").drop(PLACE)
+
+
+def _touched(field: T.StructField) -> Column:
+    """A cheap value that depends on a column and can be hashed."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return F.octet_length(column)
+    if isinstance(field.dataType, T.MapType | T.ArrayType):
+        return F.size(column)
+    if isinstance(field.dataType, T.VariantType):
+        return F.is_variant_null(column)
+    return column
 
 
 def with_running_max(
@@ -21,33 +102,31 @@ def with_running_max(
     keys: Sequence[str],
     order: Sequence[str],
     value: Column,
-    block: Column,
+    block: Column | None,
     name: str,
     inclusive: bool = False,
 ) -> DataFrame:
     """Add the greatest ``value`` among the earlier rows of each group.
 
-    ``block`` must not decrease along ``order`` within a group, and equal order
-    values must share a block; keys are not NULL. With ``inclusive`` the row itself
-    counts too.
+    ``block`` must not decrease along ``order`` within a group, and equal values
+    of the first order column must share a block; without it a group is ordered
+    as a whole. With ``inclusive`` the row itself counts too.
     """
-    tagged = rows.withColumn(BLOCK, block)
-    block_keys = [*keys, BLOCK]
-    summaries = tagged.groupBy(*block_keys).agg(F.max(value).alias("_block_max"))
-    earlier = (
-        Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = summaries.select(*block_keys, F.max("_block_max").over(earlier).alias(CARRY))
-    inside = (
-        Window.partitionBy(*block_keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    )
-    return (
-        tagged.join(carried, block_keys, "left")
-        .withColumn(name, F.greatest(F.max(value).over(inside), F.col(CARRY)))
-        .drop(BLOCK, CARRY)
-    )
+    last = 0 if inclusive else -1
+    unbounded = Window.unboundedPreceding
+
+    def within(own: DataFrame, part: Window) -> DataFrame:
+        return own.withColumn(name, F.max(value).over(part.orderBy(*order).rowsBetween(unbounded, last)))
+
+    if block is None:
+        return within(rows, Window.partitionBy(*keys))
+
+    def combined(summaries: DataFrame) -> DataFrame:
+        earlier = Window.partitionBy(GROUP).orderBy(BLOCK).rowsBetween(unbounded, -1)
+        return summaries.withColumn(CARRY, F.max("_block_max").over(earlier))
+
+    found = scanned(rows, keys, block, {"_block_max": F.max(value)}, combined, within)
+    return found.withColumn(name, F.greatest(name, CARRY)).drop(CARRY)
 
 
 def lookback(

@@ -38,8 +38,6 @@ VIEWS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
 READY_PLANS = ("approved", "active")
 GRANTING = ("granted", "updated")
 SETTLED_FINDINGS = ("accepted_risk", "patched", "mitigated", "false_positive")
-# One block of permission history per this many microseconds: 30 days.
-PERMISSION_BLOCK = 30 * 24 * 3600 * 1_000_000
 
 
 def in_view(topic: Column, view: str) -> Column:
@@ -144,13 +142,15 @@ def permitted_at_request(
     requests: DataFrame,
     permissions: DataFrame,
     keys: Sequence[str],
-    block: int = PERMISSION_BLOCK,
+    block: int | None = None,
+    block_rows: int = blocks.BLOCK_ROWS,
 ) -> DataFrame:
     """Access requests with the permission state at the time they were made.
 
     The latest permission event at or before a request decides. Requests and
     permissions are one table ordered by time, so no request meets all
-    permissions of its key; long histories are cut into blocks.
+    permissions of its key. Histories are cut into blocks of about ``block_rows``
+    rows, or of ``block`` microseconds where that is given.
     Needs ``request_id, requested_at`` and ``permission_id, occurred_at, event_type``.
     """
     shared = [*keys, "us", "is_request", "id", "event_type"]
@@ -172,14 +172,13 @@ def permitted_at_request(
         F.col("is_request") == 0,
         F.struct("us", F.col("id").alias("permission_id"), "event_type"),
     )
-    joined = blocks.with_running_max(
-        asked.select(*shared).unionByName(events.select(*shared)),
-        keys,
-        ["us", "is_request", "id"],
-        event,
-        F.floor(F.col("us") / F.lit(block)).cast("bigint"),
-        "permission",
-    )
+    both = asked.select(*shared).unionByName(events.select(*shared))
+    if block is None:
+        at = blocks.cuts(both, "us", block_rows)
+        cut = blocks.block_of(F.col("us"), at) if at else None
+    else:
+        cut = F.floor(F.col("us") / F.lit(block)).cast("bigint")
+    joined = blocks.with_running_max(both, keys, ["us", "is_request", "id"], event, cut, "permission")
     granted = F.col("permission.event_type").isin(*GRANTING)
     return joined.filter(F.col("is_request") == 1).select(
         F.col("id").alias("request_id"),

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tellurion.operators import blocks
 
-# Rows of one entity that a single task may have to order.
-BLOCK_ROWS = 1 << 23
+BLOCK_ROWS = blocks.BLOCK_ROWS
 # Fixed value: retention of evidence topics that are not compacted, in milliseconds.
 RETENTION_MS = 31_536_000_000
 
@@ -21,20 +20,24 @@ def with_acceptance(
     tie: str | None = None,
     order_by: str = "event_ts",
     block_rows: int = BLOCK_ROWS,
+    cuts: Sequence | None = None,
 ) -> DataFrame:
     """Add ``accepted``: no earlier arrival of the entity had a greater ``order_by``.
 
-    ``arrival`` numbers the arrivals. Blocks are ranges of that number, so an
-    entity with any share of all rows is spread over many tasks. A null
-    ``order_by`` ranks below all others.
+    ``arrival`` orders the arrivals and may have any unit. It is cut at ``cuts``,
+    by default at its measured quantiles, into blocks of about ``block_rows``
+    rows, so an entity with any share of all rows is spread over many tasks. Where
+    events are expensive to derive, measure the cuts on the stored records
+    (:func:`blocks.cuts`). A null ``order_by`` ranks below all others.
     """
     order = [arrival] if tie is None else [arrival, tie]
+    at = blocks.cuts(events, arrival, block_rows) if cuts is None else cuts
     running = blocks.with_running_max(
         events,
         keys=["entity_id"],
         order=order,
         value=F.col(order_by),
-        block=F.expr(f"{arrival} div {block_rows}"),
+        block=blocks.block_of(F.col(arrival), at) if at else None,
         name="_greatest_before",
     )
     before = F.col("_greatest_before")

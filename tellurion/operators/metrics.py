@@ -23,8 +23,6 @@ RATE_SPAN = 5 * MINUTE
 FLAPPING_ABOVE = 4
 TARGET_DOWN_FOR = 2 * MINUTE
 FLAPPING_FOR = 5 * MINUTE
-# Time that one task orders within a series.
-ALERT_BLOCK = 30 * 24 * 60 * MINUTE
 
 SERIES = ("metric", "series")
 
@@ -281,8 +279,8 @@ def flapping(samples: DataFrame, span: int = CHANGES_SPAN, above: int = FLAPPING
 
 
 def alert_states(
-    samples: DataFrame, condition: Column, hold: int, alert: str, block: int = ALERT_BLOCK,
-    stale_after: int = STALE_AFTER,
+    samples: DataFrame, condition: Column, hold: int, alert: str, block: int | None = None,
+    stale_after: int = STALE_AFTER, block_rows: int = blocks.BLOCK_ROWS,
 ) -> DataFrame:
     """State of an alert at every sample where its condition holds.
 
@@ -290,19 +288,42 @@ def alert_states(
     ``hold``, ``pending`` before. A series without a sample for more than
     ``stale_after`` was gone, and the condition starts anew. Adds
     ``alertname, held_since_us, alertstate``.
+
+    One scan: a block of samples is summed up by its first and last time, its last
+    state and the start of the run that is open at its end. Two summaries in
+    sequence make one: the second run goes on from the first if it began with the
+    block and no gap lies between. Blocks have about ``block_rows`` samples, or
+    span ``block`` microseconds where that is given.
     """
     keyed = samples if "us" in samples.columns else with_series(samples)
     checked = keyed.withColumn("_holds", F.coalesce(condition, F.lit(False)))
-    block_of = F.floor(F.col("us") / F.lit(block)).cast("bigint")
-    previous = blocks.with_running_max(
-        checked, SERIES, ["us"], F.struct("us", "_holds"), block_of, "_previous"
-    )
-    lasting = F.col("_previous._holds") & (F.col("us") - F.col("_previous.us") <= stale_after)
-    starts = F.col("_holds") & ~F.coalesce(lasting, F.lit(False))
-    started = previous.withColumn("_start", F.when(starts, F.col("us"))).drop("_previous")
-    since = blocks.with_running_max(
-        started, SERIES, ["us"], F.col("_start"), block_of, "held_since_us", inclusive=True
-    )
+    if block is None:
+        at = blocks.cuts(checked, "us", block_rows)
+        cut = blocks.block_of(F.col("us"), at) if at else F.lit(0).cast("bigint")
+    else:
+        at, cut = [block], F.floor(F.col("us") / F.lit(block)).cast("bigint")
+
+    def within(own: DataFrame, part: Window) -> DataFrame:
+        ordered = part.orderBy("us")
+        frame = ordered.rowsBetween(Window.unboundedPreceding, 0)
+        lasting = F.col("_before._holds") & (F.col("us") - F.col("_before.us") <= stale_after)
+        starts = F.col("_holds") & F.col("_before").isNotNull() & ~lasting
+        return own.withColumns(
+            {"_before": F.lag(F.struct("us", "_holds")).over(ordered), "_first_us": F.min("us").over(frame)}
+        ).withColumn("_start", F.max(F.when(starts, F.col("us"))).over(frame))
+
+    # Without a start since the block began, a run has held from its first sample.
+    own_start = F.coalesce("_start", "_first_us")
+    if not at:
+        since = within(checked, Window.partitionBy(*SERIES)).withColumn("held_since_us", own_start)
+    else:
+        summary = {
+            "_from": F.min("us"),
+            "_last": F.max_by(F.struct("us", "_holds", own_start.alias("start"), F.col("_start").isNull().alias("whole")), "us"),
+            "_began": F.min_by("_holds", "us"),
+        }
+        found = blocks.scanned(checked, SERIES, cut, summary, lambda s: _open_runs(s, stale_after), within)
+        since = found.withColumn("held_since_us", F.coalesce("_start", "_open", "_first_us")).drop("_open")
     firing = F.col("us") - F.col("held_since_us") >= hold
     return (
         since.filter("_holds")
@@ -312,8 +333,24 @@ def alert_states(
                 "alertstate": F.when(firing, F.lit("firing")).otherwise(F.lit("pending")),
             }
         )
-        .drop("_holds", "_start")
+        .drop("_holds", "_start", "_before", "_first_us")
+    )
+
+
+def _open_runs(summaries: DataFrame, stale_after: int) -> DataFrame:
+    """The start of the run that goes on from earlier blocks into each block."""
+    ordered = Window.partitionBy(blocks.GROUP).orderBy(blocks.BLOCK)
+    frame = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.lag("_last").over(ordered)
+    goes_on = F.coalesce(
+        before["_holds"] & (F.col("_from") - before["us"] <= stale_after) & F.col("_began"), F.lit(False)
     )
+    # Blocks that one run fills from end to end do not name a start of their own.
+    through = F.col("_goes_on") & F.col("_last.whole")
+    named = F.when(~through, F.col("_last.start"))
+    return summaries.withColumn("_goes_on", goes_on).withColumn(
+        "_open", F.when(F.col("_goes_on"), F.last(named, ignorenulls=True).over(frame))
+    ).drop("_goes_on")
 
 
 def target_down(

@@ -361,31 +361,30 @@ def release_readiness(spark, sf_dir):
 
 STATE_AT = f"""SELECT request_id, requested_us, permission_id, event_type,
   coalesce(event_type IN ('granted', 'updated'), false) AS permitted FROM (
-  SELECT *, row_number() OVER (PARTITION BY request_id, requested_us, subject_id, product_id, price ORDER BY occurred_at DESC, permission_id DESC) AS r
-  FROM (SELECT a.request_id, epoch_us(a.requested_at) AS requested_us, a.subject_id, a.product_id, a.price, p.permission_id, p.event_type, p.occurred_at
-    FROM {ACCESS} a LEFT JOIN {PERMISSIONS} p ON a.subject_id = p.subject_id AND a.product_id = p.product_id
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY occurred_at DESC, permission_id DESC) AS r
+  FROM (SELECT a.rid, a.request_id, epoch_us(a.requested_at) AS requested_us, p.permission_id, p.event_type, p.occurred_at
+    FROM (SELECT *, row_number() OVER () AS rid FROM {ACCESS} r) a LEFT JOIN {PERMISSIONS} p ON a.subject_id = p.subject_id AND a.product_id = p.product_id
     AND p.occurred_at <= a.requested_at) j) x WHERE r = 1"""
-UNIQUE_STATE = f"SELECT DISTINCT * FROM ({STATE_AT}) s"
 
 
-@query(UNIQUE_STATE)
+@query(STATE_AT)
 def request_asof_permission(spark, sf_dir):
     """Permission state of every access request at the time it was made."""
     rows = governance.permitted_at_request(
         views.view(spark, sf_dir, views.access_requests), views.view(spark, sf_dir, views.permissions),
         ["subject_id", "product_id"],
     )
-    return rows.select("request_id", "requested_us", "permission_id", "event_type", "permitted").distinct()
+    return rows.select("request_id", "requested_us", "permission_id", "event_type", "permitted")
 
 
-@query(f"SELECT event_type, permitted, count(*) AS n FROM ({UNIQUE_STATE}) u GROUP BY 1, 2")
+@query(f"SELECT event_type, permitted, count(*) AS n FROM ({STATE_AT}) u GROUP BY 1, 2")
 def permission_outcomes(spark, sf_dir):
     """Access requests by the permission event that decides them, in small blocks of history."""
     rows = governance.permitted_at_request(
         views.view(spark, sf_dir, views.access_requests), views.view(spark, sf_dir, views.permissions),
         ["subject_id", "product_id"], block=90 * 24 * 3600 * 1_000_000,
     )
-    kept = rows.select("request_id", "requested_us", "permission_id", "event_type", "permitted").distinct()
+    kept = rows.select("request_id", "requested_us", "permission_id", "event_type", "permitted")
     return kept.groupBy("event_type", "permitted").agg(F.count("*").alias("n"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tellurion.operators import latest, normalise
+from tellurion.operators import blocks, latest, normalise
 from tellurion.plans import views
 from tellurion.plans.registry import query
 from tellurion.sources import changes, landing
@@ -35,6 +35,11 @@ def _records(spark, sf_dir):
     return records.select("event_id", "arrival_seq", "source_topic", "raw_json")
 
 
+def _cuts(spark, sf_dir, rows):
+    """Cuts of the arrival order, measured on the stored column before any text is parsed."""
+    return blocks.cuts(views.view(spark, sf_dir, views.raw_records), "arrival_seq", rows)
+
+
 def _normalised(spark, sf_dir):
     return normalise.normalised(_records(spark, sf_dir))
 
@@ -67,14 +72,16 @@ def event_kind_counts(spark, sf_dir):
 @query(f"""SELECT event_id, entity_id, event_ts FROM ({ACCEPTED}) a WHERE accepted""")
 def latest_accepted(spark, sf_dir):
     """Rows that update the state of their entity when they arrive."""
-    rows = latest.accepted(_normalised(spark, sf_dir), tie="event_id")
+    at = _cuts(spark, sf_dir, latest.BLOCK_ROWS)
+    rows = latest.accepted(_normalised(spark, sf_dir), tie="event_id", cuts=at)
     return rows.select("event_id", "entity_id", "event_ts")
 
 
 @query(f"""SELECT event_id, entity_id, event_ts FROM ({ACCEPTED}) a WHERE accepted""")
 def latest_accepted_blocks(spark, sf_dir):
     """The same rows with histories cut into many small blocks."""
-    rows = latest.accepted(_normalised(spark, sf_dir), tie="event_id", block_rows=512)
+    at = _cuts(spark, sf_dir, 512)
+    rows = latest.accepted(_normalised(spark, sf_dir), tie="event_id", cuts=at)
     return rows.select("event_id", "entity_id", "event_ts")
 
 
@@ -85,7 +92,8 @@ def latest_accepted_blocks(spark, sf_dir):
 def latest_accepted_by_instant(spark, sf_dir):
     """Acceptance by parsed instants instead of texts; rows without one rank lowest."""
     timed = normalise.with_event_time(_normalised(spark, sf_dir))
-    rows = latest.accepted(timed, tie="event_id", order_by="event_time")
+    at = _cuts(spark, sf_dir, latest.BLOCK_ROWS)
+    rows = latest.accepted(timed, tie="event_id", order_by="event_time", cuts=at)
     return rows.select("event_id", "entity_id")
 
 
@@ -119,6 +127,17 @@ def log_latest_state(spark, sf_dir):
     return state.select("entity_id", "event_ts", "source_topic", F.col("offset").alias("log_offset"))
 
 
+@query(f"""SELECT event_id AS log_offset, entity_id, event_ts, coalesce(event_ts >= max(event_ts) OVER (PARTITION BY entity_id
+  ORDER BY us, source_topic, event_id % 4, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS accepted
+  FROM (SELECT n.*, epoch_us(r.ts) AS us FROM ({NORMALISED}) n JOIN (SELECT event_id, ts FROM {RECORDS} q) r USING (event_id)) j""")
+def log_acceptance(spark, sf_dir):
+    """Acceptance on log rows, whose order of arrival counts microseconds."""
+    log = landing.raw_records(_log(spark, sf_dir))
+    at = blocks.cuts(log, "arrival_seq", 2048)
+    judged = latest.with_acceptance(normalise.normalised(log), tie="arrival_tie", cuts=at)
+    return judged.select(F.col("offset").alias("log_offset"), "entity_id", "event_ts", "accepted")
+
+
 @query(f"""SELECT entity_id, event_ts, event_id, event_kind, source_topic FROM (SELECT *, row_number() OVER
   (PARTITION BY entity_id ORDER BY event_ts DESC, arrival_seq DESC, event_id DESC) AS r
   FROM ({NORMALISED}) n) x WHERE r = 1""")
@@ -136,7 +155,8 @@ def latest_state(spark, sf_dir):
   count(*) FILTER (NOT accepted) AS n_stale FROM ({ACCEPTED}) a GROUP BY 1""")
 def stale_counts(spark, sf_dir):
     """Rows that reach the features, the state, and that are stale."""
-    judged = latest.with_acceptance(_normalised(spark, sf_dir), tie="event_id")
+    at = _cuts(spark, sf_dir, latest.BLOCK_ROWS)
+    judged = latest.with_acceptance(_normalised(spark, sf_dir), tie="event_id", cuts=at)
     return judged.groupBy("event_kind").agg(
         F.count("*").alias("n_features"),
         F.count_if("accepted").alias("n_state"),

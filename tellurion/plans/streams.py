@@ -14,6 +14,7 @@ from tellurion.plans.registry import query
 from tellurion.session import run_folder
 from tellurion.sources import changes
 from tellurion.streaming import jobs
+from tellurion.streaming.keyed import KeyedTable
 
 
 def _finished(spark, name, start):
@@ -49,50 +50,76 @@ def stream_normalised(spark, sf_dir):
 @query(f"SELECT event_id, entity_id, event_ts FROM ({state.ACCEPTED}) a WHERE accepted")
 def stream_latest(spark, sf_dir):
     """Accepted rows from a stream with keyed state."""
-    events = normalise.normalised(_records(spark, sf_dir)).select(
-        "event_id", "arrival_seq", "entity_id", "event_ts"
-    )
-    out = _finished(
-        spark, "latest",
-        lambda path, mark: jobs.written(
-            jobs.accepted_stream(events, ("arrival_seq", "event_id")), path, mark, once=True
-        ),
-    )
-    return spark.read.parquet(out).select("event_id", "entity_id", "event_ts")
+    return _latest(spark, sf_dir, "latest")
 
 
 @query(f"SELECT event_id, entity_id, event_ts FROM ({state.ACCEPTED}) a WHERE accepted")
 def stream_latest_batches(spark, sf_dir):
-    """Accepted rows from a stream whose batches are ordered in blocks."""
+    """The same rows with each batch cut into many small blocks."""
+    return _latest(spark, sf_dir, "latest-batches", block_rows=1024)
+
+
+def _latest(spark, sf_dir, name, **options):
     events = normalise.normalised(_records(spark, sf_dir)).select(
         "event_id", "arrival_seq", "entity_id", "event_ts"
     )
     out = _finished(
-        spark, "latest-batches",
+        spark, name,
         lambda path, mark: jobs.accepted_by_batch(
-            events, path, mark, ("arrival_seq", "event_id"), once=True
+            events, path, mark, ("arrival_seq", "event_id"), once=True, **options
         ),
     )
     return spark.read.parquet(f"{out}/accepted").select("event_id", "entity_id", "event_ts")
 
 
+TEXTS = f"""SELECT event_id, entity_id, accepted, '{{"entity_id":"' || entity_id || '","event_ts":"' || event_ts ||
+  '","source_topic":"' || source_topic || '","mqtt_topic":"' || mqtt_topic || '","event_kind":"' || event_kind ||
+  '","payload_b64":"' || payload_b64 || '","qos":' || qos || ',"retain":' || retain || ',"raw_json":' ||
+  CAST(to_json(raw_json) AS STRING) || '}}' AS value,
+  row_number() OVER (PARTITION BY entity_id ORDER BY event_ts DESC, arrival_seq DESC, event_id DESC) AS r
+  FROM ({state.ACCEPTED}) a"""
+
+
+@query(f"""SELECT 'feature' AS kind, event_id, entity_id, value FROM ({TEXTS}) t
+  UNION ALL SELECT 'accepted', event_id, entity_id, value FROM ({TEXTS}) t WHERE accepted
+  UNION ALL SELECT 'state', event_id, entity_id, value FROM ({TEXTS}) t WHERE r = 1""")
+def stream_features_and_state(spark, sf_dir):
+    """Features, accepted rows and final states that one stream writes."""
+    records = _records(spark, sf_dir)
+    order = ("arrival_seq", "event_id")
+    out = _finished(
+        spark, "features-and-state",
+        lambda path, mark: jobs.features_and_state(records, path, mark, order, once=True),
+    )
+    features = spark.read.parquet(f"{out}/features")
+    accepted = spark.read.parquet(f"{out}/accepted")
+    events = normalise.normalised(_records(spark, sf_dir)).schema
+    held = KeyedTable(spark, f"{out}/state", events, ["entity_id"], ["event_ts", *order]).rows()
+
+    def named(kind, rows, key, value):
+        return rows.select(F.lit(kind).alias("kind"), "event_id", key.alias("entity_id"), value.alias("value"))
+
+    return (
+        named("feature", features, F.col("entity_id"), normalise.as_text(features))
+        .unionByName(named("accepted", accepted, F.col("key"), F.col("value")))
+        .unionByName(named("state", held, F.col("entity_id"), normalise.as_text(held)))
+    )
+
+
 @query(f"""SELECT entity_id, event_ts, event_id FROM (SELECT *, row_number() OVER
   (PARTITION BY entity_id ORDER BY event_ts DESC, arrival_seq DESC, event_id DESC) AS r
   FROM ({state.NORMALISED}) n) x WHERE r = 1""")
 def stream_state_table(spark, sf_dir):
-    """Final state per entity, kept up to date by an aggregation."""
+    """Final state per entity, folded batch by batch."""
     events = normalise.normalised(_records(spark, sf_dir)).select(
         "event_id", "arrival_seq", "entity_id", "event_ts"
     )
+    order = ("arrival_seq", "event_id")
     out = _finished(
-        spark, "state",
-        lambda path, mark: jobs.updated(
-            jobs.latest_table(events, ("arrival_seq", "event_id")), path, mark, once=True
-        ),
-    )
-    return jobs.current(spark.read.parquet(out), ["entity_id"]).select(
-        "entity_id", "event_ts", "event_id"
+        spark, "state", lambda path, mark: jobs.state_table(events, path, mark, order, once=True)
     )
+    held = KeyedTable(spark, out, events.schema, ["entity_id"], ["event_ts", *order]).rows()
+    return held.select("entity_id", "event_ts", "event_id")
 
 
 @query(ingest.CATEGORY_COUNTS)
@@ -129,4 +156,5 @@ def stream_changes(spark, sf_dir):
         spark, "changes",
         lambda path, mark: jobs.upserted_changes(parsed, ["id"], path, mark, once=True),
     )
-    return changes.folded(spark.read.parquet(out), ["id"])
+    table = jobs.changes_table(spark, out, jobs.changed_rows(parsed, ["id"]).schema, ["id"])
+    return changes.folded(table.rows(), ["id"])

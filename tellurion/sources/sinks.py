@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +20,15 @@ PRODUCER_OPTIONS = {
 }
 
 
-def feature_records(events: DataFrame) -> DataFrame:
-    """Normalised events as ``key, value`` keyed by entity."""
-    return events.select(F.col("entity_id").alias("key"), normalise.as_text(events).alias("value"))
+def feature_records(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Normalised events as ``key, value`` keyed by entity, and columns to ``keep``."""
+    value = normalise.as_text(events).alias("value")
+    return events.select(F.col("entity_id").alias("key"), value, *keep)
 
 
-def state_records(accepted: DataFrame) -> DataFrame:
+def state_records(accepted: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Accepted events keyed by entity, so that compaction keeps one per entity."""
-    return feature_records(accepted)
+    return feature_records(accepted, keep)
 
 
 def kafka_sink(

@@ -2,93 +2,120 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tellurion.operators import deadletters, ingest, latest, normalise
 from tellurion.sources import sinks
+from tellurion.streaming.keyed import KeyedTable
 
 # Fixed value: time between checkpoints.
 TRIGGER = "10 seconds"
+# How long a deleted key is remembered, in milliseconds of the feed: a day.
+TOMBSTONE_MS = 86_400_000
+
+
+def _judged(
+    batch: DataFrame, state: KeyedTable, batch_id: int, order: tuple[str, ...], block_rows: int
+) -> DataFrame:
+    """The rows of a batch that are accepted within it and against the state before it."""
+    known = state.met_by(batch, batch_id)
+    judged = latest.with_acceptance(
+        batch, arrival=order[0], tie=order[1] if len(order) > 1 else None, block_rows=block_rows
+    )
+    current = F.col("known_ts").isNull() | F.coalesce(F.col("event_ts") >= F.col("known_ts"), F.lit(False))
+    kept = judged.join(known, "entity_id", "left").filter(F.col("accepted") & current)
+    return kept.select(*batch.columns)
+
 
+def _state(spark: SparkSession, path: str) -> KeyedTable:
+    """The greatest event time that was accepted per entity."""
+    return KeyedTable(spark, path, "entity_id STRING, known_ts STRING", ["entity_id"], ["known_ts"])
 
-def accepted_stream(events: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
-    """Streaming form of latest-state acceptance, one row out per accepted row.
 
-    State is one text per entity, kept for ever. Without a watermark late rows
-    are seen and rejected by their time, never dropped unseen. One task orders
-    the rows of an entity in a trigger, so the source must be rate limited;
-    where one entity dominates use :func:`accepted_by_batch`.
+def _seen(batch: DataFrame) -> DataFrame:
+    return batch.groupBy("entity_id").agg(F.max("event_ts").alias("known_ts"))
+
+
+def _each_batch(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Keep a batch while it is written: it is read several times.
+
+    What is lost with an executor is computed again from the source.
     """
-    columns = list(order)
-
-    # Nested and self-contained, so that workers need no copy of this package.
-    def accept(key, batches, state):
-        import numpy as np
-        import pandas as pd
-
-        rows = pd.concat(list(batches)).sort_values(columns, kind="stable")
-        times = rows["event_ts"].to_numpy(dtype=object)
-        best = np.maximum.accumulate(times)
-        if state.exists:
-            (known,) = state.get
-            best = np.maximum(best, known)
-        if len(times):
-            state.update((best[-1],))
-        yield rows[times >= best]
-
-    return events.groupBy("entity_id").applyInPandasWithState(
-        accept,
-        outputStructType=events.schema,
-        stateStructType="latest_event_ts STRING",
-        outputMode="append",
-        timeoutConf="NoTimeout",
-    )
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
 
 
 def accepted_by_batch(
     events: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("arrival_seq",),
     once: bool = False, block_rows: int = latest.BLOCK_ROWS,
 ) -> StreamingQuery:
-    """Latest-state acceptance for streams in which one entity may dominate.
+    """Latest-state acceptance of a stream, one row out per accepted row.
 
-    Every batch is ordered in blocks, so the rows of an entity spread over many
-    tasks, and then meets the state the previous batch left: one row per
-    entity. A batch writes its own directories and can be repeated.
+    Every batch is ordered in blocks of bounded size, so an entity with any
+    share of the rows spreads over many tasks, and then meets the state of the
+    batches before it: one row per entity in a keyed table. Late rows are seen
+    and rejected by their time, never dropped unseen. A batch writes its own
+    directory and can be repeated.
     """
-    spark = events.sparkSession
-    rows_path, state_path = f"{path}/accepted", f"{path}/state"
+    state = _state(events.sparkSession, f"{path}/state")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        state = batch.select("entity_id", F.col("event_ts").alias("known_ts")).limit(0)
-        if batch_id > 0:
-            state = spark.read.schema("entity_id STRING, known_ts STRING").parquet(
-                f"{state_path}/batch_id={batch_id - 1}"
-            )
-        # The batch is read three times; what is lost with an executor is recomputed.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            judge(batch, state, batch_id)
-        finally:
-            batch.unpersist()
+        kept = _judged(batch, state, batch_id, order, block_rows)
+        kept.write.mode("overwrite").parquet(f"{path}/accepted/batch_id={batch_id}")
+        state.fold(_seen(batch), batch_id)
 
-    def judge(batch: DataFrame, state: DataFrame, batch_id: int) -> None:
-        judged = latest.with_acceptance(
-            batch, arrival=order[0], tie=order[1] if len(order) > 1 else None, block_rows=block_rows
-        )
-        current = F.col("known_ts").isNull() | (F.col("event_ts") >= F.col("known_ts"))
-        kept = judged.join(state, "entity_id", "left").filter(F.col("accepted") & current)
-        kept.select(*batch.columns).write.mode("overwrite").parquet(
-            f"{rows_path}/batch_id={batch_id}"
-        )
-        seen = batch.groupBy("entity_id").agg(F.max("event_ts").alias("known_ts"))
-        seen.unionByName(state).groupBy("entity_id").agg(
-            F.max("known_ts").alias("known_ts")
-        ).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+    return _triggered(events.writeStream.foreachBatch(_each_batch(write)), checkpoint, once).start()
 
-    return _triggered(events.writeStream.foreachBatch(write), checkpoint, once).start()
+
+def features_and_state(
+    records: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("arrival_seq",),
+    once: bool = False, block_rows: int = latest.BLOCK_ROWS,
+) -> StreamingQuery:
+    """Features, accepted rows and the state table from one stream of raw records.
+
+    A batch is normalised once and written three times under its number: all of
+    its events as features, those accepted as state records, and the last event
+    per entity folded into the state table. Each write replaces what an earlier
+    try of the same batch left, and acceptance reads the state before the batch,
+    so a job that dies between two writes repeats the batch to the same rows.
+    """
+    events = normalise.normalised(records)
+    spark = records.sparkSession
+    known = _state(spark, f"{path}/known")
+    state = KeyedTable(spark, f"{path}/state", events.schema, ["entity_id"], ["event_ts", *order])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_features(batch, f"{path}/features", batch_id)
+        kept = _judged(batch, known, batch_id, order, block_rows)
+        sinks.state_records(kept, order).write.mode("overwrite").parquet(f"{path}/accepted/batch_id={batch_id}")
+        state.fold(latest.latest_state(batch, *order), batch_id)
+        known.fold(_seen(batch), batch_id)
+
+    return _triggered(events.writeStream.foreachBatch(_each_batch(write)), checkpoint, once).start()
+
+
+def state_table(
+    events: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("arrival_seq",), once: bool = False
+) -> StreamingQuery:
+    """Final state per entity, folded batch by batch into a keyed table."""
+    state = KeyedTable(events.sparkSession, path, events.schema, ["entity_id"], ["event_ts", *order])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state.fold(latest.latest_state(batch, *order), batch_id)
+
+    return _triggered(events.writeStream.foreachBatch(_each_batch(write)), checkpoint, once).start()
 
 
 def latest_table(events: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
@@ -160,21 +187,34 @@ def normalised_stream(
 
 
 def upserted_changes(
-    changes: DataFrame, keys: list[str], path: str, checkpoint: str, once: bool = False
+    changes: DataFrame, keys: list[str], path: str, checkpoint: str, once: bool = False,
+    tombstone_ms: int = TOMBSTONE_MS,
 ) -> StreamingQuery:
-    """Fold each batch of a change stream to its last change per key.
+    """Fold a change stream into a table of the last change per key.
 
-    A batch writes its own directory; reading all of them and folding again
-    gives the current rows.
+    Batches rewrite only the buckets they touch. Deletions stay for
+    ``tombstone_ms`` of the feed's own time, then their rows are gone.
     """
+    keyed = changed_rows(changes, keys)
+    table = changes_table(changes.sparkSession, path, keyed.schema, keys, tombstone_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        keyed = batch.withColumns(
-            {f"_key_{k}": F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")) for k in keys}
-        )
-        folded = latest.compacted(keyed, [f"_key_{k}" for k in keys], ["ts_ms", "offset"])
-        folded.drop(*[f"_key_{k}" for k in keys]).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}"
-        )
-
-    return _triggered(changes.writeStream.foreachBatch(write), checkpoint, once).start()
+        table.fold(batch, batch_id)
+
+    return _triggered(keyed.writeStream.foreachBatch(_each_batch(write)), checkpoint, once).start()
+
+
+def changed_rows(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Changes with their keys; a deletion carries its key in ``before``."""
+    return changes.withColumns(
+        {f"_key_{k}": F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")) for k in keys}
+    )
+
+
+def changes_table(
+    spark: SparkSession, path: str, schema, keys: list[str], tombstone_ms: int = TOMBSTONE_MS
+) -> KeyedTable:
+    return KeyedTable(
+        spark, path, schema, [f"_key_{k}" for k in keys], ["ts_ms", "offset"],
+        removed=F.col("op") == "d", clock="ts_ms", keep=tombstone_ms,
+    )

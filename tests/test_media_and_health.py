@@ -104,7 +104,7 @@ def test_alert_fires_after_its_hold(spark):
     down = [(i * 15, 0.0) for i in range(9)]
     short = [(i * 15, 0.0) for i in range(8)] + [(120, 1.0)]
     both = samples(spark, "up", down, job="a").unionByName(samples(spark, "up", short, job="b"))
-    for block in (metrics.ALERT_BLOCK, 30 * metrics.SECOND):
+    for block in (None, 30 * metrics.SECOND):
         states = metrics.alert_states(both, F.col("value") == 0, metrics.TARGET_DOWN_FOR, "TargetDown", block)
         firing = states.filter("alertstate = 'firing'").collect()
         assert [(r["labels"]["job"], r["us"] // metrics.SECOND) for r in firing] == [("a", 120)]

@@ -44,7 +44,7 @@ def test_changes_are_counted_within_the_range(spark):
     assert [(r.us // SECOND, r.value) for r in once] == [(200, 0.0)]
 
 
-@pytest.mark.parametrize("block", [60 * SECOND, metrics.ALERT_BLOCK])
+@pytest.mark.parametrize("block", [60 * SECOND, None])
 def test_an_alert_starts_anew_after_a_gap(spark, block):
     down = series(spark, [(0, 0), (15, 0), (30, 0), (86_400, 0), (86_415, 0)])
     states = metrics.alert_states(down, F.col("value") == 0, 20 * SECOND, "A", block).collect()
