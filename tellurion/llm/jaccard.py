@@ -4,26 +4,31 @@ A document's set holds the hashes of its distinct ``width``-word shingles. The
 exact join runs on a token-group matrix:
 
 1. Documents with equal sets are one class, kept once.
-2. Classes with an equal minimum hash are compared with the first of them, under
-   several hash functions. Classes linked that way are a group of similar
-   documents; all others are groups of their own. Groups are cut into parts of at
-   most ``PART`` classes.
+2. Classes with an equal minimum hash, under several hash functions, are compared
+   with the first of them by bitmaps of hashed tokens. Those that may overlap by
+   ``GROUP_PERCENT`` are similar: each joins the first class that most others joined,
+   linked to it or not. Such groups are cut into parts of about ``PART`` classes and
+   bounded size; all other classes are parts of their own. Pairs that may be links
+   are compared exactly, and linked classes are one component from here on.
 3. The matrix holds, for each token, the parts that have it among the first
    ``n - ceil(t * n) + 1`` tokens of a member, in an order that puts frequent
    tokens last. Sets of similarity ``t`` share such a token, so no link is lost; at
    the first one they share, enough tokens must follow in both.
    Tokens seen in one class are dropped where they are counted.
-4. A class is a query to the parts of other groups it shares a token with. A part
-   stores the union of its members' tokens as a bitmap of hashed tokens. A cell that
-   the query has and the union lacks is a token outside the union, so the cells
-   bound the overlap from above. Queries bounded below ``ceil(t * n)`` are dismissed;
-   only for the others the part is opened and token sets are compared exactly.
+4. A class is a query to its own part and to the parts before it that share a token
+   with it, unless all members with that token are of its component. So a family of
+   similar documents costs a query for each class and part, whether its members are
+   linked or stay just below the threshold. A part stores the union of its members'
+   tokens as a bitmap. A cell that the query has and the union lacks is a token
+   outside the union, so the cells bound the overlap from above. Queries bounded
+   below ``ceil(t * n)`` are dismissed; only for the others the part is opened, and
+   the query's tokens are looked up in those of all members at once. A query gives
+   one link for each component of the part it is similar to.
 5. Links give classes by repeated minimum labels and pointer jumps.
 
-Members of a group are linked already, so a group of any size is one label, and a
-large group of near copies costs a comparison with its first class per copy.
-Queries of a part are dealt into blocks of bounded size. Token sets are computed
-from the texts where they are needed and are never written.
+Queries of a part are dealt into blocks of bounded numbers and bounded tokens. Token
+sets are computed from the texts where they are needed, once for each class, and are
+never written.
 
 The order of tokens is a matter of speed, not of results: it uses counts of the
 ``HOT`` most frequent tokens, a table of fixed size, and hashes for the rest.
@@ -45,18 +50,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import binary, chunks, staged, utf8
+from tellurion.llm.common import binary, chunks, ragged, staged, utf8
 from tellurion.llm.textops import BYTE_VALUES, Spans, mix, words_in
 
 WIDTH, PERCENT = 5, 80
 MINIMA = 4
+#: Least overlap, by bitmaps, of a class with the first class of its group.
+GROUP_PERCENT = 60
 PART, BLOCK = 64, 256
+#: Tokens of the members of a part, and of the queries of a block, about.
+PART_TOKENS, BLOCK_TOKENS = 1 << 18, 1 << 19
 HOT = 300_000
 #: Tokens counted at a time when frequent ones are looked for, and the least count.
-COUNTED, LEAST_COUNT = 8_000_000, 2
+COUNTED, LEAST_COUNT = 2_000_000, 2
 #: Documents whose ids are broadcast to read their texts again; beyond it they are joined.
 MOST_BROADCAST = 1_000_000
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 #: Cells of a bitmap for each token of its set, at least.
 CELLS = 4
@@ -261,10 +270,11 @@ def _token_rows(rows: DataFrame, classes: DataFrame, keys: DataFrame, width: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sets = batch.column(1).to_pylist(), []
-            kept, n = [], []
+            kept, n, seen = [], [], set()
             for key, tokens in zip(keys, token_sets(batch.column(0), width)):
                 # Of several texts with one document id, that of the class is meant.
-                if len(tokens) and set_key(tokens) == key:
+                if len(tokens) and key not in seen and set_key(tokens) == key:
+                    seen.add(key)
                     kept.append(key)
                     n.append(len(tokens))
                     sets.append(tokens)
@@ -280,37 +290,42 @@ def _token_rows(rows: DataFrame, classes: DataFrame, keys: DataFrame, width: int
                 )
 
     wanted = rows.join(ids, "doc_id").select("text", "key")
-    return wanted.mapInArrow(run, TOKENS)
+    # Rows that repeat an id and its text would give the set again.
+    return wanted.mapInArrow(run, TOKENS).dropDuplicates(["key"])
 
 
 def _dealt(members: DataFrame, queries: DataFrame) -> DataFrame:
     """Members and queries of parts, the queries in blocks, the members in each block."""
-    blocks = queries.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    number = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS))
+    blocks = queries.groupBy("part").agg(number.alias("blocks"))
     asked = queries.join(blocks, "part").select(
         "part",
         "key",
+        "label",
         F.pmod(F.xxhash64("key", "part"), "blocks").alias("block"),
         F.lit(ROLE_QUERY).alias("role"),
     )
     held = members.join(blocks, "part").select(
         "part",
         "key",
+        "label",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
         F.lit(ROLE_MEMBER).alias("role"),
     )
     return asked.unionByName(held)
 
 
-def _qualifying(
-    members: DataFrame, queries: DataFrame, classes: DataFrame, percent: int
-) -> DataFrame:
-    """Queries whose bound against the union of a part does not dismiss them."""
+def _qualifying(members: DataFrame, queries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Queries whose bound against the union of a part does not dismiss them.
+
+    ``bound`` is the number of tokens that the query and the union may share.
+    """
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         roles = group["role"].to_numpy()
         bits = [np.frombuffer(b.as_buffer(), np.uint8) for b in group["bits"].combine_chunks()]
         inside, asked = np.flatnonzero(roles == ROLE_MEMBER), np.flatnonzero(roles == ROLE_QUERY)
-        kept = []
+        kept, bounds = [], []
         if len(inside):
             size = min(len(bits[k]) for k in inside)
             union = np.bitwise_or.reduce([folded(bits[k], size) for k in inside], axis=0)
@@ -318,37 +333,45 @@ def _qualifying(
             for k in asked:
                 least = min(size, len(bits[k]))
                 outside = folded(bits[k], least) & ~folded(union, least)
-                if n[k] - int(np.bitwise_count(outside).sum()) >= _least(int(n[k]), percent):
+                bound = int(n[k]) - int(np.bitwise_count(outside).sum())
+                if bound >= _least(int(n[k]), percent):
                     kept.append(int(k))
-        return group.select(["part", "key"]).take(pa.array(kept, pa.int64()))
+                    bounds.append(bound)
+        found = group.select(["part", "key", "label", "n"]).take(pa.array(kept, pa.int64()))
+        return found.append_column("bound", pa.array(bounds, pa.int64()))
 
     rows = _dealt(members, queries).join(classes.select("key", "n", "bits"), "key")
     kind = queries.schema["part"].dataType.simpleString()
-    return rows.groupBy("part", "block").applyInArrow(run, f"part {kind}, key bigint")
+    return rows.groupBy("part", "block").applyInArrow(
+        run, f"part {kind}, key bigint, label bigint, n bigint, bound bigint"
+    )
 
 
-def _opened(
-    members: DataFrame, queries: DataFrame, tokens: DataFrame, percent: int
-) -> DataFrame:
-    """Links between queries and members of parts: at most one for a query and part."""
+def _opened(members: DataFrame, queries: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links between queries and members of parts: one for a query and component of a part."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        roles, keys = group["role"].to_pylist(), group["key"].to_pylist()
+        roles, keys, labels = (group[c].to_numpy() for c in ("role", "key", "label"))
         sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in group["tokens"].combine_chunks()]
-        inside = [k for k in range(len(keys)) if roles[k] == ROLE_MEMBER]
-        inside.sort(key=lambda k: -len(sets[k]))
+        inside = np.flatnonzero(roles == ROLE_MEMBER)
         found: list[tuple[int, int]] = []
-        for q in (k for k in range(len(keys)) if roles[k] == ROLE_QUERY):
-            n = len(sets[q])
-            for k in inside:
-                member, size = sets[k], len(sets[k])
-                if 100 * min(n, size) < percent * max(n, size):
-                    continue
-                at = np.minimum(np.searchsorted(member, sets[q]), size - 1)
-                both = int((member[at] == sets[q]).sum())
-                if 100 * both >= percent * (n + size - both):
-                    found.append((keys[q], keys[k]))
-                    break
+        if len(inside):
+            sizes = np.array([len(sets[k]) for k in inside])
+            held = np.concatenate([sets[k] for k in inside])
+            order = np.argsort(held, kind="stable")
+            held, owner = held[order], np.repeat(np.arange(len(inside)), sizes)[order]
+            own = set(keys[inside].tolist())
+            for q in np.flatnonzero(roles == ROLE_QUERY):
+                at = np.searchsorted(held, sets[q])
+                count = np.searchsorted(held, sets[q], "right") - at
+                both = np.bincount(owner[ragged(at, count)], minlength=len(inside))
+                similar = 100 * both >= percent * (len(sets[q]) + sizes - both)
+                similar &= (labels[inside] != labels[q]) & (both > 0)
+                if keys[q] in own:  # within a part each pair is met from both sides
+                    similar &= keys[inside] < keys[q]
+                linked = inside[similar]
+                _, first = np.unique(labels[linked], return_index=True)
+                found.extend((int(keys[q]), int(keys[k])) for k in linked[first])
         columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
         return pa.table(columns, ["a", "b"])
 
@@ -408,41 +431,59 @@ def near_duplicates(
     first = cells.groupBy("which", "minimum").agg(
         F.min("key").alias("head"), F.min_by("n", "key").alias("head_n"), F.count(F.lit(1)).alias("rows")
     )
-    near = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
+    loose = min(percent, GROUP_PERCENT)
+    near = 100 * F.least("n", "head_n") >= loose * F.greatest("n", "head_n")
     pairs = cells.join(first.where("rows > 1"), ["which", "minimum"]).where(near & (F.col("key") != F.col("head")))
-    pairs = staged(pairs.select(F.col("head").alias("part"), "key").distinct(), "pairs")
-    heads = pairs.select("part").distinct().withColumn("key", F.col("part"))
-    pairs = staged(_qualifying(heads, pairs, classes, percent), "pairs-left")
-    heads = pairs.select("part").distinct().withColumn("key", F.col("part"))
-    keys = pairs.select("key").unionByName(heads.select("key")).distinct()
+    own = F.col("key").alias("label")
+    pairs = staged(pairs.select(F.col("head").alias("part"), "key", own, "n").distinct(), "pairs")
+    heads = pairs.select("part").distinct().select("part", F.col("part").alias("key"), F.col("part").alias("label"))
+    pairs = staged(_qualifying(heads, pairs, classes, loose), "pairs-left")
+
+    # Links to those first classes, and the components that they give.
+    likely = pairs.where(100 * F.col("bound") >= percent * F.col("n"))
+    heads = likely.select("part").distinct().select("part", F.col("part").alias("key"), F.col("part").alias("label"))
+    keys = likely.select("key").unionByName(heads.select("key")).distinct()
     links = staged(
-        _opened(heads, pairs, _token_rows(rows, classes, keys, width), percent), "group-links"
+        _opened(heads, likely, _token_rows(rows, classes, keys, width), percent), "group-links"
     )
-    groups = staged(components(links), "groups")
+    linked = components(links).select(F.col("v").alias("key"), "label")
 
-    # The matrix, and the queries to parts of other groups.
-    shared = staged(_shared(posted(rows, _frequent(found), width, percent)), "matrix")
-    counts = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    parts = groups.join(counts, "label").select(
-        F.col("v").alias("key"),
-        F.col("label").alias("group"),
-        F.pmod(F.xxhash64("v"), F.ceil(F.col("size") / PART)).alias("slot"),
+    # Each class joins the first class that most others joined; parts have bounded size.
+    joined = pairs.groupBy("part").agg(F.count(F.lit(1)).alias("followers"))
+    chosen = pairs.join(joined, "part").groupBy("key").agg(
+        F.max_by("part", F.struct("followers", "part")).alias("group")
+    )
+    alone = joined.select(F.col("part").alias("key"), F.col("part").alias("group")).join(chosen, "key", "left_anti")
+    groups = chosen.unionByName(alone).join(classes.select("key", "n"), "key")
+    slots = groups.groupBy("group").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("n") / PART_TOKENS)).alias("slots")
     )
-    placed = shared.join(parts, "key", "left").select(
+    slot = F.pmod(F.xxhash64("key"), "slots").alias("slot")
+    groups = groups.join(slots, "group").select("key", "group", slot)
+    parts = classes.select("key").join(groups, "key", "left").join(linked, "key", "left").select(
+        "key",
+        F.struct(
+            F.coalesce("group", "key").alias("group"), F.coalesce("slot", F.lit(0).cast("long")).alias("slot")
+        ).alias("part"),
+        F.coalesce("label", "key").alias("label"),
+    )
+    parts = staged(parts, "parts")
+
+    # The matrix, and the queries to parts.
+    shared = staged(_shared(posted(rows, _frequent(found), width, percent)), "matrix")
+    placed = shared.join(parts, "key").select(
         "token",
         "key",
         F.shiftright("sizes", 32).alias("n"),
         F.col("sizes").bitwiseAND(0xFFFFFFFF).alias("rest"),
-        F.coalesce("group", "key").alias("group"),
-        F.coalesce("slot", F.lit(0).cast("long")).alias("slot"),
+        "part",
+        "label",
     )
     placed = staged(placed, "placed")
-    matrix = placed.groupBy("token", "group", "slot").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("part_rest")
-    )
-    matrix = matrix.select(
-        "token", F.col("group").alias("to"), F.struct("group", "slot").alias("part"), "low", "high", "part_rest"
-    )
+    matrix = placed.groupBy("token", F.col("part").alias("to")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("part_rest"),
+        F.min("label").alias("least_label"), F.max("label").alias("most_label"),
+    )
     # At the first token that two sets share, what follows must make up the overlap that their
     # sizes need. Similar sets pass there; at later tokens they share they may fail.
     least = F.greatest(100 * F.col("low"), percent * F.col("n"))
@@ -451,24 +492,15 @@ def near_duplicates(
     fits = (100 * F.col("low") <= F.col("n") * F.lit(10_000) / percent) & (
         100 * F.col("high") >= percent * F.col("n")
     )
+    settled = (F.col("least_label") == F.col("label")) & (F.col("most_label") == F.col("label"))
     asked = (
         placed.join(matrix, "token")
-        .where((F.col("to") < F.col("group")) & fits & enough)
-        .select("part", "key")
+        .where((F.col("to") <= F.col("part")) & ~settled & fits & enough)
+        .select(F.col("to").alias("part"), "key", "label", "n")
         .distinct()
     )
     asked = staged(asked, "queries")
-    wanted = asked.select("part").distinct()
-    members = (
-        parts.select(F.struct("group", "slot").alias("part"), "key")
-        .unionByName(
-            classes.select(
-                F.struct(F.col("key").alias("group"), F.lit(0).cast("long").alias("slot")).alias("part"), "key"
-            ).join(parts.select("key"), "key", "left_anti").select("part", "key")
-        )
-        .join(wanted, "part", "left_semi")
-    )
-    members = staged(members, "members")
+    members = staged(parts.join(asked.select("part").distinct(), "part", "left_semi"), "members")
     asked = staged(_qualifying(members, asked, classes, percent), "queries-left")
     members = members.join(asked.select("part").distinct(), "part", "left_semi")
     keys = asked.select("key").unionByName(members.select("key")).distinct()

@@ -41,7 +41,7 @@ FEATURES = 384
 RIDGE = 1e-4
 BINS = 1024
 SEED = 7
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 500_000
 #: Bandwidth: projections have variance ``GAMMA`` per standardised statistic.
 GAMMA = 0.1
 _CLASSES: list[np.ndarray] = []

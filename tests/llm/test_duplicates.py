@@ -70,6 +70,78 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch):
     assert sum(c != i for i, (_, c) in got.items()) >= 20
 
 
+def components_by_hand(rows):
+    sets = {i: plain_sets(t) for i, t in rows}
+    label = {i: i for i in sets}
+
+    def top(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                label[y] = x
+    return {i: (len(s), top(i)) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("changed", [2, 3, 4])
+def test_families_near_the_threshold(spark, monkeypatch, changed):
+    """Copies of one text, each changed in a few words: similarities from 0.7 to 0.9."""
+    monkeypatch.setattr(jaccard, "PART", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rng = random.Random(changed)
+    own, texts = words(rng, 200), []
+    for _ in range(45):
+        near = list(own)
+        for _ in range(changed):
+            near[rng.randrange(200)] = "".join(words(rng, 3))
+        texts.append(" ".join(near))
+    rows = list(enumerate(texts)) + [(100 + i, " ".join(words(rng, 150))) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == components_by_hand(rows)
+
+
+def test_a_family_below_the_threshold_asks_parts_and_not_pairs(spark, monkeypatch):
+    asked, real = [], jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda f, name: (asked.append(real(f, name)) or asked[-1]) if name == "queries" else real(f, name))
+    rng = random.Random(8)
+    own, numbers = words(rng, 200), []
+    for n in (100, 200):
+        texts = []
+        for _ in range(n):
+            near = list(own)
+            for at in rng.sample(range(200), 7):
+                near[at] = "".join(words(rng, 3))
+            texts.append(" ".join(near))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+        assert got == {i: c for i, (_, c) in components_by_hand(list(enumerate(texts))).items()}
+        numbers.append(asked[-1].count())
+    assert numbers[1] <= 12 * 200
+
+
+def test_repeated_rows_are_one_set(spark):
+    rng = random.Random(3)
+    a = " ".join(words(rng, 100))
+    b = " ".join([*a.split()[:-9], *words(rng, 9)])
+    rows = [(1, a)] * 40 + [(2, b)] * 40 + [(3, a + " x")] * 40 + [(2, "another text under the id of the second")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keys = jaccard.staged(jaccard.described(docs, 5), "k").where("times is null").groupBy("key").agg(
+        jaccard.F.min("doc_id").alias("first_id")
+    )
+    assert jaccard._token_rows(docs, keys, keys.select("key"), 5).count() == 4
+    sets = {1: plain_sets(a), 2: plain_sets(b), 3: plain_sets(a + " x")}
+    both = len(sets[1] & sets[2]) / len(sets[1] | sets[2])
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    low = 1 if both >= 0.8 else 2  # rows that share an id are one document to the links
+    assert got == {(1, 96): 1, (3, 97): 1, (2, 96): low, (2, 4): low}
+
+
 def test_near_duplicates_of_nothing_and_without_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (3, None)], "doc_id long, text string")
     assert sorted(map(str, jaccard.near_duplicates(docs).collect())) == sorted(
