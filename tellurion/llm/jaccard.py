@@ -15,15 +15,15 @@ exact join runs on a token-group matrix:
    tokens last. Sets of similarity ``t`` share such a token, so no link is lost; at
    the first one they share, enough tokens must follow in both.
    Tokens seen in one class are dropped where they are counted.
-4. A class is a query to its own part and to the parts before it that share a token
-   with it, unless all members with that token are of its component. So a family of
+4. A class is a query to its own part and to other parts that share a token with it, of
+   each two parts one asks the other, unless all members with that token are of its component. So a family of
    similar documents costs a query for each class and part, whether its members are
    linked or stay just below the threshold. A part stores the union of its members'
    tokens as a bitmap. A cell that the query has and the union lacks is a token
    outside the union, so the cells bound the overlap from above. Queries bounded
    below ``ceil(t * n)`` are dismissed; only for the others the part is opened, and
-   the query's tokens are looked up in those of all members at once. A query gives
-   one link for each component of the part it is similar to.
+   the query's tokens are looked up in those of all members at once. A block gives the
+   links that join components, fewer than it has queries and members.
 5. Links give classes by repeated minimum labels and pointer jumps.
 
 Queries of a part are dealt into blocks of bounded numbers and bounded tokens. Token
@@ -348,7 +348,11 @@ def _qualifying(members: DataFrame, queries: DataFrame, classes: DataFrame, perc
 
 
 def _opened(members: DataFrame, queries: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Links between queries and members of parts: one for a query and component of a part."""
+    """Links between queries and members of parts, those that join components.
+
+    Links that the earlier ones of a block imply are left out: there are fewer links
+    than queries and members, however many of them are similar.
+    """
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         roles, keys, labels = (group[c].to_numpy() for c in ("role", "key", "label"))
@@ -361,6 +365,13 @@ def _opened(members: DataFrame, queries: DataFrame, tokens: DataFrame, percent:
             order = np.argsort(held, kind="stable")
             held, owner = held[order], np.repeat(np.arange(len(inside)), sizes)[order]
             own = set(keys[inside].tolist())
+            above = dict.fromkeys(labels.tolist())
+
+            def top(label: int) -> int:
+                while above[label] is not None:
+                    label = above[label]
+                return label
+
             for q in np.flatnonzero(roles == ROLE_QUERY):
                 at = np.searchsorted(held, sets[q])
                 count = np.searchsorted(held, sets[q], "right") - at
@@ -370,8 +381,12 @@ def _opened(members: DataFrame, queries: DataFrame, tokens: DataFrame, percent:
                 if keys[q] in own:  # within a part each pair is met from both sides
                     similar &= keys[inside] < keys[q]
                 linked = inside[similar]
-                _, first = np.unique(labels[linked], return_index=True)
-                found.extend((int(keys[q]), int(keys[k])) for k in linked[first])
+                distinct, first = np.unique(labels[linked], return_index=True)
+                for label, k in zip(distinct.tolist(), linked[first].tolist()):
+                    mine, other = top(int(labels[q])), top(label)
+                    if mine != other:
+                        above[mine] = other
+                        found.append((int(keys[q]), int(keys[k])))
         columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
         return pa.table(columns, ["a", "b"])
 
@@ -493,9 +508,12 @@ def near_duplicates(
         100 * F.col("high") >= percent * F.col("n")
     )
     settled = (F.col("least_label") == F.col("label")) & (F.col("most_label") == F.col("label"))
+    # Which of two parts asks is drawn, so that no part is asked by all others of its family.
+    drawn = F.xxhash64(F.least("to", "part"), F.greatest("to", "part")) % 2 == 0
+    asks = (F.col("to") == F.col("part")) | ((F.col("to") < F.col("part")) == drawn)
     asked = (
         placed.join(matrix, "token")
-        .where((F.col("to") <= F.col("part")) & ~settled & fits & enough)
+        .where(asks & ~settled & fits & enough)
         .select(F.col("to").alias("part"), "key", "label", "n")
         .distinct()
     )
