@@ -13,10 +13,12 @@ it, with ``k`` the largest number for which ``m - k`` is ``percent`` of ``m``.
 * A CGK walk maps a word sequence to another one in which edits become
   substitutions: at step ``j`` it writes the current word and moves on if a random
   bit of (j, word) says so. After an edit, two walks tend to fall in step again.
-* Each repetition draws new bits and samples ``SAMPLED`` places of the walk as the
-  key of a window. Items with an equal key are candidates. ``REPEATS`` repetitions
-  reach the target recall at the threshold; ``tests/llm/test_duplicates.py`` measures
-  it against brute force.
+* Each repetition draws new bits and samples at most ``SAMPLED`` places of the walk as
+  the key of a window. Items with an equal key are candidates. The longer an item,
+  the fewer steps two walks share, so each size class measures itself: planted
+  sequences at the threshold must be found at ``TARGET``, or the class samples fewer
+  places and then draws more repetitions than ``REPEATS``.
+  ``tests/llm/test_duplicates.py`` measures recall against brute force.
 * Candidates are verified by exact edit distance.
 
 Documents are mapped one by one and are not shuffled. Items travel to the tasks in
@@ -45,6 +47,8 @@ from tellurion.llm.textops import BASE, BYTE_VALUES, Spans, mix, words_in
 
 PERCENT = 80
 REPEATS, SAMPLED = 64, 3
+#: Share of planted sequences that a size class must find, of so many.
+TARGET, PLANTED = 0.98, 100
 #: Sizes of items in a class differ by this factor at most.
 CLASS_STEP = 1.15
 BLOCK_BYTES = 4 << 20
@@ -168,6 +172,23 @@ def walk_keys(
     return keys
 
 
+def planted(rng: np.random.Generator, size: int, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sequences of distinct words, each followed by a copy with ``edits`` edits: words, starts, ends."""
+    parts = []
+    for _ in range(PLANTED):
+        own = rng.integers(1, 1 << 62, size).astype(np.uint64)
+        # Edits on different words: dropped, replaced, or another word set before.
+        at = rng.choice(size, edits, replace=False)
+        kind = np.zeros(size, np.int64)
+        kind[at] = rng.integers(1, 4, edits)
+        new = rng.integers(1, 1 << 62, size).astype(np.uint64)
+        both = np.stack([new, np.where(kind == 2, new + np.uint64(1), own)], 1)
+        kept = np.stack([kind == 3, kind != 1], 1)
+        parts += [own, both[kept]]
+    ends = np.cumsum([len(p) for p in parts])
+    return np.concatenate(parts), ends - [len(p) for p in parts], ends
+
+
 def edit_distance(items: np.ndarray, sizes: np.ndarray, texts: np.ndarray, free: bool):
     """Least edit distance of each item to a stretch of its text, and where that ends.
 
@@ -244,17 +265,30 @@ class Index:
         bit = np.uint64(1 << min(len(self.classes), 63))
         for i in items:
             self.pairs[_pairs(self.words[self.first[i] : self.first[i + 1]], len(self.pairs))] |= bit
-        rng = np.random.default_rng(low)
-        steps = max(1, low + low // 2)
-        places = np.stack(
-            [np.sort(rng.choice(steps, min(self.sampled, steps), replace=False)) for _ in range(self.repeats)]
-        )
+        places = self._places(low, high)
         made = SizeClass(low, high, int(self.edits(high)), items, bit, places, *[np.zeros(0)] * 2)
         keys = walk_keys(self.words, self.first[items], self.first[items + 1], places)
         order = np.argsort(keys, axis=None, kind="stable")
-        made.keys, made.owners = keys.reshape(-1)[order], np.tile(items, self.repeats)[order]
+        made.keys, made.owners = keys.reshape(-1)[order], np.tile(items, len(places))[order]
         return made
 
+    def _places(self, low: int, high: int) -> np.ndarray:
+        """Sampled places of the walks of a size class that reach the target recall."""
+        rng = np.random.default_rng(low)
+        steps = max(1, low + low // 2)
+        sampled, repeats = min(self.sampled, steps), self.repeats
+        words, starts, ends = planted(rng, high, int(self.edits(high)))
+        while True:
+            places = np.stack([np.sort(rng.choice(steps, sampled, replace=False)) for _ in range(repeats)])
+            keys = walk_keys(words, starts, ends, places)
+            recall = (keys[:, 0::2] == keys[:, 1::2]).any(0).mean()
+            if recall >= TARGET or repeats >= 64 * self.repeats:
+                return places
+            if sampled > 1:
+                sampled -= 1
+            else:
+                repeats *= 2
+
     def search(self, data: np.ndarray, bounds: np.ndarray) -> list[tuple]:
         """Best match of each item in each text: text, item, distance, first and last byte."""
         words, starts, ends, first = word_hashes(data, bounds)

@@ -311,6 +311,24 @@ def word_list(text):
     return [data[a:b].tobytes().decode() for a, b in zip(starts, ends)]
 
 
+@pytest.mark.parametrize("size", [8, 60, 250, 500, 1000])
+def test_recall_of_long_items_at_the_threshold(size):
+    rng = random.Random(size)
+    items, texts = [], []
+    for _ in range(40):
+        own = ["".join(words(rng, 2)) + str(rng.randrange(10**6)) for _ in range(size)]
+        items.append(" ".join(own))
+        for at in sorted(rng.sample(range(size), size // 5), reverse=True):
+            kind, new = rng.randrange(3), f"new{rng.randrange(10**9)}"
+            own[at : at + 1] = [[], [new], [new, own[at]]][kind]
+        around = [" ".join(words(rng, 20)) for _ in range(2)]
+        texts.append(f"{around[0]} {' '.join(own)} {around[1]}")
+    index = decontam.Index.of(list(range(40)), items)
+    data, bounds = decontam.utf8(pa.array(texts))
+    found = {(m[0], m[1]) for m in index.search(data, bounds)}
+    assert sum((k, k) in found for k in range(40)) >= 38
+
+
 def test_words_by_unicode_class():
     assert word_list("“Straße” – l’été\u00a0nu…") == ["Straße", "l", "été", "nu"]
     assert word_list("e\u0301te\u0301 \u2764\ufe0f x") == ["e\u0301te\u0301", "x"]
