@@ -221,9 +221,11 @@ def write(
                 ["shard", "start", "doc_ids", "n_tokens", "bits", "checkpoints", "payload"],
             )
 
-    blocks.mapInArrow(run, BLOCKS).write.option("compression", "uncompressed").parquet(
-        f"{folder}/blocks"
-    )
+    # A folder for each shard, named in their order: read by name, the files ascend.
+    named = blocks.mapInArrow(run, BLOCKS).withColumn("shard", F.format_string("s%09d", "shard"))
+    named.sortWithinPartitions("shard", "start").write.option("compression", "uncompressed").partitionBy(
+        "shard"
+    ).parquet(f"{folder}/blocks")
     codes = [(int(i), int(n)) for i, n in zip(symbols, lengths)]
     spark.createDataFrame(codes, "id long, length int").coalesce(1).write.parquet(f"{folder}/codes")
 
@@ -253,6 +255,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    return spark.read.parquet(f"{folder}/blocks").mapInArrow(run, DECODED)
+    blocks = spark.read.schema(BLOCKS.replace("shard int", "shard string")).parquet(f"{folder}/blocks")
+    return blocks.mapInArrow(run, DECODED)
 
 

@@ -2,8 +2,8 @@
 
 Every text is tokenised once, ends in an end id and is cut into pieces of
 ``capacity`` ids and one shorter rest. Whole pieces are sequences of their own.
-Rests are dealt into groups by a hash, so a group is a random part of the corpus
-of bounded size, and each group is packed by first-fit decreasing: a tournament
+Rests are dealt into groups by the hash of a number that is written with them, so a
+group is a random part of the corpus of bounded size, equal rows or not, and each group is packed by first-fit decreasing: a tournament
 tree over the free room of its bins finds the first bin that takes a rest in
 logarithmic time. Groups know nothing of each other, so they scale out, and the
 few bins left open in each are small beside its ``group_rests`` rests.
@@ -116,7 +116,9 @@ def pack(
     text_col: str = "text",
 ) -> DataFrame:
     """Pieces of all documents with the sequence and offset each lies at."""
-    pieces = staged(cut(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
+    made = cut(docs, tokenizer, end_id, capacity, id_col, text_col)
+    # Written with the pieces, so it stays what it is; equal pieces differ in it.
+    pieces = staged(made.withColumn("salt", F.monotonically_increasing_id()), "pieces")
     rests = pieces.where(F.col("length") < capacity)
     groups = max(1, -(-rests.count() // group_rests))
 
@@ -132,16 +134,17 @@ def pack(
         bins, offsets = first_fit(group["length"].to_pylist(), capacity)
         ids = (key[0].as_py() << 32) + np.array(bins, np.int64)
         return (
-            group.drop_columns(["part"])
+            group.drop_columns(["part", "salt"])
             .append_column("sequence_id", pa.array(ids))
             .append_column("offset", pa.array(offsets, pa.int64()))
         )
 
-    part = F.pmod(F.xxhash64("doc_id", "start", "doc_tokens", F.crc32("ids")), F.lit(groups))
+    part = F.pmod(F.xxhash64("salt"), F.lit(groups))
     packed = rests.withColumn("part", part).groupBy("part").applyInArrow(run, PACKED)
     whole = (
         pieces.where(F.col("length") == capacity)
-        .withColumn("sequence_id", F.monotonically_increasing_id() + F.lit(WHOLE))
+        .withColumn("sequence_id", F.col("salt") + F.lit(WHOLE))
         .withColumn("offset", F.lit(0).cast("long"))
+        .drop("salt")
     )
     return whole.unionByName(packed)

@@ -3,8 +3,9 @@
 A byte-level BPE tokenizer never joins a character before a single space to
 what follows it, as long as neither neighbour of that space is white space. So
 a text can be cut before such spaces, each piece encoded once by the tokenizers
-library and its ids reused wherever the piece comes again. The ids are those of
-the whole text; ``tests/llm/test_tokens.py`` holds them against it.
+library and its ids reused wherever the piece comes again. Added tokens such as
+``<|endoftext|>`` are found by the library within their piece. The ids are those of
+the whole text, with the tokenizer as it is loaded; ``tests/llm/test_tokens.py`` holds them against it.
 
 Pieces are told apart by a 64-bit hash, their length and their last bytes, and
 looked up for a whole batch at once in sorted arrays of about 40 bytes a piece.
@@ -83,7 +84,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Added tokens with spaces, or that take spaces in, do not allow for cuts at spaces.
+        self.whole = any(
+            " " in t.content or t.lstrip or t.rstrip or t.single_word
+            for t in self.tokenizer.get_added_tokens_decoder().values()
+        )
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -146,7 +151,8 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(bounds) - 1, np.int64)
         white = white_space(data)
         cut = np.zeros(len(data) + 1, bool)
-        cut[1:-2] = (data[1:-1] == SPACE) & ~white[:-2] & ~white[2:]
+        if not self.whole:
+            cut[1:-2] = (data[1:-1] == SPACE) & ~white[:-2] & ~white[2:]
         # A space next to the end of a text, or to another text, is no place to cut.
         cut[np.clip(bounds - 1, 0, len(data))] = False
         cut[bounds] = True

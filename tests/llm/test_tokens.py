@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -11,14 +12,13 @@ from tellurion.llm.tokens import PieceEncoder
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
     "Hello, world! it's 12 345", "", None, " a", "a ", "a  b", "a\n b c\n\nd", "x  y z", "\x1c a b\x1d c",
-    "été ñandú 日本 語 テスト", "<|endoftext|> x", "   ", "a b c " * 900, "word\tnext \r\n end", "x" * 5000,
+    "été ñandú 日本 語 テスト", "<|endoftext|> x", "   ", "a <|endoftext|> b<|endoftext|><|endoftext|> c  <|endoftext|>\n<|endof text|> d<|endoftext|>e", "a b c " * 900, "word\tnext \r\n end", "x" * 5000,
     "word, word. word word, né. né , . .. ,, a.b, c., it's. 12. 12, x. x",
 ]
 
 
 def whole(texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
@@ -74,11 +74,34 @@ def test_huffman_files(spark, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/a/blocks").count() >= 1
 
 
+def test_files_are_in_ascending_order(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 99, rng.integers(0, 60) ** 2))) for _ in range(300)]
+    rows = [(int(i), t) for i, t in zip(rng.permutation(300), texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    huffman.write(docs, f"file://{tmp_path}/c", PATH, end_id=2)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = sorted(map(str, (tmp_path / "c/blocks").rglob("*.parquet")))
+    found = [pq.ParquetFile(f).read() for f in files]
+    starts = [s for t in found for s in t["start"].to_pylist()]
+    assert len(files) > 1 and starts == sorted(starts)
+    assert [d for t in found for block in t["doc_ids"].to_pylist() for d in block] == list(range(300))
+
+
 def test_huffman_of_an_empty_table(spark, tmp_path):
     huffman.write(documents(spark).where("false"), f"file://{tmp_path}/b", PATH, end_id=2)
     assert huffman.read(spark, f"file://{tmp_path}/b").count() == 0
 
 
+def test_equal_rows_are_dealt_into_groups(spark):
+    docs = spark.createDataFrame([(None, "")] * 4000 + [(1, "same text")] * 2000, "doc_id long, text string")
+    rows = packing.pack(docs, PATH, end_id=0, capacity=64, group_rests=500).collect()
+    groups = [r.sequence_id >> 32 for r in rows]
+    assert len(rows) == 6000 and len(set(groups)) == 12
+    assert max(groups.count(g) for g in set(groups)) < 700
+
+
 def test_first_fit_is_the_plain_one():
     rng = np.random.default_rng(2)
     lengths = sorted(rng.integers(1, 101, 300).tolist(), reverse=True)
