@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,23 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A map over batches that gives free memory back when a task ends.
+
+    Python workers serve one stage after another; what a stage has freed would
+    otherwise stay with them and add up.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return task
+
+
 def parallel(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

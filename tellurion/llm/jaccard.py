@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import binary, chunks, ragged, staged, utf8
+from tellurion.llm.common import binary, chunks, ragged, released, staged, utf8
 from tellurion.llm.textops import BYTE_VALUES, Spans, mix, words_in
 
 WIDTH, PERCENT = 5, 80
@@ -170,7 +170,7 @@ def described(rows: DataFrame, width: int) -> DataFrame:
         if held:
             yield frequent()
 
-    return rows.mapInArrow(run, DOCS)
+    return rows.mapInArrow(released(run), DOCS)
 
 
 def _frequent(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +224,7 @@ def posted(
                     ["token", "key", "sizes"],
                 )
 
-    return rows.select("text").mapInArrow(run, POSTED)
+    return rows.select("text").mapInArrow(released(run), POSTED)
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -291,7 +291,7 @@ def _token_rows(rows: DataFrame, classes: DataFrame, keys: DataFrame, width: int
 
     wanted = rows.join(ids, "doc_id").select("text", "key")
     # Rows that repeat an id and its text would give the set again.
-    return wanted.mapInArrow(run, TOKENS).dropDuplicates(["key"])
+    return wanted.mapInArrow(released(run), TOKENS).dropDuplicates(["key"])
 
 
 def _dealt(members: DataFrame, queries: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import chunks, staged
+from tellurion.llm.common import chunks, released, staged
 from tellurion.llm.textops import Spans, code_points, mix, runs, sums
 
 STATISTICS = (
@@ -210,8 +210,8 @@ def _normal_sums(labelled: DataFrame, model: Model, count: int) -> tuple[np.ndar
         products, targets = np.zeros((size, size)), np.zeros(size)
         for batch in batches:
             rows = np.array(batch.column(0).to_pylist(), float).reshape(-1, len(STATISTICS))
-            for at in range(0, len(rows), 8192):
-                part = model.features(rows[at : at + 8192], count)
+            for at in range(0, len(rows), 2048):
+                part = model.features(rows[at : at + 2048], count)
                 products += part.T @ part
                 targets += part.T @ batch.column(1).to_numpy(zero_copy_only=False)[at : at + 8192]
         values = np.concatenate([products[upper], targets])
@@ -244,7 +244,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, stats array<double>")
+    return rows.mapInArrow(released(run), "doc_id long, stats array<double>")
 
 
 def train(

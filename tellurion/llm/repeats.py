@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tellurion.llm.common import chunks, ragged, staged
 from tellurion.llm.runindex import RunIndex
-from tellurion.llm.textops import BYTE_VALUES, Spans
+from tellurion.llm.textops import BYTE_VALUES, Spans, mix
 
 LEAST, ANCHOR = 50, 16
 SLOT_BYTES = 4 << 20
@@ -108,6 +108,11 @@ def _bucket_of(anchors: np.ndarray, bits: int) -> np.ndarray:
     return (anchors >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(anchors), np.int64)
 
 
+def _anchor_bucket(anchors: np.ndarray, bits: int) -> np.ndarray:
+    """Anchors are least hashes and crowd at low values: their bits are spread once more."""
+    return _bucket_of(mix(anchors), bits)
+
+
 def _ranges(sorted_keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Each key with the range that it has in a sorted array."""
     first = np.flatnonzero(np.diff(sorted_keys, prepend=-1))
@@ -163,7 +168,10 @@ def _anchor_rows(packed: DataFrame, bits: int) -> DataFrame:
         # Two documents of one id share what they have with no one else: told as several, which
         # only brings fragments that match nothing.
         rows = []
-        for bucket, a, b in _ranges(_bucket_of(values, bits)):
+        buckets = _anchor_bucket(values, bits)
+        order = np.argsort(buckets, kind="stable")
+        values, times, number = values[order], times[order], number[order]
+        for bucket, a, b in _ranges(buckets[order]):
             low = values[a:b]
             several = np.packbits(times[a:b] > 1)
             rows.append((bucket, slot, low.tobytes(), several.tobytes(), _packed(number[a:b])))
@@ -270,10 +278,10 @@ def _fragment_rows(packed: DataFrame, notices: DataFrame, bits: int) -> DataFram
             d, s, e = doc[later], start[later], start[later] + size[later]
             rows.append((-1 - slot, slot, None, _packed(d), _packed(s), _packed(e), None))
         keep = np.flatnonzero(~later)
-        keep = keep[np.argsort(_bucket_of(anchor[keep], bits), kind="stable")]
+        keep = keep[np.argsort(_anchor_bucket(anchor[keep], bits), kind="stable")]
         first_byte = np.cumsum([0, *map(len, texts)])
         data = np.concatenate(texts)
-        for bucket, a, b in _ranges(_bucket_of(anchor[keep], bits)):
+        for bucket, a, b in _ranges(_anchor_bucket(anchor[keep], bits)):
             own = keep[a:b]
             cut = data[ragged(first_byte[doc[own]] + start[own], size[own])]
             rows.append(
