@@ -213,7 +213,7 @@ def _normal_sums(labelled: DataFrame, model: Model, count: int) -> tuple[np.ndar
             for at in range(0, len(rows), 2048):
                 part = model.features(rows[at : at + 2048], count)
                 products += part.T @ part
-                targets += part.T @ batch.column(1).to_numpy(zero_copy_only=False)[at : at + 8192]
+                targets += part.T @ batch.column(1).to_numpy(zero_copy_only=False)[at : at + 2048]
         values = np.concatenate([products[upper], targets])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(values))), pa.array(values)], ["cell", "value"]
