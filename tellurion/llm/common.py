@@ -26,23 +26,35 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """A map over batches that gives free memory back when a task ends.
+#: Tables that a Python worker keeps between tasks, by the operator that fills them.
+KEPT: dict[str, Callable[[], None]] = {}
 
-    Python workers serve one stage after another; what a stage has freed would
-    otherwise stay with them and add up.
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: str = ""):
+    """A map over batches that starts without the tables of other operators.
+
+    Python workers serve one stage after another; what earlier operators keep
+    would add up. When a task ends, it gives free memory back.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for operator, clear in KEPT.items():
+            if operator != keep:
+                clear()
+        _trim()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        _trim()
 
     return task
 
 
+def _trim() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def parallel(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import chunks, utf8
+from tellurion.llm.common import KEPT, chunks, utf8
 from tellurion.llm.textops import BASE, BYTE_VALUES, Spans, mix, words_in
 
 PERCENT = 80
@@ -77,6 +77,7 @@ OUTSIDE, INSIDE, ALONE, MARK = range(4)
 #: Added to the class of what folds to several code points.
 LONGER = 4
 _TABLES: list = []
+KEPT["decontam"] = _TABLES.clear
 
 
 def _points() -> tuple[np.ndarray, np.ndarray, dict[int, list[int]], np.ndarray]:

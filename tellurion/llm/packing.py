@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import binary, chunks, staged
+from tellurion.llm.common import binary, chunks, released, staged
 from tellurion.llm.tokens import encoder
 
 CAPACITY = 1024
@@ -74,7 +74,7 @@ def cut(
                 )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(released(run, keep="tokens"), PIECES)
 
 
 def first_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:

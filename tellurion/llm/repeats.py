@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import chunks, ragged, staged
+from tellurion.llm.common import chunks, ragged, released, staged
 from tellurion.llm.runindex import RunIndex
 from tellurion.llm.textops import BYTE_VALUES, Spans, mix
 
@@ -146,7 +146,7 @@ def packed_docs(
         *(F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)),
     )
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema[3:]]
-    return rows.mapInArrow(run, ", ".join(["slot long, doc_id long, text binary", *kinds]))
+    return rows.mapInArrow(released(run), ", ".join(["slot long, doc_id long, text binary", *kinds]))
 
 
 def _slot_docs(group: pa.Table) -> tuple[list[int | None], list[np.ndarray], np.ndarray]:

@@ -18,7 +18,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from tellurion.llm.common import chunks, ragged, utf8
+from tellurion.llm.common import KEPT, chunks, ragged, utf8
 from tellurion.llm.textops import BYTE_VALUES, Spans
 
 #: Pieces kept until the table is emptied; new ones are merged in from a small table.
@@ -29,6 +29,7 @@ SPACE = 32
 _ASCII_SPACES = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 
 _ENCODERS: dict[str, PieceEncoder] = {}
+KEPT["tokens"] = _ENCODERS.clear
 
 
 def encoder(path: str) -> PieceEncoder:
