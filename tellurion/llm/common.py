@@ -41,18 +41,19 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
         for operator, clear in KEPT.items():
             if operator != keep:
                 clear()
-        _trim()
+        trim()
         yield from run(batches)
-        _trim()
+        trim()
 
     return task
 
 
-def _trim() -> None:
+def trim() -> None:
+    """Give freed memory of this Python worker back."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
 
 
 def parallel(spark: SparkSession) -> int:

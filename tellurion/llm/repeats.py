@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import chunks, ragged, released, staged
+from tellurion.llm.common import chunks, ragged, released, staged, trim
 from tellurion.llm.runindex import RunIndex
 from tellurion.llm.textops import BYTE_VALUES, Spans, mix
 
@@ -151,6 +151,7 @@ def packed_docs(
 
 def _slot_docs(group: pa.Table) -> tuple[list[int | None], list[np.ndarray], np.ndarray]:
     """Ids and texts of a slot, and their rows, in an order that how they came does not change."""
+    trim()
     ids, texts = group["doc_id"].to_pylist(), group["text"].to_pylist()
     order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, texts[k]))
     return [ids[k] for k in order], [_array(texts[k], np.uint8) for k in order], np.array(order, np.int64)
@@ -184,6 +185,7 @@ def _notices(anchors: DataFrame) -> DataFrame:
     """For each slot, those of its anchors that several documents have, and which are crowded."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        trim()
         lists = [np.frombuffer(a.as_buffer(), np.uint64) for a in group["anchors"].combine_chunks()]
         flags = [
             np.unpackbits(np.frombuffer(s.as_buffer(), np.uint8), count=len(a)).astype(bool)
@@ -314,6 +316,7 @@ def _span_rows(fragments: DataFrame, bits: int) -> DataFrame:
             )
         if key[0].as_py() >= 1 << bits:
             return _window_spans(group)
+        trim()
         fields = {n: [] for n in ("doc_ids", "docs", "starts", "sizes", "data")}
         for name, found in fields.items():
             kind = np.uint8 if name == "data" else np.int64
