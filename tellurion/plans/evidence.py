@@ -8,7 +8,8 @@ from tellurion.functions import exports as rights
 from tellurion.operators import conformance, exports, governance
 from tellurion.plans import views
 from tellurion.plans.registry import query
-from tellurion.sources import declared, registry
+from tellurion.session import run_folder
+from tellurion.sources import declared, packages, registry
 
 TEXTS = views.duck(views.evidence_texts)
 DATASETS = views.duck(views.datasets)
@@ -249,6 +250,34 @@ def export_packages(spark, sf_dir):
     )
 
 
+@query(f"""SELECT request_id, dataset_id, 2 AS n_files, ident AS identifier, {TITLE} AS xml_title, {TITLE} AS manifest_title,
+  'example.openaire.metadata_export' AS manifest_type, classification, plan_id AS plan
+  FROM ({DISCOVERY}) d WHERE err IS NULL""")
+def packaged_exports(spark, sf_dir):
+    """Discovery exports written into containers, and fields of both files read back by offset."""
+    rows = exports.discoveries(_resolved(spark, sf_dir), _as_of(), PUBLISHER)
+    path = run_folder(spark, "packages")
+    packages.write(exports.package_files(rows, _as_of(), _at(), PUBLISHER), path)
+    body = F.regexp_replace("content", r"^<\?xml[^>]*>\s*<resource[^>]*>", "<resource>")
+    xml = F.when(F.col("file_name").endswith(rights.DISCOVERY_XML_ENDING), body)
+    schema = (
+        "manifest_type STRING, metadata STRUCT<title: STRING>, "
+        "dataset STRUCT<dataset_id: STRING, classification: STRING>, data_management_plan STRUCT<dmp_id: STRING>"
+    )
+    manifest = F.when(F.col("file_name").endswith(rights.DISCOVERY_ENDING), F.from_json("content", schema))
+    fields = packages.read(spark, path).select(
+        "request_id", F.xpath_string(xml, F.lit("/resource/identifier")).alias("identifier"),
+        F.xpath_string(xml, F.lit("/resource/titles/title")).alias("xml_title"), manifest.alias("m"),
+    )
+    m = F.max("m")
+    return fields.groupBy("request_id").agg(
+        F.count("*").cast("int").alias("n_files"), F.max("identifier").alias("identifier"), F.max("xml_title").alias("xml_title"),
+        m["metadata"]["title"].alias("manifest_title"), m["manifest_type"].alias("manifest_type"),
+        m["dataset"]["dataset_id"].alias("dataset_id"), m["dataset"]["classification"].alias("classification"),
+        m["data_management_plan"]["dmp_id"].alias("plan"),
+    )
+
+
 # ---------------------------------------------------------------- catalogue views
 
 CONTROL_ROWS = f"""SELECT p_partkey AS control_id, CASE p_partkey % 4 WHEN 0 THEN 'NIS2' WHEN 1 THEN 'NIS2, DORA'

@@ -1,4 +1,4 @@
-"""Writers: topic logs, state tables, fan-out by topic, export packages."""
+"""Writers: topic logs, state tables, fan-out by topic."""
 
 from __future__ import annotations
 
@@ -62,10 +62,3 @@ def write_features(events: DataFrame, path: str, batch_id: int | None = None) ->
     target = path if batch_id is None else f"{path}/batch_id={batch_id}"
     dated = events.withColumn("event_date", F.try_to_date(F.substring("event_ts", 1, 10)))
     dated.write.mode("overwrite").partitionBy("event_date", "source_topic").parquet(target)
-
-
-def write_packages(files: DataFrame, path: str) -> None:
-    """Export files as text, one directory per file name."""
-    files.select("file_name", F.col("content").alias("value")).write.mode("overwrite").partitionBy(
-        "file_name"
-    ).text(path)
