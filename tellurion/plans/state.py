@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tellurion.operators import blocks, latest, normalise
 from tellurion.plans import views
 from tellurion.plans.registry import query
-from tellurion.sources import changes, landing
+from tellurion.session import run_folder
+from tellurion.sources import changes, dated, landing
 
 RECORDS = views.duck(views.raw_records)
 INFERRED = """CASE WHEN form = 9 THEN 'unknown' WHEN event_type = 'click' THEN 'dev-' || user_id
@@ -185,6 +186,17 @@ def retained_evidence(spark, sf_dir):
     return latest.retained(rows, "o_orderdate", F.expr("TIMESTAMP_NTZ '1998-01-01 00:00:00'"))
 
 
+@query("""SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' - INTERVAL 365 DAY""")
+def retained_by_layout(spark, sf_dir):
+    """The same records from a table by month, after its expired months were dropped."""
+    rows = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    path, as_of = run_folder(spark, "evidence"), F.expr("TIMESTAMP_NTZ '1998-01-01 00:00:00'")
+    dated.write(rows, path, "o_orderdate", unit="month")
+    dated.expire(spark, path, as_of, unit="month")
+    return dated.retained(spark, path, "o_orderdate", as_of, unit="month")
+
+
 CHANGES = views.duck(views.change_records)
 
 
