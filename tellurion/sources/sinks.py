@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -57,6 +57,20 @@ def write_by_topic(records: DataFrame, path: str, batch_id: int | None = None) -
     records.write.mode("overwrite").partitionBy("topic").parquet(target)
 
 
+def write_counted(
+    records: DataFrame, path: str, topics: Sequence[str], batch_id: int | None = None
+) -> dict[str, int]:
+    """Write by topic, and count while writing: all ``records`` and those of each topic.
+
+    The counts are those of the tasks whose files stay; the rows are not read again.
+    Nothing to write counts zero, as does a topic without a record.
+    """
+    seen = Observation()
+    per_topic = [F.count_if(F.col("topic") == topic).alias(topic) for topic in topics]
+    write_by_topic(records.observe(seen, F.count("*").alias("records"), *per_topic), path, batch_id)
+    return {name: count or 0 for name, count in seen.get.items()}
+
+
 def write_features(events: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Normalised events by event date and source topic, for partition pruning."""
     target = path if batch_id is None else f"{path}/batch_id={batch_id}"
