@@ -120,3 +120,26 @@ def file_names(spark, sf_dir):
     """Object keys as safe file names."""
     name = objects.file_safe(F.col("object_key"), ".zenodo-manifest.json")
     return _listing(spark, sf_dir).select("doc_id", name.alias("file_name"))
+
+
+BEFORE = f"""SELECT bucket, CASE WHEN size_bytes % 5 = 0 THEN object_key || '.old' ELSE object_key END AS object_key,
+  CASE WHEN size_bytes % 7 = 0 THEN size_bytes + 1 ELSE size_bytes END AS size_bytes, last_modified FROM {{listing}} l"""
+NOW = "SELECT bucket, object_key, size_bytes, last_modified FROM {listing} l"
+
+
+@query(f"""WITH o AS ({BEFORE.format(listing=LISTING)}), n AS ({NOW.format(listing=LISTING)})
+  SELECT f.*, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.bucket IS NOT DISTINCT FROM f.bucket AND o.object_key = f.object_key)
+    THEN 'changed' ELSE 'added' END AS change FROM (SELECT * FROM n EXCEPT SELECT * FROM o) f
+  UNION ALL SELECT DISTINCT o.*, 'removed' FROM o WHERE NOT EXISTS
+    (SELECT 1 FROM n WHERE n.bucket IS NOT DISTINCT FROM o.bucket AND n.object_key = o.object_key)""")
+def inventory_changes(spark, sf_dir):
+    """Objects added, changed and removed since an earlier inventory, here with other names and sizes."""
+    now = views.view(spark, sf_dir, views.listing)
+    size = F.col("size_bytes")
+    before = now.withColumns(
+        {
+            "object_key": F.when(size % 5 == 0, F.concat("object_key", F.lit(".old"))).otherwise(F.col("object_key")),
+            "size_bytes": F.when(size % 7 == 0, size + 1).otherwise(size),
+        }
+    )
+    return listings.changed_objects(before, now)
