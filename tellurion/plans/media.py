@@ -7,10 +7,10 @@ from datetime import UTC, datetime
 from pyspark.sql import functions as F
 
 from tellurion.functions import clock, jsonx, objects
-from tellurion.operators import backfill
+from tellurion.operators import backfill, conformance
 from tellurion.plans import views
 from tellurion.plans.registry import query
-from tellurion.sources import listings
+from tellurion.sources import listings, registry
 
 LISTING = views.duck(views.listing)
 AT = "2024-02-01T00:00:00+00:00"
@@ -143,3 +143,28 @@ def inventory_changes(spark, sf_dir):
         }
     )
     return listings.changed_objects(before, now)
+
+
+#: What a subscriber that takes small new objects expects of a notification.
+SMALL_OBJECTS = """{"additionalProperties": false, "required": ["Records"], "properties": {"Records": {
+  "type": "array", "minItems": 1, "items": {"required": ["eventName", "s3"], "properties": {
+    "eventName": {"type": "string", "enum": ["ObjectCreated:Put"]},
+    "s3": {"type": "object", "required": ["bucket", "object"], "properties": {
+      "object": {"type": "object", "required": ["key", "eTag"], "properties": {
+        "key": {"type": "string"}, "eTag": {"type": "string"},
+        "size": {"type": "integer", "maximum": 300}}}}}}}}}}"""
+_PLACES = "(SELECT n.*, unnest(CASE WHEN doc_id % 3 = 0 THEN [0, 1] ELSE [0] END) AS place FROM {rows} n) p"
+
+
+@query(f"""SELECT doc_id, 'Records[' || place || '].s3.object.' || leaf AS field, rule FROM
+    (SELECT doc_id, place, unnest(['eTag', 'size']) AS leaf, unnest(['required', 'maximum']) AS rule, n_chars
+     FROM {_PLACES.format(rows=views.duck(views.notifications))}) x WHERE leaf = 'eTag' OR n_chars > 300
+  UNION ALL SELECT doc_id, 'Records[1].eventName', 'enum' FROM {views.duck(views.notifications)} n WHERE doc_id % 3 = 0""")
+def notification_violations(spark, sf_dir):
+    """Rules of nested records that store notifications break, by path."""
+    contract = registry.from_json_schema("small", SMALL_OBJECTS)
+    notes = views.view(spark, sf_dir, views.notifications).withColumn("topic", F.lit("small"))
+    found = conformance.violations(
+        notes, registry.contract_table(spark, [contract]), registry.topic_table(spark, [contract]), record_id="doc_id"
+    )
+    return found.select(F.col("record_id").alias("doc_id"), "field", "rule")

@@ -1,7 +1,9 @@
 """Evidence contracts: read from schema documents or declared here by rule.
 
 A contract is a small table ``(topic, field, type, required, enum, minimum,
-maximum, above, min_items)``. It is data for :mod:`tellurion.operators.conformance`.
+maximum, above, min_items, item_enum, nested)``. It is data for
+:mod:`tellurion.operators.conformance`. Objects inside a record, alone or as items of
+an array, have contracts of their own, which the field that holds them names.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ class Field:
     maximum: float | None = None
     above: float | None = None
     min_items: int | None = None
+    item_enum: tuple[str, ...] | None = None
+    nested: str | None = None
 
 
 @dataclass(frozen=True)
@@ -33,11 +37,20 @@ class Contract:
     topic: str
     fields: tuple[Field, ...]
     closed: bool = True
+    #: Contracts of the objects in its fields.
+    nested: tuple[Contract, ...] = ()
 
+    def whole(self) -> list[Contract]:
+        """The contract and all contracts inside it."""
+        return [self, *(inner for contract in self.nested for inner in contract.whole())]
 
+
+#: Stands between a contract and the field with a contract of its own.
+NESTED = "#"
 CONTRACT_SCHEMA = (
     "topic STRING, field STRING, type STRING, required BOOLEAN, enum ARRAY<STRING>, "
-    "minimum DOUBLE, maximum DOUBLE, above DOUBLE, min_items INT"
+    "minimum DOUBLE, maximum DOUBLE, above DOUBLE, min_items INT, "
+    "item_enum ARRAY<STRING>, nested STRING"
 )
 TOPIC_SCHEMA = "topic STRING, closed BOOLEAN, fields ARRAY<STRING>, required_fields ARRAY<STRING>"
 
@@ -69,19 +82,29 @@ def from_json_schema(topic: str, document: str) -> Contract:
         schema = json.loads(inner) if isinstance(inner, str) else inner
     if not isinstance(schema.get("properties"), dict):
         raise ValueError(f"the document of {topic} has no properties")
+    return _contract_of(topic, schema)
+
+
+def _contract_of(topic: str, schema: dict) -> Contract:
     required = set(schema.get("required", ()))
-    fields = []
-    for name, spec in schema.get("properties", {}).items():
-        enum = spec.get("enum")
+    fields, nested = [], []
+    for name, spec in schema["properties"].items():
+        items = spec.get("items", {})
+        inside = next((s for s in (spec, items) if isinstance(s.get("properties"), dict)), None)
+        if inside is not None:
+            nested.append(_contract_of(f"{topic}{NESTED}{name}", inside))
+        enum, item_enum = spec.get("enum"), items.get("enum")
         fields.append(
             Field(
                 topic, name, _type_of(spec), name in required,
                 tuple(enum) if enum else None,
                 spec.get("minimum"), spec.get("maximum"), spec.get("exclusiveMinimum"),
                 spec.get("minItems"),
+                tuple(item_enum) if item_enum else None,
+                nested[-1].topic if inside is not None else None,
             )
         )
-    return Contract(topic, tuple(fields), schema.get("additionalProperties") is False)
+    return Contract(topic, tuple(fields), schema.get("additionalProperties") is False, tuple(nested))
 
 
 def registered_contracts(spark: SparkSession, path: str) -> list[Contract]:
@@ -98,12 +121,13 @@ def registered_contracts(spark: SparkSession, path: str) -> list[Contract]:
 
 def contract_table(spark: SparkSession, contracts: Iterable[Contract]) -> DataFrame:
     rows = []
-    for contract in contracts:
+    for contract in (inner for outer in contracts for inner in outer.whole()):
         for f in contract.fields:
             values = asdict(f)
             for name in ("minimum", "maximum", "above"):
                 values[name] = None if values[name] is None else float(values[name])
-            values["enum"] = None if f.enum is None else list(f.enum)
+            for name in ("enum", "item_enum"):
+                values[name] = None if values[name] is None else list(values[name])
             rows.append(values)
     return spark.createDataFrame(rows, CONTRACT_SCHEMA)
 
@@ -114,6 +138,7 @@ def topic_table(spark: SparkSession, contracts: Iterable[Contract]) -> DataFrame
             c.topic, c.closed, [f.field for f in c.fields],
             [f.field for f in c.fields if f.required],
         )
-        for c in contracts
+        for outer in contracts
+        for c in outer.whole()
     ]
     return spark.createDataFrame(rows, TOPIC_SCHEMA)
