@@ -137,10 +137,72 @@ def last_non_null(
     )
 
 
-def _over_lookback(samples: DataFrame, span: int) -> tuple[DataFrame, Window, Window, Column]:
-    spread, keys, own = blocks.lookback(with_series(samples), SERIES, "us", span)
-    ordered = Window.partitionBy(*keys).orderBy("us")
-    return spread, ordered, ordered.rangeBetween(-(span - 1), 0), own
+def _over_lookback(samples: DataFrame, span: int) -> tuple[DataFrame, list[str], Column]:
+    return blocks.lookback(with_series(samples), SERIES, "us", span)
+
+
+def _counted(samples: DataFrame, span: int, amount: Column) -> DataFrame:
+    """What the samples in ``(us - span, us]`` add up to, at every sample.
+
+    ``amount``, which may use ``_before``, the previous value, is counted at each
+    sample but the first of the look-back. Adds ``_amount``, ``_first_us`` and
+    ``_first_value`` of that first sample and the number of samples ``_n``.
+
+    No sample visits its look-back. Time is cut into parts of one ``span``, so a
+    look-back is the end of one part and the start of the next: each sample knows
+    the sum from the start of its part to itself and from itself to the end. The
+    first sample of a look-back is the one after the newest that has left it; a
+    sample leaves ``span`` after its time, when a mark of it joins the order and
+    carries its successor. Nothing is subtracted but the first amount, so values
+    outside a look-back, infinite ones too, do not reach it.
+    """
+    spread, keys, own = _over_lookback(samples, span)
+    spread = spread.withColumns({"_own": own, "_part": F.floor(F.col("us") / F.lit(span)).cast("bigint")})
+    part = Window.partitionBy(*keys, "_part")
+    # The part grows with the time: one order serves the block and its parts.
+    ordered = Window.partitionBy(*keys).orderBy("_part", "us")
+    up_to = part.orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    onward = part.orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, 0)
+    summed = (
+        spread.withColumns({"_before": F.lag("value").over(ordered), "_at": F.row_number().over(ordered)})
+        .withColumn("_one", amount)
+        .withColumns({"_sum": F.sum("_one").over(up_to), "_count": F.count("us").over(up_to)})
+        .withColumns({"_rest": F.sum("_one").over(onward), "_left": F.count("us").over(onward)})
+    )
+    start = F.struct(
+        F.col("us").alias("us"), F.col("value").alias("value"), F.col("_one").alias("one"),
+        F.col("_part").alias("part"), F.col("_rest").alias("rest"), F.col("_left").alias("left"),
+    )
+    # Samples of equal times keep the places they were given.
+    placed = Window.partitionBy(*keys).orderBy("_at")
+    linked = summed.withColumn("_start", start).withColumns(
+        {"_next": F.lead("_start").over(placed), "_opening": F.first("_start").over(placed)}
+    ).drop("_before", "_rest", "_left")
+    # A mark stands before the samples of its time and carries only its successor.
+    carried = {"_own", "_sum", "_count", "_part", *samples.columns, "us", "_opening"} - {*keys}
+    shown = [F.when(F.col("_kind") == 1, F.col(c)).alias(c) for c in linked.columns if c in carried]
+    timed = linked.withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1)))).where("_kind = 1 OR _next IS NOT NULL")
+    marks = timed.select(
+        *keys, "_at", "_kind", *shown,
+        (F.col("us") + F.when(F.col("_kind") == 0, F.lit(span)).otherwise(F.lit(0))).alias("_pos"),
+        F.when(F.col("_kind") == 0, F.col("_next")).alias("_next"),
+    )
+    newest = Window.partitionBy(*keys).orderBy("_pos", "_kind", "_at").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        marks.withColumn("_from", F.last("_next", ignorenulls=True).over(newest))
+        .where("_own")
+        .withColumn("_from", F.coalesce("_from", "_opening"))
+    )
+    before = F.col("_from.part") < F.col("_part")
+    total = F.coalesce("_sum", F.lit(0)) + F.when(before, F.coalesce("_from.rest", F.lit(0))).otherwise(F.lit(0))
+    return found.withColumns(
+        {
+            "_amount": total - F.col("_from.one"),
+            "_n": F.col("_count") + F.when(before, F.col("_from.left")).otherwise(F.lit(0)),
+            "_first_us": F.col("_from.us"),
+            "_first_value": F.col("_from.value"),
+        }
+    )
 
 
 def changes(samples: DataFrame, span: int = CHANGES_SPAN) -> DataFrame:
@@ -148,13 +210,20 @@ def changes(samples: DataFrame, span: int = CHANGES_SPAN) -> DataFrame:
 
     The first sample of the look-back is compared with nothing.
     """
-    spread, ordered, frame, own = _over_lookback(samples, span)
-    before = F.lag("value").over(ordered)
-    flagged = spread.withColumn(
-        "_changed", F.when(before.isNotNull() & (F.col("value") != before), 1).otherwise(0)
+    before = F.col("_before")
+    changed = F.when(before.isNotNull() & (F.col("value") != before), 1).otherwise(0)
+    counted = _counted(samples, span, changed).withColumnRenamed("_amount", "n_changes")
+    return counted.select(*samples.columns, *SERIES[1:], "us", "n_changes")
+
+
+def _growth() -> Column:
+    """Increase since the previous sample; a value below it is a reset."""
+    before = F.col("_before")
+    return (
+        F.when(before.isNull(), 0.0)
+        .when(F.col("value") < before, F.col("value"))
+        .otherwise(F.col("value") - before)
     )
-    inside = F.sum("_changed").over(frame) - F.first("_changed").over(frame)
-    return flagged.withColumn("n_changes", inside).filter(own).select(*samples.columns, *SERIES[1:], "us", "n_changes")
 
 
 def rates(samples: DataFrame, span: int = RATE_SPAN, extrapolate: bool = False) -> DataFrame:
@@ -167,31 +236,16 @@ def rates(samples: DataFrame, span: int = RATE_SPAN, extrapolate: bool = False)
     within 1.1 mean sample distances, else by half a mean distance, and never
     below a counter of zero. One sample gives no rate.
     """
-    spread, ordered, frame, own = _over_lookback(samples, span)
-    before = F.lag("value").over(ordered)
-    grown = spread.withColumn(
-        "_grown",
-        F.when(before.isNull(), 0.0)
-        .when(F.col("value") < before, F.col("value"))
-        .otherwise(F.col("value") - before),
-    )
-    framed = grown.withColumns(
-        {
-            "_increase": F.sum("_grown").over(frame) - F.first("_grown").over(frame),
-            "_first_us": F.first("us").over(frame),
-            "_first_value": F.first("value").over(frame),
-            "_n": F.count("us").over(frame),
-        }
-    ).filter(own & (F.col("_n") > 1))
+    framed = _counted(samples, span, _growth()).filter(F.col("_n") > 1)
     seconds = (F.col("us") - F.col("_first_us")) / SECOND
-    rate = F.col("_increase") / seconds
+    rate = F.col("_amount") / seconds
     if extrapolate:
         mean_gap = seconds / (F.col("_n") - 1)
         to_edge = (F.col("_first_us") - (F.col("us") - span)) / SECOND
         within = F.when(to_edge < mean_gap * 1.1, to_edge).otherwise(mean_gap / 2)
         to_zero = F.when(
-            (F.col("_increase") > 0) & (F.col("_first_value") >= 0),
-            seconds * F.col("_first_value") / F.col("_increase"),
+            (F.col("_amount") > 0) & (F.col("_first_value") >= 0),
+            seconds * F.col("_first_value") / F.col("_amount"),
         )
         # The last sample of the look-back is where it ends.
         rate = rate * (seconds + F.least(within, to_zero)) / (span / SECOND)
@@ -205,7 +259,8 @@ def _ranges(samples: DataFrame, span: int, step: int, at: int | None, amount: Co
     multiples of ``step``, or ``at`` alone. Every sample is copied to the times
     whose range it is in and added up there, partly before the shuffle.
     """
-    spread, ordered, _, own = _over_lookback(samples, span)
+    spread, keys, own = _over_lookback(samples, span)
+    ordered = Window.partitionBy(*keys).orderBy("us")
     us = F.col("us")
     grown = spread.withColumn("_before", F.lag("value").over(ordered)).withColumn("_grown", amount)
     first = (F.floor((us + (step - 1)) / F.lit(step)) * step).cast("bigint")
@@ -248,13 +303,7 @@ def rates_at_steps(
     As :func:`rates`, with the time as the end of the range. Ranges with one
     sample have no rate.
     """
-    before = F.col("_before")
-    grown = (
-        F.when(before.isNull(), 0.0)
-        .when(F.col("value") < before, F.col("value"))
-        .otherwise(F.col("value") - before)
-    )
-    ranged = _ranges(samples, span, step, at, grown).filter("_n > 1")
+    ranged = _ranges(samples, span, step, at, _growth()).filter("_n > 1")
     seconds = (F.col("_last_us") - F.col("_first_us")) / SECOND
     rate = F.col("_amount") / seconds
     if extrapolate:

@@ -1,6 +1,7 @@
 """Prefix scans read their input once; keyed tables fold; one job feeds features and state."""
 
 import json
+import math
 import random
 from pathlib import Path
 
@@ -167,3 +168,42 @@ def test_features_and_state_survive_a_failure_between_the_writes(spark, tmp_path
     state = KeyedTable(spark, f"{tmp_path}/out/state", events.schema, ["entity_id"], ["event_ts", "arrival_seq"]).rows()
     assert sorted(map(str, state.select(*events.columns).collect())) == sorted(map(str, latest.latest_state(events).select(*events.columns).collect()))
     assert {Path(p).name for p in Path(f"{tmp_path}/out/features").iterdir()} >= {"batch_id=0", "batch_id=1", "batch_id=2"}
+
+
+def lookbacks_by_hand(points, span):
+    """``(n_changes, increase, n, first)`` of the samples in ``(t - span, t]``."""
+    found = {}
+    for i, (t, _) in enumerate(points):
+        first = next(k for k in range(i + 1) if points[k][0] > t - span)
+        inside = list(zip(points[first : i + 1], points[first + 1 : i + 1], strict=False))
+        grown = [b - a if b >= a else b for (_, a), (_, b) in inside]
+        found[t] = (sum(a != b for (_, a), (_, b) in inside), sum(grown), len(inside) + 1, points[first][0])
+    return found
+
+
+@pytest.mark.parametrize("span", [3, 10, 1000])
+def test_lookbacks_are_those_of_a_walk_without_sliding_frames(spark, plans, span):
+    dice, rows, want = random.Random(span), [], {}
+    for name in ("a", "b"):
+        times = sorted(dice.sample(range(-300, 900), 150))
+        # One infinite value must not reach the look-backs that do not hold it.
+        points = [(t, math.inf if i == 70 else float(dice.randrange(4))) for i, t in enumerate(times)]
+        rows += [("c", {"job": name}, t * metrics.SECOND, v) for t, v in points]
+        want |= {(name, t): v for t, v in lookbacks_by_hand(points, span).items()}
+    frame = spark.createDataFrame(rows, "metric string, labels map<string,string>, us long, value double")
+    samples = frame.withColumn("ts", F.timestamp_micros("us")).drop("us")
+    counted, rated = metrics.changes(samples, span * metrics.SECOND), metrics.rates(samples, span * metrics.SECOND)
+    assert not any("RangeFrame, -" in plans(x) for x in (counted, rated))
+    changes = {(r.labels["job"], r.us // metrics.SECOND): r.n_changes for r in counted.collect()}
+    assert changes == {k: v[0] for k, v in want.items()}
+    rates = {(r.labels["job"], r.us // metrics.SECOND): r.rate for r in rated.collect()}
+    assert rates == pytest.approx({k: v[1] / (k[1] - v[3]) for k, v in want.items() if v[2] > 1})
+
+
+def test_lookbacks_count_samples_of_equal_times(spark):
+    points = [(0, 1.0), (4, 2.0), (4, 2.0), (9, 5.0), (9, 5.0), (12, 6.0), (13, 8.0)]
+    frame = spark.createDataFrame([("c", {"job": "a"}, t * metrics.SECOND, v) for t, v in points], "metric string, labels map<string,string>, us long, value double")
+    samples = frame.withColumn("ts", F.timestamp_micros("us")).drop("us")
+    found = {r.us // metrics.SECOND: r.n_changes for r in metrics.changes(samples, 10 * metrics.SECOND).collect()}
+    # At 13, both samples of 4 are in; only the second follows another.
+    assert found == {0: 0, 4: 1, 9: 2, 12: 2, 13: 3}
