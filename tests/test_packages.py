@@ -85,3 +85,9 @@ def test_two_exchanges(spark):
     plan = packed._jdf.queryExecution().executedPlan().toString()
     # Equal members are combined before the first; the second is by shard.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_container_is_not_copied_for_each_member(spark, written):
+    plan = packages.read(spark, written[0])._jdf.queryExecution().optimizedPlan().toString()
+    # A column that a member cuts itself is copied whole for each.
+    assert "substring(lambda" in plan and "substring(data#" not in plan
