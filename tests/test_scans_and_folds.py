@@ -38,6 +38,17 @@ def test_cuts_bound_rows_whatever_the_unit(spark, unit):
     assert blocks.cuts(rows, "p", 5000) == []
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 1000])
+def test_blocks_are_found_by_halving(spark, plans, n):
+    at = [3 * k for k in range(n)]
+    values = [*range(-2, 3 * n + 2), None]
+    rows = spark.createDataFrame([(v,) for v in values], "p long")
+    placed = rows.select("p", blocks.block_of(F.col("p"), at).alias("b"))
+    assert {r.p: r.b for r in placed.collect()} == {v: 0 if v is None else sum(a <= v for a in at) for v in values}
+    # Not one step per cut, however they are grouped.
+    assert "filter(" not in plans(placed)
+
+
 @pytest.mark.parametrize("block_rows", [1000, 40])
 def test_scans_read_their_input_once(spark, tmp_path, plans, block_rows):
     dice = random.Random(2)
