@@ -10,10 +10,12 @@ smaller id. The search is exact and needs no index of the whole corpus:
 2. For each such anchor a slot cuts out the fragment that its windows cover. Of
    equal fragments of a slot, that of the smallest id goes to the anchor's bucket;
    the others are marked where they are.
-3. A bucket keeps each distinct fragment once, with its first owner, builds
-   run-length indexes of them (``runindex``), one for so many anchors, and streams the
-   fragments through. The matching statistics give, for every window, the first
-   document that has it.
+3. A bucket keeps each distinct fragment once, with its first owner. Equal windows have
+   their anchor at the same place, and windows with about as many bytes before it hold
+   the same bytes around it: a fragment that shares none of these few stretches with
+   another one shares no window and needs no index. Of the others run-length indexes are
+   built (``runindex``), one for so many anchors, and they are streamed through. The
+   matching statistics give, for every window, the first document that has it.
 4. An anchor with more than ``MOST_FRAGMENTS`` fragments in all slots (a common line
    in texts that differ) has no bucket. Its windows are dealt one by one, by their
    hash: of equal windows of a slot, that of the smallest id is told to the window's
@@ -54,6 +56,10 @@ INDEX_BYTES = 256 << 10
 MOST_FRAGMENTS = 1 << 14
 #: Bytes that are hashed at a time.
 PART_BYTES = 1 << 20
+#: Bits of a place within such a part and its last window.
+PLACE_BITS = 21
+#: Places of the anchor in a window that are told apart before an index is built.
+AROUND = 7
 #: Bytes of text per anchor: windows share an anchor with half of their neighbours.
 BYTES_PER_ANCHOR = (LEAST - ANCHOR + 2) // 2
 LEVEL = 3
@@ -81,18 +87,21 @@ def sliding_anchors(data: np.ndarray, least: int, anchor: int) -> tuple[np.ndarr
         return tuple(np.concatenate(p) for p in zip(*parts))
     at = np.arange(len(data) - anchor + 1)
     hashes = Spans(BYTE_VALUES[data]).of(at, at + anchor)
-    # Least hash of every window by doubling; of equal ones, the first.
-    place, value, span, wide = at, hashes, 1, least - anchor + 1
+    # Least hash of every window by doubling, with its place in the lowest bits.
+    value, span, wide = _placed(hashes, at), 1, least - anchor + 1
     while span < wide:
         step = min(span, wide - span)
-        a, b = value[:-step], value[step:]
-        left = a <= b
-        place = np.where(left, place[: len(a)], place[step:])
-        value = np.where(left, a, b)
+        value = np.minimum(value[:-step], value[step:])
         span += step
-    first = np.flatnonzero(np.diff(place, prepend=-1))
-    last = np.append(first[1:], len(place)) - 1
-    return value[first], first, last
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    last = np.append(first[1:], len(value)) - 1
+    place = (value[first] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    return hashes[place], first, last
+
+
+def _placed(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What anchors are chosen by: the high bits of a hash, then the place."""
+    return hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | at.astype(np.uint64)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -330,18 +339,18 @@ def _span_rows(fragments: DataFrame, bits: int) -> DataFrame:
         new = np.diff(whole[order], prepend=whole[order[:1]] + np.uint64(1)) != 0
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
-        anchor = _anchors_of(data, offsets[order[new]])
+        anchor, at = _anchors_of(data, offsets[order[new]])
+        related = _related(data, offsets[order[new]], size[order[new]], at)
         by_anchor = np.argsort(anchor, kind="stable")
         lead, anchor = order[new][by_anchor], anchor[by_anchor]
         place = np.empty(len(lead), np.int64)
         place[by_anchor] = np.arange(len(lead))
         which = place[which]
         # Fragments of one anchor share an index; several anchors do up to a bounded size.
-        # The only fragment of an anchor shares its windows with no other.
+        among = np.flatnonzero(related[by_anchor])
+        anchor = anchor[among]
         begin = np.flatnonzero(np.diff(anchor, prepend=anchor[:1] + np.uint64(1)) != 0)
-        several = np.diff(np.append(begin, len(lead)))
-        among = np.flatnonzero(np.repeat(several > 1, several))
-        begin = np.concatenate([[0], np.cumsum(several[several > 1])])
+        begin = np.append(begin, len(among))
         ends = np.concatenate([[0], np.cumsum(size[lead[among]])])
         spans = [_earlier(data, offsets, size, owner, lead[:0])]
         for a, b in chunks(np.diff(ends[begin]), INDEX_BYTES):
@@ -396,18 +405,42 @@ def _hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _anchors_of(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The anchors of fragments: the least hash in their first window, which all windows share."""
-    out = [np.zeros(0, np.uint64)]
+def _anchors_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of fragments and their places: those of their first window, which all windows share."""
+    out, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for at in range(0, len(starts), PART_BYTES // LEAST):
         own = starts[at : at + PART_BYTES // LEAST]
         spans = Spans(BYTE_VALUES[data[ragged(own, np.full(len(own), LEAST))]])
         first = np.arange(len(own)) * LEAST
-        least = spans.of(first, first + ANCHOR)
-        for k in range(1, LEAST - ANCHOR + 1):
-            np.minimum(least, spans.of(first + k, first + k + ANCHOR), out=least)
-        out.append(least)
-    return np.concatenate(out)
+        hashes = np.stack([spans.of(first + k, first + k + ANCHOR) for k in range(LEAST - ANCHOR + 1)])
+        place = _placed(hashes, np.arange(len(hashes))[:, None]).argmin(0)
+        out.append(hashes[place, np.arange(len(own))])
+        places.append(place)
+    return np.concatenate(out), np.concatenate(places)
+
+
+def _related(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether a fragment may share a window with another.
+
+    Windows that have from ``low`` to ``high`` bytes before their anchor all hold the ``low`` bytes
+    before it and the ``LEAST - ANCHOR - high`` bytes after it: that much must be in both.
+    """
+    out = np.zeros(len(starts), bool)
+    for low in range(0, LEAST - ANCHOR + 1, AROUND):
+        high = min(low + AROUND - 1, LEAST - ANCHOR)
+        begin, wide = place - low, low + LEAST - high
+        rows = np.flatnonzero((begin >= 0) & (begin + wide <= sizes))
+        found = [np.zeros(0, np.uint64)]
+        for k in range(0, len(rows), PART_BYTES // wide):
+            own = (starts + begin)[rows[k : k + PART_BYTES // wide]]
+            first = np.arange(len(own)) * wide
+            spans = Spans(BYTE_VALUES[data[ragged(own, np.full(len(own), wide))]])
+            found.append(spans.of(first, first + wide))
+        hashes = np.concatenate(found)
+        order = np.argsort(hashes)
+        same = np.flatnonzero(hashes[order[1:]] == hashes[order[:-1]])
+        out[rows[order[same]]] = out[rows[order[same + 1]]] = True
+    return out
 
 
 def _earlier(data, offsets, size, owner, lead) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -220,6 +220,44 @@ def test_a_common_line_in_different_texts(spark, monkeypatch):
         assert sorted((r[1], r[2], bytes(r[4])) for r in got.itertuples()) == wanted
 
 
+def test_short_shared_passages_need_no_index(spark, monkeypatch):
+    rng = random.Random(22)
+    shared = [" ".join(words(rng, 9))[:34] for _ in range(12)]
+    texts = [" ".join(f"{rng.random()} {p} {rng.random()}" for p in rng.sample(shared, 6)) for _ in range(60)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def counted(data, offsets, size, owner, lead, found=repeats._earlier):
+        if len(lead):
+            raise ValueError(f"{len(lead)} fragments in an index")
+        return found(data, offsets, size, owner, lead)
+
+    monkeypatch.setattr(repeats, "_earlier", counted)
+    got = repeats.mark_repeats(docs).toPandas()
+    assert sorted((r[1], r[2], bytes(r[4])) for r in got.itertuples()) == plain_marks(rows)
+
+
+@pytest.mark.parametrize("around", [1, 4, 7, 35])
+def test_related_fragments_are_those_that_may_share_a_window(monkeypatch, around):
+    rng = random.Random(around)
+    monkeypatch.setattr(repeats, "AROUND", around)
+    core = bytes(rng.randrange(256) for _ in range(84))
+    parts = []
+    for _ in range(40):
+        left, right = rng.randrange(35), rng.randrange(50, 85)
+        own = bytes(rng.randrange(256) for _ in range(84))
+        parts.append((own[:left] + core[left:right] + own[right:], 34))
+    data = np.frombuffer(b"".join(p for p, _ in parts), np.uint8)
+    sizes = np.array([len(p) for p, _ in parts])
+    got = repeats._related(data, np.cumsum(sizes) - sizes, sizes, np.array([at for _, at in parts]))
+    for k, (own, _) in enumerate(parts):
+        others = [p for j, (p, _) in enumerate(parts) if j != k]
+        if any(own[i : i + 50] == p[i : i + 50] for p in others for i in range(35)):
+            assert got[k]
+        elif around == 1:
+            assert not got[k]
+
+
 def test_marks_without_ids(spark):
     text = "0123456789" * 9
     docs = spark.createDataFrame([(None, text), (1, text), (2, text + "!")], "doc_id long, text string")
