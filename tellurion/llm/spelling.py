@@ -16,6 +16,9 @@ words are near if one inserted, deleted or replaced letter turns one into the ot
 5. A word's form is its most frequent near word if that is ``ratio`` times as frequent. Roots
    follow forms by pointer doubling; forms grow in frequency, so chains are short.
 
+Every join is one by shuffle and sort: what the planner guesses of the size of small-looking
+inputs (neighbourhoods, columns of the vocabulary) would bring them whole to the driver.
+
 Both directions of a pair come from their own neighbourhoods, so a pair is found once each way.
 Rare noise can be planted (``noise``): an occurrence whose hash with the document id is
 divisible by it loses one letter.
@@ -195,19 +198,24 @@ def neighbourhood(vocabulary: DataFrame, table: np.ndarray, least_length: int) -
     return vocabulary.select("word", "id").mapInArrow(run, KEYED)
 
 
+def _joined(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join without a broadcast: both sides grow with the vocabulary."""
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def near_words(vocabulary: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
     """Near words of every word, in both directions: ``id``, ``near_id``, ``near``, ``near_n``."""
     keyed = staged(reduced(vocabulary), "reduced-words")
     asked = neighbourhood(vocabulary, key_filter(keyed), least_length)
     held = keyed.select("key", F.col("id").alias("near_id"), F.col("letters").alias("near_letters"))
     differ = F.bit_count(F.col("letters").bitwiseXOR(F.col("near_letters")))
-    pairs = asked.join(held, "key").where((F.col("id") != F.col("near_id")) & (differ <= 2))
+    pairs = _joined(asked, held, "key").where((F.col("id") != F.col("near_id")) & (differ <= 2))
     pairs = staged(pairs.select("id", "near_id"), "near-candidates")
     named = vocabulary.select("id", "word")
     others = vocabulary.select(
         F.col("id").alias("near_id"), F.col("word").alias("near"), F.col("n").alias("near_n")
     )
-    told = pairs.join(named, "id").join(others, "near_id")
+    told = _joined(_joined(pairs, named, "id"), others, "near_id")
     return told.where(F.levenshtein("word", "near", 1) == 1).select("id", "near_id", "near", "near_n")
 
 
@@ -216,7 +224,7 @@ def roots(forms: DataFrame) -> DataFrame:
     links = staged(forms.select("id", F.col("form_id").alias("root_id")), "forms")
     while True:
         ahead = links.select(F.col("id").alias("root_id"), F.col("root_id").alias("ahead"))
-        moved = links.join(ahead, "root_id", "left")
+        moved = _joined(links, ahead, "root_id", "left")
         moved = staged(
             moved.select("id", F.coalesce("ahead", "root_id").alias("root_id"), F.col("ahead").isNotNull().alias("moved")),
             "roots",
@@ -244,7 +252,7 @@ def variants(
     )
     best = F.min(F.struct((-F.col("near_n")).alias("minus_n"), "near", "near_id")).alias("best")
     told = near_words(vocabulary, least_length).groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), best)
-    told = vocabulary.join(told, "id", "left")
+    told = _joined(vocabulary, told, "id", "left")
     frequent = -F.col("best.minus_n") >= ratio * F.col("n")
     told = told.select(
         "id", "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
@@ -254,7 +262,7 @@ def variants(
     told = staged(told, "word-forms")
     ends = roots(told.where("form_id is not null"))
     names = vocabulary.select(F.col("id").alias("root_id"), F.col("word").alias("root"))
-    ends = ends.join(names, "root_id").select("id", "root")
-    return told.join(ends, "id", "left").select(
+    ends = _joined(ends, names, "root_id").select("id", "root")
+    return _joined(told, ends, "id", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

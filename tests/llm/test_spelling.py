@@ -68,6 +68,23 @@ def test_forms_and_roots_are_those_of_all_pairs(spark):
     assert spelling.variants(docs.where("false")).count() == 0
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    plans = []
+
+    def watched(frame, name, write=spelling.staged):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, name)
+
+    monkeypatch.setattr(spelling, "staged", watched)
+    docs = spark.createDataFrame([(k, "planet planets planed garden gardens " * 9) for k in range(9)], "doc_id long, text string")
+    found = spelling.variants(docs)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert found.count() > 0
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_neighbourhood_is_every_one_edit_string():
     rng = np.random.default_rng(4)
     points = rng.integers(97, 123, (5, 6))
