@@ -76,6 +76,39 @@ def test_scans_read_their_input_once(spark, tmp_path, plans, block_rows):
     assert plan.count("FileScan") == 1 and ("ReusedExchange" in plan) == (block_rows == 40)
 
 
+@pytest.mark.parametrize("block_rows", [1000, 40, 10])
+def test_only_long_histories_are_cut(spark, tmp_path, plans, block_rows):
+    dice = random.Random(4)
+    names = ["long"] * 200 + [f"s{i % 60}" for i in range(300)] + [None] * 5
+    rows = [(i, s, dice.randrange(90), dice.choice(["granted", "withdrawn"])) for i, s in enumerate(names)]
+    p = stored(spark, tmp_path, "p", rows, "permission_id int, subject string, s int, event_type string")
+    r = stored(spark, tmp_path, "r", [(i, s, dice.randrange(90)) for i, s in enumerate(names)], "request_id int, subject string, s int")
+    asked = governance.permitted_at_request(
+        r.withColumn("requested_at", F.timestamp_seconds("s")), p.withColumn("occurred_at", F.timestamp_seconds("s")),
+        ["subject"], block_rows=block_rows,
+    )
+    want = {}
+    for x in r.collect():
+        earlier = [(s, i) for i, name, s, _ in rows if name == x.subject and s <= x.s]
+        want[x.request_id] = max(earlier, default=(0, None))[1]
+    assert {x.request_id: x.permission_id for x in asked.collect()} == want
+    assert ("ReusedExchange" in plans(asked)) == (block_rows < 1000)
+    if block_rows == 1000:
+        assert blocks.in_long_groups(p, ["subject"], block_rows) is None
+    else:
+        assert set(names) - {None} >= {x.subject for x in p.where(blocks.in_long_groups(p, ["subject"], block_rows)).collect()} >= {"long"}
+
+
+def test_many_short_histories_are_not_cut(spark, tmp_path, plans):
+    p = stored(spark, tmp_path, "p", [(i, f"s{i % 40}", i, "granted") for i in range(200)], "permission_id int, subject string, s int, event_type string")
+    r = stored(spark, tmp_path, "r", [(i, f"s{i % 40}", i) for i in range(200)], "request_id int, subject string, s int")
+    asked = governance.permitted_at_request(
+        r.withColumn("requested_at", F.timestamp_seconds("s")), p.withColumn("occurred_at", F.timestamp_seconds("s")),
+        ["subject"], block_rows=100,
+    )
+    assert plans(asked).count("Exchange") == 1
+
+
 def states_by_hand(points, hold, stale):
     found, since, before = {}, None, None
     for t, down in points:
