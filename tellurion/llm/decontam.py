@@ -37,12 +37,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import KEPT, chunks, utf8
+from tellurion.llm.common import KEPT, chunks, released, utf8
 from tellurion.llm.textops import BASE, BYTE_VALUES, Spans, mix, words_in
 
 PERCENT = 80
@@ -52,7 +51,7 @@ TARGET, PLANTED = 0.98, 100
 #: Sizes of items in a class differ by this factor at most.
 CLASS_STEP = 1.15
 BLOCK_BYTES = 4 << 20
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 #: Cells of word pairs for each word of the items, at least.
 CELLS = 8
 
@@ -428,7 +427,7 @@ def find(
                             [c.split()[0] for c in MATCHES.split(", ")],
                         )
 
-        matches = rows.mapInArrow(run, MATCHES)
+        matches = rows.mapInArrow(released(run, "decontam"), MATCHES)
         out = matches if out is None else out.unionByName(matches)
     return docs.sparkSession.createDataFrame([], MATCHES) if out is None else out
 
@@ -436,14 +435,17 @@ def find(
 def contaminated(text: Column, index: Index) -> Column:
     """Whether a text holds an item of an index; a filter on it needs no shuffle."""
 
-    @F.pandas_udf("boolean")
-    def found(texts: pd.Series) -> pd.Series:
-        column = pa.array(texts, pa.string(), from_pandas=True)
-        data, offsets = utf8(column)
-        out = np.zeros(len(column), bool)
-        for a, b in chunks(np.diff(offsets), BATCH_BYTES):
-            for match in index.search(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]):
-                out[a + match[0]] = True
-        return pd.Series(out)
+    def flags(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            data, offsets = utf8(column)
+            out = np.zeros(len(column), bool)
+            for a, b in chunks(np.diff(offsets), BATCH_BYTES):
+                for match in index.search(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]):
+                    out[a + match[0]] = True
+            yield pa.array(out)
+
+    @F.arrow_udf("boolean")
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return released(flags, "decontam")(texts)
 
     return found(text)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tellurion.llm import decontam, jaccard, repeats
@@ -413,6 +414,17 @@ def test_decontamination_cases(spark):
     assert sorted(r.doc_id for r in left) == [2, 4, 5]
 
 
+def test_decontamination_searches_little_at_a_time(spark):
+    class Watched:
+        def search(self, data, bounds):
+            if len(data) > 1 << 20:
+                raise ValueError(f"{len(data)} bytes at a time")
+            return []
+
+    docs = spark.range(1, 400, 1, 1).select(F.rpad(F.col("id").cast("string"), 8192, "x").alias("text"))
+    assert docs.where(~decontam.contaminated(docs.text, Watched())).count() == 399
+
+
 def test_words_do_not_cross_texts():
     column = pa.array(["ab", None, "", "c d", "é"])
     assert [len(s) for s in jaccard.token_sets(column)] == [1, 0, 0, 1, 1]
