@@ -24,7 +24,12 @@ exact join runs on a token-group matrix:
    below ``ceil(t * n)`` are dismissed; only for the others the part is opened, and
    the query's tokens are looked up in those of all members at once. A block gives the
    links that join components, fewer than it has queries and members.
-5. Links give classes by repeated minimum labels and pointer jumps.
+   Queries go in rounds: a class asks its own part and a drawn one first, then ``ROUND``
+   times as many each time. Links of a round join components before the next one, which
+   drops queries to parts that are whole of the query's component. So a linked family gives
+   links in proportion to its classes, not one for each class and part.
+5. Links are between components, which are named by the least document id; repeated
+   minimum labels and pointer jumps give the components of the next round.
 
 Queries of a part are dealt into blocks of bounded numbers and bounded tokens. Token
 sets are computed from the texts where they are needed, once for each class, and are
@@ -47,7 +52,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tellurion.llm.common import binary, chunks, ragged, released, staged, utf8
@@ -60,6 +65,8 @@ GROUP_PERCENT = 60
 PART, BLOCK = 64, 256
 #: Tokens of the members of a part, and of the queries of a block, about.
 PART_TOKENS, BLOCK_TOKENS = 1 << 18, 1 << 19
+#: Parts that a class asks in the first round, and by how much later rounds ask more.
+FIRST_PARTS, ROUND = 2, 8
 HOT = 300_000
 #: Tokens counted at a time when frequent ones are looked for, and the least count.
 COUNTED, LEAST_COUNT = 2_000_000, 2
@@ -348,7 +355,7 @@ def _qualifying(members: DataFrame, queries: DataFrame, classes: DataFrame, perc
 
 
 def _opened(members: DataFrame, queries: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Links between queries and members of parts, those that join components.
+    """Links between components of queries and of members of parts.
 
     Links that the earlier ones of a block imply are left out: there are fewer links
     than queries and members, however many of them are similar.
@@ -380,13 +387,11 @@ def _opened(members: DataFrame, queries: DataFrame, tokens: DataFrame, percent:
                 similar &= (labels[inside] != labels[q]) & (both > 0)
                 if keys[q] in own:  # within a part each pair is met from both sides
                     similar &= keys[inside] < keys[q]
-                linked = inside[similar]
-                distinct, first = np.unique(labels[linked], return_index=True)
-                for label, k in zip(distinct.tolist(), linked[first].tolist()):
+                for label in np.unique(labels[inside[similar]]).tolist():
                     mine, other = top(int(labels[q])), top(label)
                     if mine != other:
                         above[mine] = other
-                        found.append((int(keys[q]), int(keys[k])))
+                        found.append((int(labels[q]), label))
         columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
         return pa.table(columns, ["a", "b"])
 
@@ -423,6 +428,12 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows with the new label of their label, where it has one."""
+    new = labels.select(F.col("v").alias("label"), F.col("label").alias("least"))
+    return rows.join(new, "label", "left").withColumn("label", F.coalesce("least", "label")).drop("least")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -442,26 +453,29 @@ def near_duplicates(
     )
 
     # Groups: classes that are similar to the first class with an equal minimum hash.
-    cells = classes.select("key", "n", F.posexplode("minima").alias("which", "minimum"))
+    cells = classes.select("key", "n", "first_id", F.posexplode("minima").alias("which", "minimum"))
     first = cells.groupBy("which", "minimum").agg(
         F.min("key").alias("head"), F.min_by("n", "key").alias("head_n"), F.count(F.lit(1)).alias("rows")
     )
     loose = min(percent, GROUP_PERCENT)
     near = 100 * F.least("n", "head_n") >= loose * F.greatest("n", "head_n")
     pairs = cells.join(first.where("rows > 1"), ["which", "minimum"]).where(near & (F.col("key") != F.col("head")))
-    own = F.col("key").alias("label")
+    own = F.col("first_id").alias("label")
     pairs = staged(pairs.select(F.col("head").alias("part"), "key", own, "n").distinct(), "pairs")
-    heads = pairs.select("part").distinct().select("part", F.col("part").alias("key"), F.col("part").alias("label"))
-    pairs = staged(_qualifying(heads, pairs, classes, loose), "pairs-left")
+
+    def first_classes(of: DataFrame) -> DataFrame:
+        heads = of.select("part").distinct()
+        return heads.join(classes, F.col("part") == F.col("key")).select("part", "key", own)
+
+    pairs = staged(_qualifying(first_classes(pairs), pairs, classes, loose), "pairs-left")
 
     # Links to those first classes, and the components that they give.
     likely = pairs.where(100 * F.col("bound") >= percent * F.col("n"))
-    heads = likely.select("part").distinct().select("part", F.col("part").alias("key"), F.col("part").alias("label"))
+    heads = first_classes(likely)
     keys = likely.select("key").unionByName(heads.select("key")).distinct()
     links = staged(
         _opened(heads, likely, _token_rows(rows, classes, keys, width), percent), "group-links"
     )
-    linked = components(links).select(F.col("v").alias("key"), "label")
 
     # Each class joins the first class that most others joined; parts have bounded size.
     joined = pairs.groupBy("part").agg(F.count(F.lit(1)).alias("followers"))
@@ -475,12 +489,12 @@ def near_duplicates(
     )
     slot = F.pmod(F.xxhash64("key"), "slots").alias("slot")
     groups = groups.join(slots, "group").select("key", "group", slot)
-    parts = classes.select("key").join(groups, "key", "left").join(linked, "key", "left").select(
+    parts = _relabelled(classes.select("key", own), components(links)).join(groups, "key", "left").select(
         "key",
         F.struct(
             F.coalesce("group", "key").alias("group"), F.coalesce("slot", F.lit(0).cast("long")).alias("slot")
         ).alias("part"),
-        F.coalesce("label", "key").alias("label"),
+        "label",
     )
     parts = staged(parts, "parts")
 
@@ -514,25 +528,31 @@ def near_duplicates(
     asked = (
         placed.join(matrix, "token")
         .where(asks & ~settled & fits & enough)
-        .select(F.col("to").alias("part"), "key", "label", "n")
+        .select(F.col("to").alias("part"), "key", "n", (F.col("to") == F.col("part")).alias("own"))
         .distinct()
     )
-    asked = staged(asked, "queries")
-    members = staged(parts.join(asked.select("part").distinct(), "part", "left_semi"), "members")
-    asked = staged(_qualifying(members, asked, classes, percent), "queries-left")
-    members = members.join(asked.select("part").distinct(), "part", "left_semi")
-    keys = asked.select("key").unionByName(members.select("key")).distinct()
-    more = staged(_opened(members, asked, _token_rows(rows, classes, keys, width), percent), "links")
-
-    # Classes of documents, named by the least document id.
-    names = classes.select(F.col("key").alias("v"), "first_id")
-    by_id = links.unionByName(more)
-    for end in ("a", "b"):
-        by_id = by_id.join(names, F.col(end) == F.col("v")).drop("v", end).withColumnRenamed("first_id", end)
-    labels = components(by_id)
-    named = classes.join(labels, F.col("first_id") == F.col("v"), "left").select(
-        "key", F.coalesce("label", "first_id").alias("component")
-    )
+    drawn = Window.partitionBy("key").orderBy(F.desc("own"), F.xxhash64("key", "part"), "part")
+    asked = staged(asked.select("part", "key", "n", F.row_number().over(drawn).alias("place")), "queries")
+
+    # Rounds of queries; a part that is whole of the query's component has no link to give.
+    last, most = 0, FIRST_PARTS
+    longest = asked.agg(F.coalesce(F.max("place"), F.lit(0))).first()[0]
+    while last < longest:
+        turn = asked.where((F.col("place") > last) & (F.col("place") <= most))
+        ends = parts.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        whole = (F.col("low") == F.col("label")) & (F.col("high") == F.col("label"))
+        turn = turn.join(parts.select("key", "label"), "key").join(ends, "part").where(~whole)
+        turn = staged(turn.select("part", "key", "label", "n"), "asked")
+        members = staged(parts.join(turn.select("part").distinct(), "part", "left_semi"), "members")
+        turn = staged(_qualifying(members, turn, classes, percent), "queries-left")
+        members = members.join(turn.select("part").distinct(), "part", "left_semi")
+        keys = turn.select("key").unionByName(members.select("key")).distinct()
+        links = staged(_opened(members, turn, _token_rows(rows, classes, keys, width), percent), "links")
+        if links.head(1):
+            parts = staged(_relabelled(parts, components(links)), "parts")
+        last, most = most, ROUND * most
+
+    named = parts.select("key", F.col("label").alias("component"))
     own = F.when(F.col("key").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component"))
     return described_docs.select("doc_id", "n", "key").join(named, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")

@@ -126,6 +126,24 @@ def test_a_family_below_the_threshold_asks_parts_and_not_pairs(spark, monkeypatc
     assert numbers[1] <= 12 * 200
 
 
+def test_a_linked_family_gives_links_by_classes_and_not_by_parts(spark, monkeypatch):
+    """A quarter of the pairs are links, so most classes are not linked with the first one."""
+    given, real = [], jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda f, name: (given.append(real(f, name)) or given[-1]) if name == "links" else real(f, name))
+    monkeypatch.setattr(jaccard, "PART", 2)
+    rng = random.Random(9)
+    own, texts = words(rng, 180), []
+    for _ in range(160):
+        near = list(own)
+        for at in rng.sample(range(180), 2):
+            near[at] = "".join(words(rng, 3))
+        texts.append(" ".join(near))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: c for i, (_, c) in components_by_hand(rows).items()}
+    assert sum(links.count() for links in given) <= 10 * len(rows)
+
+
 def test_repeated_rows_are_one_set(spark):
     rng = random.Random(3)
     a = " ".join(words(rng, 100))
