@@ -2,7 +2,8 @@
 
 The contract is data: each record gives one row per field, which meets the
 contract row of its topic and field. Contract tables hold a few hundred rows
-whatever the size of the records; their known size lets the planner broadcast them.
+whatever the size of the records and are broadcast: a join by shuffle would send every
+field of every record to one task per topic and field.
 Objects with a contract of their own, alone or as items, are records of the next
 level: their fields are named by their path, ``Records[0].s3.bucket.name``.
 """
@@ -108,14 +109,14 @@ def violations(
     for level in range(depth + 1):
         # Records that have no object at this level are left out before they are parsed.
         kept = topics if level == 0 else topics.join(_topics_of_depth(fields, level), "topic", "left_semi")
-        parsed = jsonx.with_document(known.join(kept, "topic"), "_document", "_text")
+        parsed = jsonx.with_document(known.join(F.broadcast(kept), "topic"), "_document", "_text")
         objects = parsed.select(
             F.col("topic").alias("_root"), "topic", "record_id", F.lit("").alias("_path"),
             "closed", "required_fields", "_document",
         )
         for _ in range(level):
             objects = _inside(_members(objects), fields, topics)
-        named = _members(objects).join(fields, ["topic", "field"], "left")
+        named = _members(objects).join(F.broadcast(fields), ["topic", "field"], "left")
         checked = named.withColumn("_kind", jsonx.kind(F.col("_value")))
         path = F.when(F.col("_broken"), F.rtrim("_path", F.lit("."))).otherwise(F.concat("_path", "field"))
         rules.append(
@@ -163,7 +164,7 @@ def _members(objects: DataFrame) -> DataFrame:
 def _inside(members: DataFrame, fields: DataFrame, topics: DataFrame) -> DataFrame:
     """The objects in fields with a contract of their own, as records of that contract."""
     holding = fields.where(F.col("nested").isNotNull()).select("topic", "field", "type", "nested")
-    held = members.join(holding, ["topic", "field"])
+    held = members.join(F.broadcast(holding), ["topic", "field"])
     is_list = F.col("type").startswith("array")
     items = F.when(is_list, F.try_variant_get("_value", "$", "array<variant>")).when(
         jsonx.is_object(F.col("_value")), F.array("_value")
@@ -173,4 +174,4 @@ def _inside(members: DataFrame, fields: DataFrame, topics: DataFrame) -> DataFra
         "_root", F.col("nested").alias("topic"), "record_id",
         F.concat("_path", "field", place).alias("_path"), "_document",
     )
-    return opened.join(topics.select("topic", "closed", "required_fields"), "topic")
+    return opened.join(F.broadcast(topics.select("topic", "closed", "required_fields")), "topic")
