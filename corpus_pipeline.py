@@ -59,7 +59,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of bounded length."""
-    packed = packing.pack(docs, public_tokenizers.path(TOKENIZER), END_ID)
+    packed = packing.pack(docs, public_tokenizers.path(TOKENIZER), END_ID, lean=True)
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

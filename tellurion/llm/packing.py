@@ -24,11 +24,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellurion.llm.common import binary, chunks, released, staged
+from tellurion.llm.common import binary, chunks, released, staged, trim
 from tellurion.llm.tokens import encoder
 
 CAPACITY = 1024
 GROUP_RESTS = 4096
+#: Bytes of text that a task encodes at a time.
+BATCH_BYTES = 1 << 20
+#: The same where memory is short, and documents that a task is handed at a time.
+LEAN_BYTES, LEAN_ROWS = 1 << 19, 1024
 #: Sequence ids of whole pieces start here; those of bins are below.
 WHOLE = 1 << 62
 
@@ -36,6 +40,41 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 PACKED = PIECES + ", sequence_id long, offset long"
 
 
+def cut_batch(
+    batch: pa.RecordBatch, tokenizer: str, end_id: int, capacity: int, lean: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of ids and texts, a bounded size of text at a time.
+
+    Lean, what encoding frees is given back after the batch; it adds up within a task otherwise.
+    """
+    texts = batch.column(1)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    for a, b in chunks(sizes, LEAN_BYTES if lean else BATCH_BYTES):
+        flat, counts = encoder(tokenizer, lean).encode(texts.slice(a, b - a))
+        ids = np.insert(flat, np.cumsum(counts), np.uint32(end_id))
+        counts = counts + 1
+        pieces = -(-counts // capacity)
+        doc = np.repeat(np.arange(len(counts)), pieces)
+        ends = np.cumsum(pieces)
+        start = (np.arange(ends[-1]) - (ends - pieces)[doc]) * capacity
+        length = np.minimum(capacity, counts[doc] - start)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(pa.array(a + doc)),
+                pa.array(start),
+                pa.array(length),
+                pa.array(counts[doc]),
+                binary(
+                    ids.astype("<u4").view(np.uint8),
+                    np.concatenate([[0], 4 * np.cumsum(length)]),
+                ),
+            ],
+            ["doc_id", "start", "length", "doc_tokens", "ids"],
+        )
+    if lean:
+        trim()
+
+
 def cut(
     docs: DataFrame,
     tokenizer: str,
@@ -43,35 +82,13 @@ def cut(
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lean: bool = False,
 ) -> DataFrame:
     """Pieces of every document's ids (``<u4`` bytes), ``capacity`` ids long but for the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
-            for a, b in chunks(sizes, 1 << 20):
-                flat, counts = encoder(tokenizer).encode(texts.slice(a, b - a))
-                ids = np.insert(flat, np.cumsum(counts), np.uint32(end_id))
-                counts = counts + 1
-                pieces = -(-counts // capacity)
-                doc = np.repeat(np.arange(len(counts)), pieces)
-                ends = np.cumsum(pieces)
-                start = (np.arange(ends[-1]) - (ends - pieces)[doc]) * capacity
-                length = np.minimum(capacity, counts[doc] - start)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(a + doc)),
-                        pa.array(start),
-                        pa.array(length),
-                        pa.array(counts[doc]),
-                        binary(
-                            ids.astype("<u4").view(np.uint8),
-                            np.concatenate([[0], 4 * np.cumsum(length)]),
-                        ),
-                    ],
-                    ["doc_id", "start", "length", "doc_tokens", "ids"],
-                )
+            yield from cut_batch(batch, tokenizer, end_id, capacity, lean)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(released(run, keep="tokens"), PIECES)
@@ -114,11 +131,15 @@ def pack(
     group_rests: int = GROUP_RESTS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lean: bool = False,
 ) -> DataFrame:
-    """Pieces of all documents with the sequence and offset each lies at."""
-    made = cut(docs, tokenizer, end_id, capacity, id_col, text_col)
+    """Pieces of all documents with the sequence and offset each lies at.
+
+    ``lean`` spares the memory of executors that earlier steps have filled, for more CPU time.
+    """
+    made = cut(docs, tokenizer, end_id, capacity, id_col, text_col, lean)
     # Written with the pieces, so it stays what it is; equal pieces differ in it.
-    pieces = staged(made.withColumn("salt", F.monotonically_increasing_id()), "pieces")
+    pieces = staged(made.withColumn("salt", F.monotonically_increasing_id()), "pieces", LEAN_ROWS if lean else None)
     rests = pieces.where(F.col("length") < capacity)
     groups = max(1, -(-rests.count() // group_rests))
 

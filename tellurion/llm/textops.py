@@ -9,12 +9,22 @@ from __future__ import annotations
 
 import numpy as np
 
+from tellurion.llm.common import KEPT
+
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def forget_powers() -> None:
+    """Drop the powers; they stay as long as the longest sequence so far otherwise."""
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+KEPT["powers"] = forget_powers
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE ** i`` and its inverse for i below ``n``."""
     if len(_POWERS[0]) < n:

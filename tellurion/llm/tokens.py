@@ -25,18 +25,22 @@ from tellurion.llm.textops import BYTE_VALUES, Spans
 MAX_PIECES, RECENT = 1_400_000, 100_000
 #: Bytes of text that are encoded at a time.
 BATCH_BYTES = 1 << 20
+#: New pieces that the library encodes at a time; it takes several times their size.
+LEARN = 50_000
+#: The same for encoders that are short of memory; smaller tables take more time.
+LEAN = {"max_pieces": 500_000, "recent": 50_000, "learn": 8192}
 SPACE = 32
 _ASCII_SPACES = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 KEPT["tokens"] = _ENCODERS.clear
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, lean: bool = False) -> PieceEncoder:
     """The encoder of this Python worker for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    if (path, lean) not in _ENCODERS:
+        _ENCODERS[path, lean] = PieceEncoder(path, **(LEAN if lean else {}))
+    return _ENCODERS[path, lean]
 
 
 def white_space(data: np.ndarray) -> np.ndarray:
@@ -80,7 +84,9 @@ class Table:
 class PieceEncoder:
     """Encodes lists of texts; keeps a bounded table of pieces and their ids."""
 
-    def __init__(self, path: str, max_pieces: int = MAX_PIECES, recent: int = RECENT):
+    def __init__(
+        self, path: str, max_pieces: int = MAX_PIECES, recent: int = RECENT, learn: int = LEARN
+    ):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -94,7 +100,7 @@ class PieceEncoder:
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.id_bytes[i] = len(token)  # one character of a token stands for a byte
-        self.max_pieces, self.most_recent = max_pieces, recent
+        self.max_pieces, self.most_recent, self.learn = max_pieces, recent, learn
         self._clear()
 
     def _clear(self) -> None:
@@ -121,8 +127,8 @@ class PieceEncoder:
             if t[0] == " " and len(t) > 1 and not t[1].isspace() and not t[-1].isspace()
         ]
         start, length = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
-        for at in range(0, len(even), 50_000):
-            part = np.array(even[at : at + 50_000])
+        for at in range(0, len(even), self.learn):
+            part = np.array(even[at : at + self.learn])
             whole = "".join(texts[k] for k in part)
             ids = np.array(self.tokenizer.encode(whole, add_special_tokens=False).ids, np.uint32)
             ends = np.cumsum([len(pieces[k]) for k in part])

@@ -1,12 +1,14 @@
 import zlib
 
 import numpy as np
-import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tellurion.llm import huffman, packing
+from tellurion.llm import huffman, packing, textops
+from tellurion.llm.common import BATCH_ROWS, released, staged
 from tellurion.llm.tokens import PieceEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -137,3 +139,39 @@ def test_pieces_fill_sequences(spark):
     assert all(len(v) == 1 for v in want.values())
     assert got == sorted(crc(v[0]) for v in want.values())
     assert packing.pack(docs.where("false"), PATH, end_id=0).count() == 0
+
+
+def test_lean_cutting_encodes_little_at_a_time_and_gives_memory_back(monkeypatch):
+    given_back, sizes = [], []
+    monkeypatch.setattr(packing, "trim", lambda: given_back.append(1))
+    encode = PieceEncoder.encode
+    monkeypatch.setattr(PieceEncoder, "encode", lambda self, texts: sizes.append(texts.nbytes) or encode(self, texts))
+    texts = ["ab cd " * 10_000, None, "x y"] * 30
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    made = pa.Table.from_batches(packing.cut_batch(batch, PATH, 0, 1024, lean=True)).to_pylist()
+    assert len(sizes) > 3 and max(sizes) < 600_000 and len(given_back) == 1
+    ids = {t: [*own, 0] for t, own in zip(texts[:3], whole(texts[:3]))}
+    for i in range(len(texts)):
+        pieces = [p for p in made if p["doc_id"] == i]
+        assert np.concatenate([np.frombuffer(p["ids"], "<u4") for p in pieces]).tolist() == ids[texts[i]]
+        assert {p["doc_tokens"] for p in pieces} == {len(ids[texts[i]])}
+
+
+def test_a_released_task_starts_without_the_powers_of_earlier_ones():
+    textops.powers(1 << 20)
+    list(released(lambda batches: batches)(iter([])))
+    assert len(textops._POWERS[0]) == 1
+    power, inverse = textops.powers(1000)
+    assert (power * inverse == 1).all() and len(power) == 1000
+
+
+def test_a_staged_write_can_bound_its_batches(spark):
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    before = spark.conf.get(BATCH_ROWS)
+    rows = spark.range(0, 5000, 1, 1).mapInArrow(size, "n long")
+    assert max(r.n for r in staged(rows, "bounded", 700).collect()) == 700
+    assert max(r.n for r in staged(rows, "unbounded").collect()) == 5000
+    assert spark.conf.get(BATCH_ROWS) == before
