@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -91,3 +92,52 @@ def test_a_container_is_not_copied_for_each_member(spark, written):
     plan = packages.read(spark, written[0])._jdf.queryExecution().optimizedPlan().toString()
     # A column that a member cuts itself is copied whole for each.
     assert "substring(lambda" in plan and "substring(data#" not in plan
+
+
+def test_a_row_group_holds_one_full_container(spark, tmp_path):
+    pq = pytest.importorskip("pyarrow.parquet")
+    # Content that compresses to nothing: a bound in compressed bytes would take it all for one group.
+    texts = spark.range(64).selectExpr("id AS request_id", "'f' AS file_name", "repeat(char(97 + id % 26), 1 << 20) AS content")
+    hashed = spark.conf.get("spark.sql.execution.useObjectHashAggregateExec")
+    packages.write(texts, str(tmp_path / "p"))
+    assert spark.conf.get("spark.sql.execution.useObjectHashAggregateExec") == hashed
+    groups = []
+    for file in (tmp_path / "p" / "containers").glob("*.parquet"):
+        held = pq.ParquetFile(file).metadata
+        groups += [held.row_group(k) for k in range(held.num_row_groups)]
+    assert len(groups) >= 4 and all(g.num_rows == 1 for g in groups)
+    data = [g.column(c) for g in groups for c in range(g.num_columns) if g.column(c).path_in_schema == "data"]
+    assert len(data) == len(groups) and not any(c.is_stats_set for c in data)
+    got = packages.read(spark, str(tmp_path / "p")).selectExpr("length(content) AS n", "request_id").collect()
+    assert sorted(r["request_id"] for r in got) == list(range(64)) and {r["n"] for r in got} == {1 << 20}
+
+
+def test_few_containers_are_read_by_a_task(spark, written):
+    path, _ = written
+    n = spark.read.parquet(f"{path}/containers").count()
+    plan = packages.read(spark, path)._jdf.queryExecution().executedPlan().toString()
+    # Of the places and of the containers, into as many tasks as these need, whatever the session's number.
+    tasks = [int(k) for k in re.findall(r"Exchange hashpartitioning\(container#\d+L, (\d+)\)", plan)]
+    assert tasks == [-(-n // 4)] * 2 and tasks[0] > 2 and tasks[0] != int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_containers_are_collected_along_a_sort(spark, tmp_path, monkeypatch):
+    plans = []
+    whole = packages.containers
+
+    class Planned:
+        """Notes the plan that the session makes at the time of the write."""
+
+        def __init__(self, frame):
+            self.frame = frame
+
+        @property
+        def write(self):
+            again = self.frame.select("*")
+            plans.append(again._jdf.queryExecution().executedPlan().toString())
+            return again.write
+
+    monkeypatch.setattr(packages, "containers", lambda *a: Planned(whole(*a)))
+    packages.write(framed(spark, [(1, "a", "b", "x"), (2, "c", "d", "x")]), str(tmp_path / "p"))
+    assert len(plans) == 1 and "SortAggregate" in plans[0] and "ObjectHashAggregate" not in plans[0]
+    assert packages.read(spark, str(tmp_path / "p")).count() == 2
