@@ -119,6 +119,7 @@ def test_few_containers_are_read_by_a_task(spark, written):
     # Of the places and of the containers, into as many tasks as these need, whatever the session's number.
     tasks = [int(k) for k in re.findall(r"Exchange hashpartitioning\(container#\d+L, (\d+)\)", plan)]
     assert tasks == [-(-n // 4)] * 2 and tasks[0] > 2 and tasks[0] != int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
 def test_containers_are_collected_along_a_sort(spark, tmp_path, monkeypatch):
